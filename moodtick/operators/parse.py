@@ -91,8 +91,9 @@ def wire_timestamp(ts: Column) -> Column:
     return F.date_format(ts, WIRE_TIMESTAMP_FORMAT)
 
 
-def encode_price_event(ticks: DataFrame, topic: str) -> DataFrame:
-    """(ticker, price, timestamp) → envelope (key, value, topic)."""
+def encode_price_event(ticks: DataFrame, topic: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(ticker, price, timestamp) → (key, value, topic, timestamp); the event
+    time doubles as the message timestamp. ``carry`` columns pass through."""
     payload = F.struct(
         F.col("ticker").alias("ticker"),
         F.round(F.col("price"), PRICE_DIGITS).alias("price"),
@@ -102,11 +103,13 @@ def encode_price_event(ticks: DataFrame, topic: str) -> DataFrame:
         F.col("ticker").cast("binary").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
+        F.col("timestamp").alias("timestamp"),
+        *carry,
     )
 
 
-def encode_text_event(headlines: DataFrame, topic: str) -> DataFrame:
-    """(ticker, headline, source, timestamp) → envelope (key, value, topic)."""
+def encode_text_event(headlines: DataFrame, topic: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(ticker, headline, source, timestamp) → (key, value, topic, timestamp) + ``carry``."""
     payload = F.struct(
         F.col("ticker").alias("ticker"),
         F.col("headline").alias("headline"),
@@ -117,19 +120,21 @@ def encode_text_event(headlines: DataFrame, topic: str) -> DataFrame:
         F.col("ticker").cast("binary").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
+        F.col("timestamp").alias("timestamp"),
+        *carry,
     )
 
 
-def to_envelope(encoded: DataFrame, partitions: int = 3, ts_col: Column | None = None) -> DataFrame:
+def to_envelope(encoded: DataFrame, partitions: int = 3) -> DataFrame:
     """Complete an encoded frame to the full envelope schema for a file topic:
-    partition = hash(key) mod ``partitions``; offset = a unique increasing id
-    per row (not dense); broker timestamp = the event's own time if given."""
+    partition = hash(key) mod ``partitions`` (keyed like a topic partitioner);
+    offset = a unique increasing id per row (not dense); timestampType 0."""
     return encoded.select(
         "key",
         "value",
         "topic",
         F.pmod(F.hash("key"), F.lit(partitions)).cast("int").alias("partition"),
         F.monotonically_increasing_id().alias("offset"),
-        (ts_col if ts_col is not None else F.current_timestamp()).alias("timestamp"),
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -19,6 +19,10 @@ from ..plans import pipeline
 from ..sources import tables
 
 OUT_DIGITS = 6
+# Output rounding is half away from zero after scaling by (1 + 1e-12): values that
+# are exact decimal ties (e.g. 5.8463 / 40) land on the same side in every engine
+# whatever the summation order, since the float noise (~1e-16) is far below it.
+TIE_GUARD = 1.000000000001
 
 DAILY = Config(window="1 day")
 HOURLY = Config(window="1 hour")
@@ -36,13 +40,15 @@ def register(name: str):
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, OUT_DIGITS)
+    return F.round((F.col(c) if isinstance(c, str) else c) * F.lit(TIE_GUARD), OUT_DIGITS)
 
 
 def round_doubles(df: DataFrame, digits: int = OUT_DIGITS) -> DataFrame:
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+            F.round(F.col(f.name) * F.lit(TIE_GUARD), digits).alias(f.name)
+            if f.dataType.typeName() == "double"
+            else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -69,3 +75,439 @@ def q_join_price_sentiment_hourly(spark, sf_dir):
 @register("join_price_sentiment_minute")
 def q_join_price_sentiment_minute(spark, sf_dir):
     return round_doubles(metrics_view(spark, sf_dir, MINUTE))
+
+
+# ---------------------------------------------------------------- envelopes, parsing
+
+from ..config import PRICE_TOPIC, TEXT_TOPIC  # noqa: E402
+from ..operators import parse as P  # noqa: E402
+
+
+def price_envelope(spark, sf_dir):
+    return P.to_envelope(P.encode_price_event(tables.ticks(spark, sf_dir), PRICE_TOPIC))
+
+
+def text_envelope(spark, sf_dir):
+    return P.to_envelope(P.encode_text_event(tables.headlines(spark, sf_dir), TEXT_TOPIC))
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
+
+
+@register("src_price_envelope")
+def q_src_price_envelope(spark, sf_dir):
+    env = price_envelope(spark, sf_dir)
+    d = env.select(
+        F.col("key").cast("string").alias("key"),
+        "topic",
+        _ntz("timestamp").alias("broker_time"),
+        F.from_json(F.col("value").cast("string"), P.PRICE_EVENT).alias("data"),
+    )
+    return d.select("key", "topic", "broker_time", F.col("data.ticker").alias("ticker"),
+                    F.col("data.price").alias("price"))
+
+
+@register("src_text_envelope")
+def q_src_text_envelope(spark, sf_dir):
+    env = text_envelope(spark, sf_dir)
+    d = env.select(
+        F.col("key").cast("string").alias("key"),
+        "topic",
+        _ntz("timestamp").alias("broker_time"),
+        F.from_json(F.col("value").cast("string"), P.TEXT_EVENT).alias("data"),
+    )
+    return d.select("key", "topic", "broker_time", F.col("data.ticker").alias("ticker"),
+                    F.col("data.source").alias("source"))
+
+
+@register("enc_price_event")
+def q_enc_price_event(spark, sf_dir):
+    e = P.encode_price_event(tables.ticks(spark, sf_dir), PRICE_TOPIC)
+    v = F.col("value").cast("string")
+    return e.select(
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(v, "$.ticker").alias("ticker"),
+        F.get_json_object(v, "$.price").cast("double").alias("price"),
+        F.get_json_object(v, "$.timestamp").alias("wire_timestamp"),
+    )
+
+
+@register("enc_text_event")
+def q_enc_text_event(spark, sf_dir):
+    h = tables.headlines(spark, sf_dir)
+    e = P.encode_text_event(h, TEXT_TOPIC, carry=("doc_id", "headline"))
+    v = F.col("value").cast("string")
+    return e.select(
+        "doc_id",
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(v, "$.source").alias("source"),
+        F.get_json_object(v, "$.timestamp").alias("wire_timestamp"),
+        (F.get_json_object(v, "$.headline") == F.col("headline")).alias("headline_roundtrip"),
+    )
+
+
+@register("parse_prices")
+def q_parse_prices(spark, sf_dir):
+    p = P.parse_prices(price_envelope(spark, sf_dir))
+    return p.select("ticker", "price", _ntz("timestamp").alias("timestamp"))
+
+
+@register("parse_texts")
+def q_parse_texts(spark, sf_dir):
+    t = P.parse_texts(text_envelope(spark, sf_dir))
+    return t.select("ticker", "headline", "source", _ntz("timestamp").alias("timestamp"))
+
+
+@register("parse_timestamps")
+def q_parse_timestamps(spark, sf_dir):
+    """Event times written in several ISO forms (and junk) parse back safely."""
+    e = tables.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("t"), "props")
+    return e.select(
+        "event_id",
+        _ntz(P.parse_event_time(P.wire_timestamp(F.col("t")))).alias("t_offset"),
+        _ntz(P.parse_event_time(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))).alias("t_zulu"),
+        _ntz(P.parse_event_time(F.date_format("t", "yyyy-MM-dd HH:mm:ss"))).alias("t_seconds"),
+        _ntz(P.parse_event_time(F.col("props"))).alias("t_junk"),
+    )
+
+
+def mixed_price_topic(spark, sf_dir):
+    """A price topic carrying valid events plus unparseable values: the events'
+    ``props`` JSON (no event field) and the documents' prose (not JSON)."""
+    valid = price_envelope(spark, sf_dir)
+    ev = tables.table(spark, sf_dir, "events").select(
+        F.col("event_type").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.lit(PRICE_TOPIC).alias("topic"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    docs = tables.table(spark, sf_dir, "documents").select(
+        F.col("source").cast("binary").alias("key"),
+        F.col("text").cast("binary").alias("value"),
+        F.lit(PRICE_TOPIC).alias("topic"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    return valid.unionByName(P.to_envelope(ev)).unionByName(P.to_envelope(docs))
+
+
+@register("parse_rejects")
+def q_parse_rejects(spark, sf_dir):
+    return P.rejects(mixed_price_topic(spark, sf_dir), "price").select("topic", "raw_value")
+
+
+@register("parse_valid_count")
+def q_parse_valid_count(spark, sf_dir):
+    """Rows that survive parsing of the mixed topic, per ticker."""
+    p = P.parse_prices(mixed_price_topic(spark, sf_dir))
+    return p.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"), F.count("price").alias("n_prices"))
+
+
+# ---------------------------------------------------------------- cleaning, scoring
+
+from ..functions import sentiment as S  # noqa: E402
+from ..functions.text import clean_text  # noqa: E402
+from ..operators import windows as Wn  # noqa: E402
+
+
+@register("clean_headlines")
+def q_clean_headlines(spark, sf_dir):
+    h = tables.headlines(spark, sf_dir)
+    return h.select("doc_id", "ticker", clean_text("headline").alias("cleaned_headline"))
+
+
+@register("score_lexicon")
+def q_score_lexicon(spark, sf_dir):
+    s = Wn.clean_and_score(tables.headlines(spark, sf_dir), S.TEST_LEXICON, DAILY)
+    return s.select("doc_id", "ticker", "sentiment_score")
+
+
+@register("score_lexicon_join")
+def q_score_lexicon_join(spark, sf_dir):
+    h = tables.headlines(spark, sf_dir).select("doc_id", clean_text("headline").alias("cleaned_headline"))
+    return S.score_by_join(h, ["doc_id"], "cleaned_headline", S.lexicon_frame(spark, S.TEST_LEXICON))
+
+
+# ---------------------------------------------------------------- windowed aggregates
+
+from ..operators.windows import WINDOW_COL  # noqa: E402
+
+
+def _flat_window(df):
+    return df.select(
+        "ticker",
+        _ntz(F.col(f"{WINDOW_COL}.start")).alias("window_start"),
+        _ntz(F.col(f"{WINDOW_COL}.end")).alias("window_end"),
+        *[c for c in df.columns if c not in ("ticker", WINDOW_COL)],
+    )
+
+
+@register("agg_price_window")
+def q_agg_price_window(spark, sf_dir):
+    return round_doubles(_flat_window(Wn.price_window_metrics(tables.ticks(spark, sf_dir), MINUTE)))
+
+
+@register("agg_sentiment_window")
+def q_agg_sentiment_window(spark, sf_dir):
+    scored = Wn.clean_and_score(tables.headlines(spark, sf_dir), S.TEST_LEXICON, MINUTE)
+    return round_doubles(_flat_window(Wn.sentiment_window_metrics(scored, MINUTE)))
+
+
+# ---------------------------------------------------------------- sink shaping, checks, merges
+
+from ..operators.shape import key_violations  # noqa: E402
+from ..schemas import TICKER_MAX_LEN  # noqa: E402
+
+
+@register("snk_row_shape")
+def q_snk_row_shape(spark, sf_dir):
+    m = metrics_view(spark, sf_dir, HOURLY)
+    return m.select(
+        "ticker",
+        "window_start",
+        "window_end",
+        (F.unix_timestamp(F.col("window_end").cast("timestamp")) - F.unix_timestamp(F.col("window_start").cast("timestamp")))
+        .alias("window_seconds"),
+        "price_count",
+        "headline_count",
+        r6("avg_sentiment").alias("avg_sentiment"),
+    )
+
+
+@register("chk_target_key")
+def q_chk_target_key(spark, sf_dir):
+    m = metrics_view(spark, sf_dir, HOURLY)
+    base = m.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("ticker").isNull() | F.col("window_start").isNull()).alias("null_keys"),
+        F.count_if(F.length("ticker") > TICKER_MAX_LEN).alias("long_tickers"),
+    )
+    viol = key_violations(m).agg(F.count(F.lit(1)).alias("violations"))
+    return base.withColumn("_k", F.lit(1)).join(viol.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def _split_batches(spark, sf_dir, cfg: Config):
+    """Two overlapping arrivals of the same streams: events before day 20, and
+    events from day 15 on. Together they hold every row."""
+    t, h = tables.ticks(spark, sf_dir), tables.headlines(spark, sf_dir)
+    cut_a, cut_b = F.lit("2024-01-20 00:00:00").cast("timestamp"), F.lit("2024-01-15 00:00:00").cast("timestamp")
+    a = pipeline.metrics(t.where(F.col("timestamp") < cut_a), h.where(F.col("timestamp") < cut_a), TEST_LEXICON, cfg)
+    b = pipeline.metrics(t.where(F.col("timestamp") >= cut_b), h.where(F.col("timestamp") >= cut_b), TEST_LEXICON, cfg)
+    return a, b
+
+
+def _scratch_table(spark):
+    import uuid
+
+    from ..session import shared_path
+    from ..sinks.parquet_table import KeyedParquetTable
+
+    return KeyedParquetTable(spark, shared_path(spark, "moodtick-tables", uuid.uuid4().hex))
+
+
+@register("snk_upsert_merge")
+def q_snk_upsert_merge(spark, sf_dir):
+    """Batch A then batch B merged into a keyed Parquet table; B's windows
+    replace A's on the overlap, so the table equals the metrics of all rows."""
+    a, b = _split_batches(spark, sf_dir, HOURLY)
+    tbl = _scratch_table(spark)
+    tbl.merge(a, 0)
+    tbl.merge(b, 1)
+    return round_doubles(tbl.read())
+
+
+@register("snk_upsert_replay")
+def q_snk_upsert_replay(spark, sf_dir):
+    """As snk_upsert_merge, with batch B replayed under its own id (skipped) and
+    applied again under a new id (same keys, same values): same table."""
+    a, b = _split_batches(spark, sf_dir, HOURLY)
+    tbl = _scratch_table(spark)
+    tbl.merge(a, 0)
+    tbl.merge(b, 1)
+    tbl.merge(b, 1)
+    tbl.merge(b, 2)
+    return round_doubles(tbl.read())
+
+
+@register("src_metrics_read")
+def q_src_metrics_read(spark, sf_dir):
+    """Write the hourly metrics through the keyed sink, read the 9 columns back."""
+    tbl = _scratch_table(spark)
+    tbl.merge(metrics_view(spark, sf_dir, HOURLY), 0)
+    return round_doubles(tbl.read())
+
+
+# ---------------------------------------------------------------- dashboard
+
+from ..functions import labels as L  # noqa: E402
+from ..operators import dashboard as D  # noqa: E402
+
+GLOBAL50 = HOURLY.with_(scope="global")
+PER_TICKER50 = HOURLY.with_(scope="per_ticker")
+
+
+def latest50(spark, sf_dir):
+    return D.latest(metrics_view(spark, sf_dir, HOURLY), GLOBAL50)
+
+
+@register("dash_latest50")
+def q_dash_latest50(spark, sf_dir):
+    return round_doubles(latest50(spark, sf_dir))
+
+
+@register("dash_latest50_per_ticker")
+def q_dash_latest50_per_ticker(spark, sf_dir):
+    return round_doubles(D.latest(metrics_view(spark, sf_dir, HOURLY), PER_TICKER50))
+
+
+@register("dash_distinct_tickers")
+def q_dash_distinct_tickers(spark, sf_dir):
+    return D.distinct_tickers(latest50(spark, sf_dir))
+
+
+@register("dash_filter_ticker")
+def q_dash_filter_ticker(spark, sf_dir):
+    return round_doubles(D.select_ticker(latest50(spark, sf_dir), "click"))
+
+
+@register("dash_kpis")
+def q_dash_kpis(spark, sf_dir):
+    return round_doubles(D.kpis_display(D.kpis(latest50(spark, sf_dir))))
+
+
+@register("dash_kpis_all")
+def q_dash_kpis_all(spark, sf_dir):
+    """Unrounded KPIs for every ticker over the whole table."""
+    return round_doubles(D.kpis(metrics_view(spark, sf_dir, HOURLY)))
+
+
+@register("dash_kpis_empty")
+def q_dash_kpis_empty(spark, sf_dir):
+    return round_doubles(D.kpis_for(latest50(spark, sf_dir), "no_such_ticker"))
+
+
+@register("dash_series")
+def q_dash_series(spark, sf_dir):
+    return round_doubles(D.series(latest50(spark, sf_dir)))
+
+
+@register("dash_recent10")
+def q_dash_recent10(spark, sf_dir):
+    return round_doubles(D.recent(metrics_view(spark, sf_dir, HOURLY), HOURLY))
+
+
+@register("dash_latest")
+def q_dash_latest(spark, sf_dir):
+    m = metrics_view(spark, sf_dir, HOURLY)
+    return round_doubles(
+        m.groupBy("ticker").agg(
+            F.max("window_start").alias("latest_window"),
+            F.max_by("avg_price", "window_start").alias("latest_price"),
+            F.max_by("avg_sentiment", "window_start").alias("latest_sentiment"),
+        )
+    )
+
+
+@register("dash_delta")
+def q_dash_delta(spark, sf_dir):
+    k = D.kpis(metrics_view(spark, sf_dir, DAILY))
+    return round_doubles(k.select("ticker", "first_price", "latest_price", "price_delta", "total_windows"))
+
+
+@register("overlay_scaled")
+def q_overlay_scaled(spark, sf_dir):
+    return round_doubles(D.overlay(metrics_view(spark, sf_dir, HOURLY)))
+
+
+@register("label_sentiment3")
+def q_label_sentiment3(spark, sf_dir):
+    m = metrics_view(spark, sf_dir, HOURLY)
+    return round_doubles(m.select("ticker", "window_start", "avg_sentiment", L.sentiment3("avg_sentiment").alias("label")))
+
+
+@register("label_sentiment5")
+def q_label_sentiment5(spark, sf_dir):
+    m = metrics_view(spark, sf_dir, HOURLY)
+    return round_doubles(m.select("ticker", "window_start", "avg_sentiment", L.sentiment5("avg_sentiment").alias("label")))
+
+
+@register("label_correlation")
+def q_label_correlation(spark, sf_dir):
+    return round_doubles(D.correlation(metrics_view(spark, sf_dir, DAILY)))
+
+
+@register("corr_price_sentiment")
+def q_corr_price_sentiment(spark, sf_dir):
+    return round_doubles(D.correlation(metrics_view(spark, sf_dir, HOURLY)))
+
+
+# ---------------------------------------------------------------- analyses
+
+from ..operators import analyses as A  # noqa: E402
+
+
+@register("an_direction_agreement")
+def q_an_direction_agreement(spark, sf_dir):
+    return round_doubles(A.direction_agreement(metrics_view(spark, sf_dir, DAILY), DAILY))
+
+
+@register("an_negative_spikes")
+def q_an_negative_spikes(spark, sf_dir):
+    return round_doubles(A.negative_spikes(metrics_view(spark, sf_dir, HOURLY), HOURLY, z=2.0))
+
+
+@register("an_lag_correlation")
+def q_an_lag_correlation(spark, sf_dir):
+    return round_doubles(A.lag_correlation(metrics_view(spark, sf_dir, DAILY), DAILY, max_lag=3))
+
+
+@register("an_largest_changes")
+def q_an_largest_changes(spark, sf_dir):
+    return round_doubles(A.largest_changes(metrics_view(spark, sf_dir, DAILY), DAILY, n=10))
+
+
+@register("an_sentiment_by_hour")
+def q_an_sentiment_by_hour(spark, sf_dir):
+    return round_doubles(A.sentiment_by_hour(metrics_view(spark, sf_dir, HOURLY)))
+
+
+@register("an_volatility")
+def q_an_volatility(spark, sf_dir):
+    return round_doubles(A.volatility(metrics_view(spark, sf_dir, HOURLY), "1 day"))
+
+
+WATCHLIST = ("click", "purchase", "view")
+
+
+@register("an_watchlist_compare")
+def q_an_watchlist_compare(spark, sf_dir):
+    return round_doubles(A.watchlist_compare(metrics_view(spark, sf_dir, HOURLY), WATCHLIST))
+
+
+# ---------------------------------------------------------------- lake layers, quality
+
+from ..operators import quality as Q  # noqa: E402
+from ..sinks import lake  # noqa: E402
+
+
+@register("lake_layers")
+def q_lake_layers(spark, sf_dir):
+    ls = lake.layers(price_envelope(spark, sf_dir), text_envelope(spark, sf_dir), TEST_LEXICON, HOURLY)
+    return lake.layer_counts(ls)
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    t = tables.table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("ticker"), F.col("value").alias("price"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    h = tables.headlines(spark, sf_dir)
+    a = Q.stream_quality(t, "prices", "price", "event_id", "1 minute")
+    b = Q.stream_quality(h, "headlines", "headline", "doc_id", "1 minute")
+    return a.unionByName(b)
+
+
+@register("dq_metrics")
+def q_dq_metrics(spark, sf_dir):
+    return Q.metrics_quality(metrics_view(spark, sf_dir, HOURLY))
