@@ -511,3 +511,74 @@ def q_dq_report(spark, sf_dir):
 @register("dq_metrics")
 def q_dq_metrics(spark, sf_dir):
     return Q.metrics_quality(metrics_view(spark, sf_dir, HOURLY))
+
+
+# ---------------------------------------------------------------- streaming (run to completion, then read)
+
+from ..sources.envelope import read_envelope  # noqa: E402
+from ..streaming import pipeline as SP  # noqa: E402
+
+
+def _scratch(spark, *parts):
+    import uuid
+
+    from ..session import shared_path
+
+    return shared_path(spark, "moodtick-streams", uuid.uuid4().hex, *parts)
+
+
+def stage_topics(spark, sf_dir, root: str) -> tuple[str, str]:
+    """Write both topics' envelopes as Parquet files (the replayable file form of a topic)."""
+    pdir, tdir = f"{root}/prices", f"{root}/texts"
+    price_envelope(spark, sf_dir).write.mode("overwrite").parquet(pdir)
+    text_envelope(spark, sf_dir).write.mode("overwrite").parquet(tdir)
+    return pdir, tdir
+
+
+@register("join_price_sentiment_stream")
+def q_join_price_sentiment_stream(spark, sf_dir):
+    """The streaming pipeline (1-minute windows, 1-minute watermark) over the
+    topics replayed from files with availableNow, merged into a keyed table.
+    Only closed windows come out: end <= min over streams(max event time) - delay."""
+    from ..sinks.parquet_table import KeyedParquetTable
+
+    root = _scratch(spark)
+    pdir, tdir = stage_topics(spark, sf_dir, root)
+    prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir)
+    texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir)
+    table = KeyedParquetTable(spark, f"{root}/table")
+    q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
+                 f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return round_doubles(table.read())
+
+
+def _stream_window_to_files(spark, df, root: str):
+    out = f"{root}/out"
+    q = (
+        _flat_window(df).writeStream.outputMode("append").format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(out)
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
+
+
+@register("stream_price_window")
+def q_stream_price_window(spark, sf_dir):
+    root = _scratch(spark)
+    pdir, _ = stage_topics(spark, sf_dir, root)
+    ticks = P.parse_prices(read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir))
+    return round_doubles(_stream_window_to_files(spark, Wn.price_window_metrics(ticks, MINUTE), root))
+
+
+@register("stream_sentiment_window")
+def q_stream_sentiment_window(spark, sf_dir):
+    root = _scratch(spark)
+    _, tdir = stage_topics(spark, sf_dir, root)
+    texts = Wn.clean_and_score(P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir)),
+                               TEST_LEXICON, MINUTE)
+    return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(texts, MINUTE), root))

@@ -382,3 +382,26 @@ def guard_round6(sql: str) -> str:
 
 for _k in list(ORACLE):
     ORACLE[_k] = guard_round6(ORACLE[_k])
+
+
+# ---------------------------------------------------------------- streaming: closed windows only
+
+_CLOSED = """(SELECT least((SELECT max("timestamp") FROM ticks), (SELECT max("timestamp") FROM headlines))
+        - INTERVAL 1 minute)"""
+ORACLE["join_price_sentiment_stream"] = guard_round6(with_ctes(
+    METRICS_OUT + f"\nWHERE window_end <= {_CLOSED}", "minute"))
+ORACLE["stream_price_window"] = guard_round6(with_ctes(
+    """SELECT * FROM (
+  SELECT ticker, date_trunc('minute', "timestamp") AS window_start,
+         date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end,
+         round(avg(price), 6) AS avg_price, round(min(price), 6) AS min_price, round(max(price), 6) AS max_price,
+       count(price) AS price_count
+  FROM ticks WHERE "timestamp" IS NOT NULL GROUP BY ALL) w
+WHERE window_end <= (SELECT max("timestamp") FROM ticks) - INTERVAL 1 minute"""))
+ORACLE["stream_sentiment_window"] = guard_round6(with_ctes(
+    """SELECT * FROM (
+  SELECT ticker, date_trunc('minute', "timestamp") AS window_start,
+         date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end,
+         round(avg(sentiment_score), 6) AS avg_sentiment, count(headline) AS headline_count
+  FROM scored WHERE "timestamp" IS NOT NULL GROUP BY ALL) w
+WHERE window_end <= (SELECT max("timestamp") FROM headlines) - INTERVAL 1 minute"""))
