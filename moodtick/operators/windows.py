@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.sentiment import score_column
+from ..functions.sentiment import scorer
 from ..functions.text import clean_text
 
 WINDOW_COL = "time_window"
@@ -36,9 +36,11 @@ def price_window_metrics(ticks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def clean_and_score(headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
-    """Adds cleaned_headline and sentiment_score (both pure projections)."""
+    """Adds cleaned_headline and sentiment_score (both per-row projections; the
+    scoring form is chosen by lexicon size, see ``functions.sentiment``)."""
+    score = scorer(headlines.sparkSession, lexicon, cfg)
     return headlines.withColumn("cleaned_headline", clean_text("headline")).withColumn(
-        "sentiment_score", score_column(F.col("cleaned_headline"), lexicon, cfg)
+        "sentiment_score", score(F.col("cleaned_headline"))
     )
 
 

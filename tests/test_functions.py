@@ -110,3 +110,44 @@ def test_round_ties_follow_half_up(spark):
     # Spark's round is HALF_UP on the decimal form (Python's round would give 2.67 / 0.12)
     assert one(spark, F.round("x", 2), 2.675, "x double") == 2.68
     assert one(spark, F.round("x", 2), 0.125, "x double") == 0.13
+
+
+def big_lexicon(n=3000, seed=3):
+    import random
+    import string
+
+    rnd = random.Random(seed)
+    lex = {"".join(rnd.choice(string.ascii_lowercase) for _ in range(rnd.randint(2, 6))): round(rnd.uniform(-3, 3), 1)
+           for _ in range(n)}
+    lex.update(TEST_LEXICON)
+    return lex
+
+
+def test_three_scoring_forms_agree_on_large_lexicon(spark):
+    from conftest import SF001
+    from moodtick.functions import sentiment as S
+    from moodtick.sources import tables
+
+    lex = big_lexicon()
+    h = tables.headlines(spark, SF001).select("doc_id", clean_text("headline").alias("c"))
+    h = h.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, c string"))
+    a = h.select("doc_id", S.score_column(F.col("c"), lex).alias("a"))
+    b = h.select("doc_id", S.scorer(spark, lex)(F.col("c")).alias("b"))
+    c = S.score_by_join(h, ["doc_id"], "c", S.lexicon_frame(spark, lex)).withColumnRenamed("sentiment_score", "c")
+    j = a.join(b, "doc_id").join(c, "doc_id")
+    assert j.count() == 202
+    assert j.where(~F.col("a").eqNullSafe(F.col("b")) | ~F.col("a").eqNullSafe(F.col("c"))).count() == 0
+    assert j.where("a != 0").count() > 50
+    # the large lexicon takes the vectorised path, the small one the map path
+    assert "ArrowEvalPython" in h.select(S.scorer(spark, lex)(F.col("c")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in h.select(S.scorer(spark, TEST_LEXICON)(F.col("c")))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectorised_skip_policy_keeps_null(spark):
+    from moodtick.functions import sentiment as S
+
+    lex = big_lexicon()
+    cfg = Config(null_policy="skip")
+    df = spark.createDataFrame([(None,), ("this",)], "c string")
+    got = [r.s for r in df.select(S.scorer(spark, lex, cfg)(F.col("c")).alias("s")).collect()]
+    assert got[0] is None and got[1] == round(2 / math.sqrt(19), 4)
