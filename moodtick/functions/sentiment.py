@@ -73,9 +73,17 @@ def valence_sum(cleaned: Column, lexicon: Mapping[str, float] | Column, cfg: Con
     )
 
 
+def _let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and apply ``fn`` to it. Catalyst does not share a
+    subexpression that contains lambda variables, so a formula that names an
+    expensive expression several times would evaluate it each time; binding it
+    as the single element of an array evaluates it once."""
+    return F.transform(F.array(value), fn).getItem(0)
+
+
 def compound(m: Column, cfg: Config = DEFAULT) -> Column:
-    """Normalise a valence sum to [-1, 1]."""
-    return F.round(m / F.sqrt(m * m + F.lit(cfg.alpha)), cfg.score_digits)
+    """Normalise a valence sum to [-1, 1] (``m`` is evaluated once)."""
+    return _let(m, lambda x: F.round(x / F.sqrt(x * x + F.lit(cfg.alpha)), cfg.score_digits))
 
 
 def score_column(cleaned: Column | str, lexicon: Mapping[str, float] | Column, cfg: Config = DEFAULT) -> Column:

@@ -15,6 +15,17 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Broadcast only what has been measured: no broadcast from static size
+    # estimates; AQE turns a shuffle join into a broadcast join once the
+    # finished shuffle stage has shown that side to be below the bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+}
+
+# Defaults a launcher may override (``build_session(extra=...)``).
+DEFAULT_CONF = {
+    # texts can be 20k words; keep Arrow batches to the Python scorer small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -32,7 +43,7 @@ def build_session(
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in REQUIRED_CONF.items():
+    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:

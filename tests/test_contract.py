@@ -71,14 +71,22 @@ def test_watchlist_filter_reaches_the_scan(spark):
 def test_join_reuses_aggregate_partitioning(spark):
     """The whole-window key lets the join reuse the aggregates' hash
     partitioning: one exchange per side, none added for the join."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = plan(catalog.metrics_view(spark, SF001, catalog.MINUTE))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert p.count("Exchange hashpartitioning") == 2, p
+    assert p.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in p, p
+
+
+def test_small_side_broadcast_only_after_measurement(spark):
+    """Static plan: sort-merge join. After execution AQE has measured the
+    aggregated side and switched to a broadcast join."""
+    df = catalog.metrics_view(spark, SF001, catalog.MINUTE)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final, final
 
 
 @pytest.mark.parametrize("name", ["dash_latest50_per_ticker", "dash_recent10"])
