@@ -67,17 +67,17 @@ def apply_required(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local runs) a fresh local folder is
-    created and registered; a cluster must configure a shared one.
+    It is a static setting, read from the session's configuration. Only when the
+    session has none (tests, local runs) a fresh local folder is registered on
+    the SparkContext; a cluster must configure a shared one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="moodtick-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
