@@ -27,6 +27,10 @@ class Config:
     # event-time windowing (the original uses 1 minute / 1 minute)
     window: str = "1 minute"
     watermark_delay: str = "1 minute"
+    # global watermark across the two streams: "min" (Spark's default; a silent
+    # stream holds output back) or "max" (the faster stream drives, the slower
+    # one's late rows are dropped)
+    watermark_policy: str = "min"
     # sentiment scorer
     null_policy: str = "text"  # "text": NULL headline scored as text 'none'; "skip": NULL score
     alpha: float = 15.0  # normalisation constant of the compound score

@@ -26,7 +26,9 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def correlation_stream(price_env: DataFrame, text_env: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
-    """The shaped metrics stream (window flattened after the join)."""
+    """The shaped metrics stream (window flattened after the join). Sets the
+    session's multiple-watermark policy from ``cfg`` (read when the query starts)."""
+    price_env.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", cfg.watermark_policy)
     return shape_metrics(correlate(parse_prices(price_env), parse_texts(text_env), lexicon, cfg))
 
 

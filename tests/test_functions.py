@@ -151,3 +151,21 @@ def test_vectorised_skip_policy_keeps_null(spark):
     df = spark.createDataFrame([(None,), ("this",)], "c string")
     got = [r.s for r in df.select(S.scorer(spark, lex, cfg)(F.col("c")).alias("s")).collect()]
     assert got[0] is None and got[1] == round(2 / math.sqrt(19), 4)
+
+
+def test_join_form_shuffle_path_equals_broadcast_path(spark):
+    from conftest import SF001
+    from moodtick.functions import sentiment as S
+    from moodtick.sources import tables
+
+    lex = big_lexicon(500)
+    h = tables.headlines(spark, SF001).select("doc_id", clean_text("headline").alias("c"))
+    h = h.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, c string"))
+    lf = S.lexicon_frame(spark, lex)
+    for cfg in (Config(), Config(null_policy="skip")):
+        a = S.score_by_join(h, ["doc_id"], "c", lf, cfg).withColumnRenamed("sentiment_score", "a")
+        b = S.score_by_join(h, ["doc_id"], "c", lf, cfg, max_broadcast_rows=0).withColumnRenamed("sentiment_score", "b")
+        j = a.join(b, "doc_id", "full")
+        assert j.count() == 202 and j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+        null_row = j.where("doc_id = -1").first()
+        assert (null_row.a is None) == (cfg.null_policy == "skip")

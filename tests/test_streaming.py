@@ -178,3 +178,56 @@ def test_restart_and_failed_batch_lose_nothing(spark, scratch):
     starts = sorted({r.window_start for r in got.select("window_start").collect()})
     assert starts == [dt.datetime(2026, 9, 10, 10, m) for m in range(6)]
     assert got.count() == 18
+
+
+def test_progress_listener_counts_late_rows(spark, scratch):
+    from moodtick.streaming.progress import ProgressLog
+
+    batches = [
+        [("A", 1.0, ts("10:00:05"))],
+        [("A", 1.0, ts("10:05:00"))],
+        [("A", 1.0, ts("10:05:10"))],
+        [("A", 1.0, ts("10:00:30"))],
+    ]
+    write_batches(spark, f"{scratch}/in", batches, TICK_SCHEMA)
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = run_to_memory(flat(price_window_metrics(stream_of(spark, f"{scratch}/in", TICK_SCHEMA), CFG)),
+                          "late3", f"{scratch}/ck")
+        deadline = time.time() + 20
+        while len([r for r in log.records if r["id"] == str(q.id)]) < len(q.recentProgress) and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.late_rows() == 1
+
+
+def test_join_with_rocksdb_state_store(spark, scratch):
+    prices, texts = minute_batches(minutes=range(4))
+    write_batches(spark, f"{scratch}/p", prices, TICK_SCHEMA)
+    write_batches(spark, f"{scratch}/t", texts, TEXT_SCHEMA)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    prev = spark.conf.get(key)
+    SP.use_rocksdb_state(spark)
+    try:
+        joined = shape_metrics(correlate(stream_of(spark, f"{scratch}/p", TICK_SCHEMA),
+                                         stream_of(spark, f"{scratch}/t", TEXT_SCHEMA), TEST_LEXICON, CFG))
+        q = run_to_memory(joined, "rocks1", f"{scratch}/ck")
+    finally:
+        spark.conf.set(key, prev)
+    assert spark.table("rocks1").count() == 6  # windows 10:00, 10:01 for 3 tickers
+    metrics = [k for p in q.recentProgress for op in p["stateOperators"] for k in (op.get("customMetrics") or {})]
+    assert any(k.startswith("rocksdb") for k in metrics), metrics
+
+
+def test_topic_files_round_trip(spark, scratch):
+    from moodtick.operators.parse import encode_price_event, parse_prices
+    from moodtick.sinks.topic import write_topic
+    from moodtick.sources.envelope import read_envelope
+
+    prices, _ = minute_batches(minutes=range(2))
+    ticks = spark.createDataFrame([r for b in prices for r in b], TICK_SCHEMA)
+    write_topic(encode_price_event(ticks, "stock_prices"), fmt="files", path=f"{scratch}/topic")
+    back = parse_prices(read_envelope(spark, "stock_prices", fmt="files", path=f"{scratch}/topic", stream=False))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ticks.collect()))
