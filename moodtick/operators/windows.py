@@ -37,10 +37,15 @@ def price_window_metrics(ticks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def clean_and_score(headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
     """Adds cleaned_headline and sentiment_score (both per-row projections; the
-    scoring form is chosen by lexicon size, see ``functions.sentiment``)."""
+    scoring form is chosen by lexicon size, see ``functions.sentiment``).
+
+    The score reads ``lower(headline)``: tokens are runs of a-z, so collapsing
+    whitespace cannot change them and the score equals the score of the cleaned
+    text; when only the score is used downstream, Catalyst drops the
+    whitespace rewrite of every text."""
     score = scorer(headlines.sparkSession, lexicon, cfg)
     return headlines.withColumn("cleaned_headline", clean_text("headline")).withColumn(
-        "sentiment_score", score(F.col("cleaned_headline"))
+        "sentiment_score", score(F.lower(F.col("headline")))
     )
 
 

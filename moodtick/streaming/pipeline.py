@@ -57,7 +57,8 @@ def start(
     return w.start()
 
 
-def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | None = None) -> StreamingQuery:
+def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | None = None,
+               trigger: dict | None = None) -> StreamingQuery:
     """Verification sink: print each micro-batch."""
     w = (
         df.writeStream.outputMode("append")
@@ -68,12 +69,18 @@ def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | No
     )
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
     return w.start()
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Block until any query ends; re-raise its failure so none is missed."""
-    spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+    """Block until any of the queries ends; then re-raise the failure of any
+    query, so a failed second query is not missed."""
+    try:
+        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+    finally:
+        spark.streams.resetTerminated()
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")

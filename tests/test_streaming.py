@@ -231,3 +231,25 @@ def test_topic_files_round_trip(spark, scratch):
     write_topic(encode_price_event(ticks, "stock_prices"), fmt="files", path=f"{scratch}/topic")
     back = parse_prices(read_envelope(spark, "stock_prices", fmt="files", path=f"{scratch}/topic", stream=False))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ticks.collect()))
+
+
+def test_two_named_console_queries_and_await_all(spark, scratch):
+    from moodtick.operators.parse import parse_prices, parse_texts, to_envelope, encode_price_event, encode_text_event
+
+    prices, texts = minute_batches(minutes=range(2))
+    pt = spark.createDataFrame([r for b in prices for r in b], TICK_SCHEMA)
+    tt = spark.createDataFrame([r for b in texts for r in b], TEXT_SCHEMA)
+    to_envelope(encode_price_event(pt, "stock_prices")).write.parquet(f"{scratch}/p")
+    to_envelope(encode_text_event(tt, "stock_texts")).write.parquet(f"{scratch}/t")
+    from moodtick.sources.envelope import read_envelope
+
+    qp = SP.to_console(parse_prices(read_envelope(spark, "stock_prices", fmt="files", path=f"{scratch}/p")),
+                       "prices_stream", 5, f"{scratch}/ckp", trigger={"availableNow": True})
+    qt = SP.to_console(parse_texts(read_envelope(spark, "stock_texts", fmt="files", path=f"{scratch}/t")),
+                       "texts_stream", 5, f"{scratch}/ckt", trigger={"availableNow": True})
+    SP.await_all(spark, [qp, qt])
+    qp.awaitTermination()
+    qt.awaitTermination()
+    assert qp.name == "prices_stream" and qt.name == "texts_stream"
+    assert sum(p["numInputRows"] for p in qp.recentProgress) == 12
+    assert sum(p["numInputRows"] for p in qt.recentProgress) == 12
