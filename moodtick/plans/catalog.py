@@ -13,10 +13,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config
+from ..config import PRICE_TOPIC, TEXT_TOPIC, Config
+from ..functions import labels as L
+from ..functions import sentiment as S
 from ..functions.sentiment import TEST_LEXICON
+from ..functions.text import clean_text
+from ..operators import analyses as A
+from ..operators import dashboard as D
+from ..operators import parse as P
+from ..operators import quality as Q
+from ..operators import windows as Wn
+from ..operators.shape import key_violations
+from ..operators.windows import WINDOW_COL
 from ..plans import pipeline
+from ..schemas import TICKER_MAX_LEN
+from ..sinks import lake
 from ..sources import tables
+from ..sources.envelope import read_envelope
+from ..streaming import pipeline as SP
 
 OUT_DIGITS = 6
 # Output rounding is half away from zero after scaling by (1 + 1e-12): values that
@@ -79,9 +93,6 @@ def q_join_price_sentiment_minute(spark, sf_dir):
 
 # ---------------------------------------------------------------- envelopes, parsing
 
-from ..config import PRICE_TOPIC, TEXT_TOPIC  # noqa: E402
-from ..operators import parse as P  # noqa: E402
-
 
 def price_envelope(spark, sf_dir):
     return P.to_envelope(P.encode_price_event(tables.ticks(spark, sf_dir), PRICE_TOPIC))
@@ -205,10 +216,6 @@ def q_parse_valid_count(spark, sf_dir):
 
 # ---------------------------------------------------------------- cleaning, scoring
 
-from ..functions import sentiment as S  # noqa: E402
-from ..functions.text import clean_text  # noqa: E402
-from ..operators import windows as Wn  # noqa: E402
-
 
 @register("clean_headlines")
 def q_clean_headlines(spark, sf_dir):
@@ -230,8 +237,6 @@ def q_score_lexicon_join(spark, sf_dir):
 
 # ---------------------------------------------------------------- windowed aggregates
 
-from ..operators.windows import WINDOW_COL  # noqa: E402
-
 
 def _flat_window(df):
     return df.select(
@@ -255,9 +260,6 @@ def q_agg_sentiment_window(spark, sf_dir):
 
 # ---------------------------------------------------------------- sink shaping, checks, merges
 
-from ..operators.shape import key_violations  # noqa: E402
-from ..schemas import TICKER_MAX_LEN  # noqa: E402
-
 
 @register("snk_row_shape")
 def q_snk_row_shape(spark, sf_dir):
@@ -339,8 +341,6 @@ def q_src_metrics_read(spark, sf_dir):
 
 # ---------------------------------------------------------------- dashboard
 
-from ..functions import labels as L  # noqa: E402
-from ..operators import dashboard as D  # noqa: E402
 
 GLOBAL50 = HOURLY.with_(scope="global")
 PER_TICKER50 = HOURLY.with_(scope="per_ticker")
@@ -443,8 +443,6 @@ def q_corr_price_sentiment(spark, sf_dir):
 
 # ---------------------------------------------------------------- analyses
 
-from ..operators import analyses as A  # noqa: E402
-
 
 @register("an_direction_agreement")
 def q_an_direction_agreement(spark, sf_dir):
@@ -486,9 +484,6 @@ def q_an_watchlist_compare(spark, sf_dir):
 
 # ---------------------------------------------------------------- lake layers, quality
 
-from ..operators import quality as Q  # noqa: E402
-from ..sinks import lake  # noqa: E402
-
 
 @register("lake_layers")
 def q_lake_layers(spark, sf_dir):
@@ -515,9 +510,6 @@ def q_dq_metrics(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming (run to completion, then read)
 
-from ..sources.envelope import read_envelope  # noqa: E402
-from ..streaming import pipeline as SP  # noqa: E402
-
 
 def _scratch(spark, *parts):
     import uuid
