@@ -56,17 +56,16 @@ def stream_quality(df: DataFrame, name: str, value_col: str, seq_col: str, delay
 
 
 def metrics_quality(metrics: DataFrame) -> DataFrame:
-    """One row: rows, duplicate keys, NULL prices, windows without prices."""
-    per_key = metrics.groupBy("ticker", "window_start").agg(F.count(F.lit(1)).alias("_n"))
-    dups = per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_keys"))
-    base = metrics.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("avg_price").isNull()).alias("null_price_windows"),
-        F.count_if(F.col("headline_count") == 0).alias("no_headline_windows"),
+    """One row: rows, duplicate keys, windows with NULL prices, windows without
+    headlines. One aggregation per key, then one over the keys."""
+    per_key = metrics.groupBy("ticker", "window_start").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("avg_price").isNull()).alias("_null_price"),
+        F.count_if(F.col("headline_count") == 0).alias("_no_headline"),
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum("_null_price"), F.lit(0)).cast("long").alias("null_price_windows"),
+        F.coalesce(F.sum("_no_headline"), F.lit(0)).cast("long").alias("no_headline_windows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_keys"),
     )
-    return _one_row_join(base, dups)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combine two single-row aggregates side by side."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")

@@ -23,7 +23,6 @@ from ..operators import dashboard as D
 from ..operators import parse as P
 from ..operators import quality as Q
 from ..operators import windows as Wn
-from ..operators.shape import key_violations
 from ..operators.windows import WINDOW_COL
 from ..plans import pipeline
 from ..schemas import TICKER_MAX_LEN
@@ -279,13 +278,17 @@ def q_snk_row_shape(spark, sf_dir):
 @register("chk_target_key")
 def q_chk_target_key(spark, sf_dir):
     m = metrics_view(spark, sf_dir, HOURLY)
-    base = m.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("ticker").isNull() | F.col("window_start").isNull()).alias("null_keys"),
-        F.count_if(F.length("ticker") > TICKER_MAX_LEN).alias("long_tickers"),
+    per_key = m.groupBy("ticker", "window_start").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col("window_end").isNull().cast("int")).alias("_null_end")
+    )
+    null_key = F.col("ticker").isNull() | F.col("window_start").isNull()
+    long_ticker = F.length("ticker") > TICKER_MAX_LEN
+    return per_key.agg(
+        F.sum("_n").cast("long").alias("n_rows"),
+        F.coalesce(F.sum(F.when(null_key, F.col("_n"))), F.lit(0)).cast("long").alias("null_keys"),
+        F.coalesce(F.sum(F.when(long_ticker, F.col("_n"))), F.lit(0)).cast("long").alias("long_tickers"),
+        F.count_if((F.col("_n") > 1) | null_key | long_ticker | (F.col("_null_end") > 0)).alias("violations"),
     )
-    viol = key_violations(m).agg(F.count(F.lit(1)).alias("violations"))
-    return base.withColumn("_k", F.lit(1)).join(viol.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def _split_batches(spark, sf_dir, cfg: Config):
