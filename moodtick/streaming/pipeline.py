@@ -75,12 +75,18 @@ def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | No
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Block until any of the queries ends; then re-raise the failure of any
-    query, so a failed second query is not missed."""
-    try:
-        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
-    finally:
-        spark.streams.resetTerminated()
+    """Block until one of ``queries`` ends (or ``timeout`` seconds pass), then
+    raise if any of them failed, so a failed second query is not missed.
+    Only these queries are watched, not earlier ones of the session."""
+    import time
+
+    deadline = None if timeout is None else time.monotonic() + timeout
+    while all(q.isActive for q in queries):
+        if deadline is not None and time.monotonic() >= deadline:
+            break
+        for q in queries:
+            if q.awaitTermination(0.5):  # raises the query's failure, if any
+                break
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
