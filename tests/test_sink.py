@@ -85,3 +85,14 @@ def test_jdbc_statements():
     ansi = merge_sql("m", "m_stage_3", cols, ("ticker", "window_start"), "ansi", stage_quote='"')
     assert ansi.startswith('MERGE INTO m t USING m_stage_3 s ON t.ticker = s."ticker" AND t.window_start = s."window_start"')
     assert 'WHEN NOT MATCHED THEN INSERT (ticker, window_start' in ansi
+
+
+def test_jdbc_read_predicates_cover_every_row():
+    import datetime as dt
+
+    from moodtick.sources.metrics import date_predicates
+
+    p = date_predicates(dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    assert len(p) == 4
+    assert p[0] == "window_start >= TIMESTAMP '2024-01-01 00:00:00' AND window_start < TIMESTAMP '2024-01-02 00:00:00'"
+    assert p[-1].startswith("window_start < TIMESTAMP '2024-01-01 00:00:00' OR window_start >= TIMESTAMP '2024-01-04")
