@@ -169,13 +169,32 @@ def model_scorer(load_model, return_type: str = "double"):
 MAP_FORM_MAX = 64
 
 
+# Characters of text tokenised at once inside a vectorised batch: bounds the
+# Python worker's memory whatever the length of single texts.
+VECTOR_CHUNK_CHARS = 4_000_000
+
+
+def _chunks(lengths: pd.Series, limit: int):
+    """Consecutive index ranges whose total length stays within ``limit``
+    (a single longer text forms its own range)."""
+    start, total = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
 def vectorised_valence_sum(spark, lexicon: Mapping[str, float], cfg: Config = DEFAULT):
     """Arrow-batched scorer for large lexicons on streams and batches alike.
 
     Returns fn(cleaned Column) -> valence-sum Column. The lexicon travels once per
     executor as a broadcast variable; each batch of texts is split, exploded and
-    looked up with hash lookups in pandas, then summed per text. The compound
-    normalisation and rounding stay in Catalyst (``compound``)."""
+    looked up with hash lookups in pandas, then summed per text, in chunks of at
+    most ``VECTOR_CHUNK_CHARS`` characters. The compound normalisation and
+    rounding stay in Catalyst (``compound``)."""
     bc = spark.sparkContext.broadcast({str(k): float(v) for k, v in lexicon.items()})
     null_text = NULL_TEXT if cfg.null_policy == "text" else None
 
@@ -184,9 +203,11 @@ def vectorised_valence_sum(spark, lexicon: Mapping[str, float], cfg: Config = DE
         lex = bc.value
         for s in batches:
             text = s.fillna(null_text) if null_text is not None else s
-            toks = text.str.split(TOKEN_SPLIT, regex=True).explode()
-            m = toks.map(lex).fillna(0.0).groupby(level=0).sum()
-            m = m.reindex(s.index)
+            parts = []
+            for a, b in _chunks(text.str.len().fillna(0).astype("int64"), VECTOR_CHUNK_CHARS):
+                toks = text.iloc[a:b].str.split(TOKEN_SPLIT, regex=True).explode()
+                parts.append(toks.map(lex).fillna(0.0).groupby(level=0).sum())
+            m = (pd.concat(parts) if parts else pd.Series(dtype="float64")).reindex(s.index)
             if null_text is None:
                 m[text.isna()] = None
             yield m.astype("float64")

@@ -169,3 +169,19 @@ def test_join_form_shuffle_path_equals_broadcast_path(spark):
         assert j.count() == 202 and j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
         null_row = j.where("doc_id = -1").first()
         assert (null_row.a is None) == (cfg.null_policy == "skip")
+
+
+def test_vectorised_chunks_bound_text_per_step(spark, monkeypatch):
+    import pandas as pd
+
+    from moodtick.functions import sentiment as S
+
+    assert list(S._chunks(pd.Series([3, 3, 3, 10, 1]), 6)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+    assert list(S._chunks(pd.Series([], dtype="int64"), 6)) == []
+    # a tiny chunk limit must give the same scores as one chunk per batch
+    lex = big_lexicon(200)
+    df = spark.createDataFrame([("this that " * 50,), ("from with",), (None,), ("",)], "c string")
+    want = [r.s for r in df.select(S.scorer(spark, lex)(F.col("c")).alias("s")).collect()]
+    monkeypatch.setattr(S, "VECTOR_CHUNK_CHARS", 5)
+    got = [r.s for r in df.select(S.scorer(spark, lex)(F.col("c")).alias("s")).collect()]
+    assert got == want and want[0] == round((3.5 * 50) / math.sqrt((3.5 * 50) ** 2 + 15), 4)
