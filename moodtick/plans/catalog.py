@@ -25,7 +25,7 @@ from ..operators import quality as Q
 from ..operators import windows as Wn
 from ..operators.windows import WINDOW_COL
 from ..plans import pipeline
-from ..schemas import TICKER_MAX_LEN
+from ..schemas import PRICE_EVENT, TEXT_EVENT, TICKER_MAX_LEN
 from ..sinks import lake
 from ..sources import tables
 from ..sources.envelope import read_envelope
@@ -112,7 +112,7 @@ def q_src_price_envelope(spark, sf_dir):
         F.col("key").cast("string").alias("key"),
         "topic",
         _ntz("timestamp").alias("broker_time"),
-        F.from_json(F.col("value").cast("string"), P.PRICE_EVENT).alias("data"),
+        F.from_json(F.col("value").cast("string"), PRICE_EVENT).alias("data"),
     )
     return d.select("key", "topic", "broker_time", F.col("data.ticker").alias("ticker"),
                     F.col("data.price").alias("price"))
@@ -125,7 +125,7 @@ def q_src_text_envelope(spark, sf_dir):
         F.col("key").cast("string").alias("key"),
         "topic",
         _ntz("timestamp").alias("broker_time"),
-        F.from_json(F.col("value").cast("string"), P.TEXT_EVENT).alias("data"),
+        F.from_json(F.col("value").cast("string"), TEXT_EVENT).alias("data"),
     )
     return d.select("key", "topic", "broker_time", F.col("data.ticker").alias("ticker"),
                     F.col("data.source").alias("source"))

@@ -185,3 +185,15 @@ def test_vectorised_chunks_bound_text_per_step(spark, monkeypatch):
     monkeypatch.setattr(S, "VECTOR_CHUNK_CHARS", 5)
     got = [r.s for r in df.select(S.scorer(spark, lex)(F.col("c")).alias("s")).collect()]
     assert got == want and want[0] == round((3.5 * 50) / math.sqrt((3.5 * 50) ** 2 + 15), 4)
+
+
+def test_trie_pattern_matches_whole_tokens_only():
+    import re
+
+    from moodtick.functions.sentiment import _word_pattern
+
+    words = ["a", "an", "and", "the", "then", "th", "with"]
+    pat = re.compile(_word_pattern(words))
+    text = "a an and andy the then th thx xthe with2with-with"
+    expect = [t for t in re.split("[^a-z]+", text) if t in words]
+    assert [m.group(1) for m in pat.finditer(text)] == expect
