@@ -31,6 +31,16 @@ def condense(plan: str) -> str:
             continue
         s = re.sub(r"#\d+L?", "", s)
         s = re.sub(r"\[plan_id=\d+\]", "", s)
+        if "FileScan" in s:
+            head = s[: s.index("FileScan")] + s[s.index("FileScan"):].split(" Batched")[0]
+            pushed = re.search(r"PushedFilters: \[[^\]]*\]", s)
+            schema = re.search(r"ReadSchema: \S+", s)
+            keep.append(head)
+            pad = " " * (len(head) - len(head.lstrip()) + 4)
+            for m in (pushed, schema):
+                if m:
+                    keep.append(pad + m.group(0))
+            continue
         if len(s) > 160:
             s = s[:157] + "..."
         keep.append(s)
