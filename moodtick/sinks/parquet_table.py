@@ -2,8 +2,13 @@
 
 Layout below ``root``::
 
-    data/b<batch>/window_date=<d>/part-*.parquet   rows of date d as of batch <batch>
-    _manifest/b<batch>.json                        {"batch_id": n, "partitions": {d: dir}}
+    data/b<batch>/window_part=<p>/part-*.parquet   rows of partition p as of batch <batch>
+    _manifest/b<batch>.json                        {"batch_id": n, "partitions": {p: dir}}
+
+A partition is a day (``granularity="day"``, e.g. ``2024-01-01``) or an hour
+(``"hour"``, e.g. ``2024-01-01T10``). A stream in append mode emits each window
+once, when it closes, so a micro-batch touches the newest partition; with hour
+partitions a batch rewrites at most one hour of windows instead of a whole day.
 
 A merge of batch ``n`` reads only the current files of the dates the batch
 touches, replaces the batch's keys there (``merge_frames``), writes those dates
@@ -28,17 +33,18 @@ from pyspark.sql import functions as F
 from ..schemas import METRICS, METRICS_KEY
 from .merge import dedup_batch, merge_frames
 
-PARTITION_COL = "window_date"
+PARTITION_COL = "window_part"
+GRANULARITY = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH"}
 
 
 class KeyedParquetTable:
-    def __init__(self, spark: SparkSession, root: str, schema=METRICS, key=METRICS_KEY,
-                 partition_of=lambda: F.date_format(F.col("window_start"), "yyyy-MM-dd")):
+    def __init__(self, spark: SparkSession, root: str, schema=METRICS, key=METRICS_KEY, granularity: str = "day"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = tuple(key)
-        self.partition_of = partition_of
+        fmt = GRANULARITY[granularity]
+        self.partition_of = lambda: F.date_format(F.col("window_start"), fmt)
         jvm = spark.sparkContext._jvm
         self._jvm = jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
@@ -101,7 +107,7 @@ class KeyedParquetTable:
         return self.spark.createDataFrame([], self.schema)
 
     def read(self, dates: list[str] | None = None) -> DataFrame:
-        """The current snapshot (optionally only some partitions)."""
+        """The current snapshot (optionally only some partitions, by partition value)."""
         m = self.current()
         if not m:
             return self._empty()
@@ -130,7 +136,7 @@ class KeyedParquetTable:
             b.unpersist()
 
     def _merge(self, b: DataFrame, batch_id: int, cur: dict) -> bool:
-        # The dates a batch touches: a metadata list bounded by the batch's time span.
+        # The partitions a batch touches: a metadata list bounded by the batch's time span.
         touched = [r[0] for r in b.select(PARTITION_COL).distinct().collect()]
         if not touched:
             return False
@@ -138,7 +144,7 @@ class KeyedParquetTable:
         merged = merge_frames(old, b, list(self.key) + [PARTITION_COL], deduped=True)
         stage_rel = f"data/b{batch_id:012d}"
         (
-            # (date, ticker) spreads a date over tasks; one (date, ticker) group is bounded by the window count
+            # (partition, ticker) spreads a partition over tasks; one such group is bounded by its window count
             merged.repartition(PARTITION_COL, self.key[0])
             .write.mode("overwrite")
             .partitionBy(PARTITION_COL)

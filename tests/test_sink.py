@@ -96,3 +96,16 @@ def test_jdbc_read_predicates_cover_every_row():
     assert len(p) == 4
     assert p[0] == "window_start >= TIMESTAMP '2024-01-01 00:00:00' AND window_start < TIMESTAMP '2024-01-02 00:00:00'"
     assert p[-1].startswith("window_start < TIMESTAMP '2024-01-01 00:00:00' OR window_start >= TIMESTAMP '2024-01-04")
+
+
+def test_hour_partitions_rewrite_only_the_touched_hour(spark, scratch):
+    tbl = KeyedParquetTable(spark, f"{scratch}/t", granularity="hour")
+    first = [row("A", 1, 0, 1.0), row("B", 1, 0, 2.0)]
+    later = dt.datetime(2024, 1, 1, 11, 0)
+    first.append(("A", later, later + dt.timedelta(minutes=1), 3.0, 3.0, 3.0, 1, 0.0, 1))
+    tbl.merge(metrics_rows(spark, first), 0)
+    tbl.merge(metrics_rows(spark, [row("A", 1, 0, 9.0)]), 1)
+    parts = tbl.current()["partitions"]
+    assert sorted(parts) == ["2024-01-01T10", "2024-01-01T11"]
+    assert parts["2024-01-01T10"].startswith("data/b000000000001") and parts["2024-01-01T11"].startswith("data/b000000000000")
+    assert {(r.ticker, r.avg_price) for r in tbl.read().collect()} == {("A", 9.0), ("B", 2.0), ("A", 3.0)}

@@ -143,7 +143,7 @@ def test_restart_and_failed_batch_lose_nothing(spark, scratch):
     # first half of the input, with a sink that fails on its first call
     write_batches(spark, f"{scratch}/p", prices[:4], TICK_SCHEMA)
     write_batches(spark, f"{scratch}/t", texts[:4], TEXT_SCHEMA)
-    table = KeyedParquetTable(spark, f"{scratch}/table")
+    table = KeyedParquetTable(spark, f"{scratch}/table", granularity="hour")
     failed = {"done": False}
 
     def flaky(df, epoch):
