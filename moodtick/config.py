@@ -49,7 +49,8 @@ class Config:
     text_topic: str = TEXT_TOPIC
     starting_offsets: str = "latest"
     # physical
-    shuffle_partitions: int | None = None  # None: keep the session's value
+    # shuffle width of the streaming query (fixed by its first start); None keeps the session's
+    shuffle_partitions: int | None = None
 
     @property
     def bootstrap_servers(self) -> str:

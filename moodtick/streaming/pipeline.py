@@ -27,8 +27,13 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def correlation_stream(price_env: DataFrame, text_env: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
     """The shaped metrics stream (window flattened after the join). Sets the
-    session's multiple-watermark policy from ``cfg`` (read when the query starts)."""
-    price_env.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", cfg.watermark_policy)
+    session's multiple-watermark policy and, if given, the shuffle width from
+    ``cfg``; both are read when the query first starts (the state of a stateful
+    query keeps that width for its lifetime)."""
+    conf = price_env.sparkSession.conf
+    conf.set("spark.sql.streaming.multipleWatermarkPolicy", cfg.watermark_policy)
+    if cfg.shuffle_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(cfg.shuffle_partitions))
     return shape_metrics(correlate(parse_prices(price_env), parse_texts(text_env), lexicon, cfg))
 
 

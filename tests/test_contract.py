@@ -97,3 +97,10 @@ def test_per_ticker_topk_is_limited_before_shuffle(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "WindowGroupLimit" in p, p
+
+
+def test_window_aggregates_combine_map_side(spark):
+    p = plan(catalog.metrics_view(spark, SF001, catalog.HOURLY))
+    for f in ("partial_avg(price)", "partial_min(price)", "partial_max(price)", "partial_count(price)",
+              "partial_avg(sentiment_score)", "partial_count(headline)"):
+        assert f in p, f
