@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.sentiment import scorer
 from ..functions.text import clean_text
+from .partitioning import spread
 
 WINDOW_COL = "time_window"
 
@@ -42,9 +43,10 @@ def clean_and_score(headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> Dat
     The score reads ``lower(headline)``: tokens are runs of a-z, so collapsing
     whitespace cannot change them and the score equals the score of the cleaned
     text; when only the score is used downstream, Catalyst drops the
-    whitespace rewrite of every text."""
+    whitespace rewrite of every text. Scoring is the costly per-row step, so an
+    input that arrives in fewer splits than cores is spread first (``spread``)."""
     score = scorer(headlines.sparkSession, lexicon, cfg)
-    return headlines.withColumn("cleaned_headline", clean_text("headline")).withColumn(
+    return spread(headlines).withColumn("cleaned_headline", clean_text("headline")).withColumn(
         "sentiment_score", score(F.lower(F.col("headline")))
     )
 

@@ -42,7 +42,8 @@ def plan(df):
 def test_scoring_stays_in_the_jvm(spark):
     p = plan(catalog.QUERIES["score_lexicon"](spark, SF001))
     assert "Python" not in p
-    assert "*(" in p  # whole-stage code generation marker
+    # the test file is one row group (one split): rows are spread before scoring
+    assert "RoundRobinPartitioning" in p
 
 
 def test_scan_prunes_columns(spark):
@@ -106,3 +107,13 @@ def test_window_aggregates_combine_map_side(spark):
     for f in ("partial_avg(price)", "partial_min(price)", "partial_max(price)", "partial_count(price)",
               "partial_avg(sentiment_score)", "partial_count(headline)"):
         assert f in p, f
+
+
+def test_spread_only_when_input_has_few_splits(spark):
+    from moodtick.operators.partitioning import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == cores
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many) is many
