@@ -541,7 +541,9 @@ def q_join_price_sentiment_stream(spark, sf_dir):
     pdir, tdir = stage_topics(spark, sf_dir, root)
     prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir)
     texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir)
-    table = KeyedParquetTable(spark, f"{root}/table", granularity="hour")
+    # the whole history arrives as one micro-batch here (a backfill through the
+    # stream), so day partitions; a live minute-triggered stream uses "hour"
+    table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
     q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
                  f"{root}/checkpoint", name=None, trigger={"availableNow": True})
     q.awaitTermination()
