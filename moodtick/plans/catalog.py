@@ -525,8 +525,10 @@ def _scratch(spark, *parts):
 def stage_topics(spark, sf_dir, root: str) -> tuple[str, str]:
     """Write both topics' envelopes as Parquet files (the replayable file form of a topic)."""
     pdir, tdir = f"{root}/prices", f"{root}/texts"
-    price_envelope(spark, sf_dir).write.mode("overwrite").parquet(pdir)
-    text_envelope(spark, sf_dir).write.mode("overwrite").parquet(tdir)
+    # one file per core, like a topic with that many partitions, so a stream reads it in parallel
+    n = spark.sparkContext.defaultParallelism
+    price_envelope(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(pdir)
+    text_envelope(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(tdir)
     return pdir, tdir
 
 
