@@ -19,7 +19,9 @@ after a failure) is a no-op once its manifest exists, and otherwise rewrites
 its own staging folder, so the result is the same as one clean run.
 
 File-system access goes through Hadoop's FileSystem API, so ``root`` may be any
-shared store the cluster can write (HDFS, object store, NFS).
+shared store the cluster can write (HDFS, object store, NFS). One writer per
+table (the streaming query that owns it); readers may run at any time. Older
+``data/b*`` folders stay referenced by older manifests and are not deleted here.
 """
 
 from __future__ import annotations
