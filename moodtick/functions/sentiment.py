@@ -44,6 +44,14 @@ NULL_TEXT = "none"
 # a deployment passes its own (token, valence) table).
 TEST_LEXICON = {"that": 1.5, "with": -1.0, "this": 2.0, "from": -2.5}
 
+def rule_lexicon() -> dict[str, float]:
+    """A 676-entry lexicon built from a rule (test fixture for the large-lexicon
+    forms): every two-letter a-z word, valence ((31*c1 + c2) mod 9 - 4) / 2
+    with c1, c2 the letters' code points."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    return {a + b: ((31 * ord(a) + ord(b)) % 9 - 4) / 2 for a in letters for b in letters}
+
+
 # Largest lexicon table (rows) the join form broadcasts; beyond it, a shuffle join.
 MAX_BROADCAST_LEXICON = 1_000_000
 

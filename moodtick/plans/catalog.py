@@ -234,6 +234,21 @@ def q_score_lexicon_join(spark, sf_dir):
     return S.score_by_join(h, ["doc_id"], "cleaned_headline", S.lexicon_frame(spark, S.TEST_LEXICON))
 
 
+@register("score_lexicon_vectorised")
+def q_score_lexicon_vectorised(spark, sf_dir):
+    """All documents scored with the 676-word rule lexicon: above the literal-map
+    bound, so the vectorised (Arrow + hash lookup) form runs."""
+    s = Wn.clean_and_score(tables.headlines(spark, sf_dir), S.rule_lexicon(), DAILY)
+    return s.select("doc_id", "ticker", "sentiment_score")
+
+
+@register("score_lexicon_join_large")
+def q_score_lexicon_join_large(spark, sf_dir):
+    """The same lexicon through the token ⋈ lexicon join form."""
+    h = tables.headlines(spark, sf_dir).select("doc_id", clean_text("headline").alias("cleaned_headline"))
+    return S.score_by_join(h, ["doc_id"], "cleaned_headline", S.lexicon_frame(spark, S.rule_lexicon()))
+
+
 # ---------------------------------------------------------------- windowed aggregates
 
 

@@ -149,6 +149,28 @@ ORACLE["clean_headlines"] = with_ctes("SELECT doc_id, ticker, cleaned_headline F
 ORACLE["score_lexicon"] = with_ctes("SELECT doc_id, ticker, sentiment_score FROM scored")
 ORACLE["score_lexicon_join"] = with_ctes("SELECT doc_id, sentiment_score FROM scored")
 
+RULE_LEXICON_CTES = """
+rule_lexicon AS (
+  SELECT chr(CAST(a AS INTEGER)) || chr(CAST(b AS INTEGER)) AS token,
+         CAST((31 * a + b) % 9 - 4 AS DOUBLE) / 2 AS valence
+  FROM range(97, 123) t1(a) JOIN range(97, 123) t2(b) ON TRUE
+),
+rule_sums AS (
+  SELECT t.doc_id, sum(coalesce(l.valence, 0.0)) AS m
+  FROM (SELECT doc_id,
+               unnest(string_split_regex(coalesce(cleaned_headline, 'none'), '[^a-z]+')) AS token
+        FROM cleaned) t
+  LEFT JOIN rule_lexicon l ON l.token = t.token
+  GROUP BY t.doc_id
+)"""
+_RULE_SCORE = "round(coalesce(s.m, 0.0) / sqrt(coalesce(s.m, 0.0) * coalesce(s.m, 0.0) + 15), 4)"
+ORACLE["score_lexicon_vectorised"] = with_ctes(
+    f"""SELECT c.doc_id, c.ticker, {_RULE_SCORE} AS sentiment_score
+FROM cleaned c LEFT JOIN rule_sums s ON s.doc_id = c.doc_id""", extra=RULE_LEXICON_CTES.strip())
+ORACLE["score_lexicon_join_large"] = with_ctes(
+    f"""SELECT c.doc_id, {_RULE_SCORE} AS sentiment_score
+FROM cleaned c LEFT JOIN rule_sums s ON s.doc_id = c.doc_id""", extra=RULE_LEXICON_CTES.strip())
+
 # ---------------------------------------------------------------- windowed aggregates
 
 ORACLE["agg_price_window"] = with_ctes(
