@@ -1,5 +1,6 @@
 """Property tests against brute-force Python models."""
 
+import datetime as dt
 import math
 import re
 from decimal import ROUND_HALF_UP, Decimal
@@ -51,8 +52,6 @@ batches = st.lists(st.lists(st.tuples(keys, st.floats(0, 100, allow_nan=False)),
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(batches)
 def test_merge_sequence_equals_dict_model(spark, seq):
-    import datetime as dt
-
     def frame(rows):
         data = []
         for (t, h), p in rows:
@@ -71,3 +70,30 @@ def test_merge_sequence_equals_dict_model(spark, seq):
                        [(x.ticker, x.window_start, x.avg_price) for x in merge_frames(table, frame(rows)).collect()]])
     got = {(r.ticker, r.window_start.hour): r.avg_price for r in table.collect()}
     assert got == model
+
+
+events = st.lists(
+    st.tuples(
+        st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40),
+        st.floats(-1e6, 1e6, allow_nan=False),
+        st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2100, 1, 1)),
+    ),
+    min_size=1,
+    max_size=20,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(events)
+def test_encode_decode_round_trip(spark, rows):
+    from decimal import Decimal
+
+    from moodtick.operators.parse import encode_price_event, encode_text_event, parse_prices, parse_texts, to_envelope
+
+    data = [(i, f"T{i}", text, price, ts) for i, (text, price, ts) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, ticker string, headline string, price double, timestamp timestamp")
+    texts = parse_texts(to_envelope(encode_text_event(df.withColumn("source", F.lit("s")), "t"))).collect()
+    assert sorted((r.ticker, r.headline, r.timestamp) for r in texts) == sorted((t, h, ts) for _, t, h, _, ts in data)
+    prices = {r.ticker: r.price for r in parse_prices(to_envelope(encode_price_event(df, "p"))).collect()}
+    for _, t, _, p, _ in data:
+        assert prices[t] == float(Decimal(repr(p)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
