@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import PRICE_EVENT, TEXT_EVENT
-from .partitioning import spread
 
 # Wire format of event timestamps and price precision.
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -31,7 +30,7 @@ def parse_event_time(c: Column) -> Column:
 
 
 def _decoded(envelope: DataFrame, schema) -> DataFrame:
-    return spread(envelope).select(F.from_json(F.col("value").cast("string"), schema).alias("data"))
+    return envelope.select(F.from_json(F.col("value").cast("string"), schema).alias("data"))
 
 
 def _is_reject(fields: list[str]) -> Column:
@@ -72,7 +71,7 @@ def rejects(envelope: DataFrame, kind: str) -> DataFrame:
     """Envelope rows whose value is not a parseable event (NULL, not JSON, or no
     known field): topic coordinates plus the raw text, for a reject output."""
     schema, fields = (PRICE_EVENT, _PRICE_FIELDS) if kind == "price" else (TEXT_EVENT, _TEXT_FIELDS)
-    d = spread(envelope).select(
+    d = envelope.select(
         "topic",
         "partition",
         "offset",

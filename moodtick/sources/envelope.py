@@ -13,8 +13,10 @@ Both work as batch (``spark.read``) and as stream (``spark.readStream``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..operators.partitioning import spread
 from ..schemas import ENVELOPE
 
 
@@ -57,5 +59,6 @@ def read_envelope(
         r = reader.schema(ENVELOPE)
         if stream and max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return r.parquet(path).where(f"topic = '{topic}'") if topic else r.parquet(path)
+        df = spread(r.parquet(path))
+        return df.where(F.col("topic") == F.lit(topic)) if topic else df
     raise ValueError(f"unknown envelope format {fmt!r}")

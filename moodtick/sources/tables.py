@@ -14,6 +14,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
+
 # Fixed values of the headline view: the five tickers and the minute spread.
 TICKERS = ("click", "error", "purchase", "signup", "view")
 HEADLINE_EPOCH = "2024-01-01 00:00:00"
@@ -22,7 +24,9 @@ HEADLINE_MINUTE_SPAN = 43200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A test table; spread over the cores when it comes in fewer splits (the
+    test files hold one row group each)."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
