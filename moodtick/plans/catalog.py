@@ -596,3 +596,25 @@ def q_stream_sentiment_window(spark, sf_dir):
     texts = Wn.clean_and_score(P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir)),
                                TEST_LEXICON, MINUTE)
     return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(texts, MINUTE), root))
+
+
+@register("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """Late data on the real tables: the headline topic is replayed one ticker per
+    micro-batch (one file per ticker, written in ticker order,
+    maxFilesPerTrigger=1), so each ticker's history arrives after the previous
+    ones have pushed the watermark to the end of the month. Rows whose window
+    end is at or below the late-events watermark (the watermark two batches
+    back) are dropped; the rest are aggregated in 1-minute windows and emitted
+    once closed. Every row of the table goes through the stream."""
+    import time
+
+    root = _scratch(spark)
+    tdir = f"{root}/texts"
+    env = text_envelope(spark, sf_dir)
+    for t in tables.TICKERS:  # sequential writes: file modification order = replay order
+        env.where(F.col("key") == F.lit(t).cast("binary")).coalesce(1).write.mode("append").parquet(tdir)
+        time.sleep(0.02)
+    texts = P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1))
+    scored = Wn.clean_and_score(texts, TEST_LEXICON, MINUTE)
+    return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(scored, MINUTE), root))

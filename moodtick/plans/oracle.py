@@ -427,3 +427,24 @@ ORACLE["stream_sentiment_window"] = guard_round6(with_ctes(
          round(avg(sentiment_score), 6) AS avg_sentiment, count(headline) AS headline_count
   FROM scored WHERE "timestamp" IS NOT NULL GROUP BY ALL) w
 WHERE window_end <= (SELECT max("timestamp") FROM headlines) - INTERVAL 1 minute"""))
+
+
+# Late data: batch b = the ticker's position; W_k = (max event time over batches <= k) - 1 minute;
+# a row of batch b is kept iff its window end > W_(b-2); closed windows: end <= W_final.
+ORACLE["stream_late_data"] = guard_round6(with_ctes(
+    f"""SELECT * FROM (
+  SELECT ticker, window_start, window_end,
+         round(avg(sentiment_score), 6) AS avg_sentiment, count(headline) AS headline_count
+  FROM (
+    SELECT b.*
+    FROM (SELECT s.*, date_trunc('minute', "timestamp") AS window_start,
+                 date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end,
+                 list_position({_tickers_list()}, ticker) - 1 AS batch
+          FROM scored s WHERE "timestamp" IS NOT NULL) b
+    LEFT JOIN (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch) - INTERVAL 1 minute AS w
+               FROM (SELECT list_position({_tickers_list()}, ticker) - 1 AS batch, "timestamp" FROM headlines) x
+               GROUP BY batch) wm
+      ON wm.batch = b.batch - 2
+    WHERE wm.w IS NULL OR b.window_end > wm.w) kept
+  GROUP BY ticker, window_start, window_end) w
+WHERE window_end <= (SELECT max("timestamp") FROM headlines) - INTERVAL 1 minute"""))
