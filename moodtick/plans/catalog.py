@@ -547,11 +547,7 @@ def stage_topics(spark, sf_dir, root: str) -> tuple[str, str]:
     return pdir, tdir
 
 
-@register("join_price_sentiment_stream")
-def q_join_price_sentiment_stream(spark, sf_dir):
-    """The streaming pipeline (1-minute windows, 1-minute watermark) over the
-    topics replayed from files with availableNow, merged into a keyed table.
-    Only closed windows come out: end <= min over streams(max event time) - delay."""
+def _run_join_stream(spark, sf_dir):
     from ..sinks.parquet_table import KeyedParquetTable
 
     root = _scratch(spark)
@@ -569,6 +565,26 @@ def q_join_price_sentiment_stream(spark, sf_dir):
     return round_doubles(table.read())
 
 
+@register("join_price_sentiment_stream")
+def q_join_price_sentiment_stream(spark, sf_dir):
+    """The streaming pipeline (1-minute windows, 1-minute watermark) over the
+    topics replayed from files with availableNow, merged into a keyed table.
+    Only closed windows come out: end <= min over streams(max event time) - delay."""
+    return _run_join_stream(spark, sf_dir)
+
+
+@register("join_price_sentiment_stream_rocksdb")
+def q_join_price_sentiment_stream_rocksdb(spark, sf_dir):
+    """The same stream with its aggregation and join state in RocksDB."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    prev = spark.conf.get(key)
+    SP.use_rocksdb_state(spark)
+    try:
+        return _run_join_stream(spark, sf_dir)
+    finally:
+        spark.conf.set(key, prev)
+
+
 def _stream_window_to_files(spark, df, root: str):
     out = f"{root}/out"
     q = (

@@ -412,6 +412,7 @@ _CLOSED = """(SELECT least((SELECT max("timestamp") FROM ticks), (SELECT max("ti
         - INTERVAL 1 minute)"""
 ORACLE["join_price_sentiment_stream"] = guard_round6(with_ctes(
     METRICS_OUT + f"\nWHERE window_end <= {_CLOSED}", "minute"))
+ORACLE["join_price_sentiment_stream_rocksdb"] = ORACLE["join_price_sentiment_stream"]
 ORACLE["stream_price_window"] = guard_round6(with_ctes(
     """SELECT * FROM (
   SELECT ticker, date_trunc('minute', "timestamp") AS window_start,
