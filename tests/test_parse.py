@@ -64,3 +64,20 @@ def test_round_trip_price_and_text(spark):
 def test_key_is_ticker_bytes(spark):
     ticks = spark.createDataFrame([("AAPL", 1.0, None)], "ticker string, price double, timestamp timestamp")
     assert bytes(P.encode_price_event(ticks, "t").first().key) == b"AAPL"
+
+
+def test_kafka_paths_fail_clearly_without_the_connector(spark):
+    import pytest
+
+    from moodtick.sinks.topic import write_topic
+    from moodtick.sources.envelope import kafka_available, read_envelope
+
+    if kafka_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError, match="Kafka"):
+        read_envelope(spark, "stock_prices", fmt="kafka")
+    ticks = spark.createDataFrame([("AAPL", 1.0, None)], "ticker string, price double, timestamp timestamp")
+    with pytest.raises(RuntimeError, match="Kafka"):
+        write_topic(P.encode_price_event(ticks, "stock_prices"), fmt="kafka")
+    with pytest.raises(ValueError):
+        read_envelope(spark, "stock_prices", fmt="files")
