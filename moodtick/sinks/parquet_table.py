@@ -32,7 +32,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import METRICS, METRICS_KEY
+from ..schemas import METRICS, METRICS_KEY, TICKER_MAX_LEN
 from .merge import dedup_batch, merge_frames
 
 PARTITION_COL = "window_part"
@@ -138,8 +138,22 @@ class KeyedParquetTable:
             b.unpersist()
 
     def _merge(self, b: DataFrame, batch_id: int, cur: dict) -> bool:
-        # The partitions a batch touches: a metadata list bounded by the batch's time span.
-        touched = [r[0] for r in b.select(PARTITION_COL).distinct().collect()]
+        # The partitions a batch touches (a metadata list bounded by the batch's
+        # time span), with the table's constraints checked in the same pass:
+        # key parts NOT NULL, ticker at most TICKER_MAX_LEN characters.
+        k1, k2 = self.key[0], self.key[1]
+        stats = (
+            b.groupBy(PARTITION_COL)
+            .agg(
+                F.count_if(F.col(k1).isNull() | F.col(k2).isNull()).alias("null_keys"),
+                F.count_if(F.length(k1) > TICKER_MAX_LEN).alias("long_keys"),
+            )
+            .collect()
+        )
+        bad = [r for r in stats if r[PARTITION_COL] is None or r["null_keys"] or r["long_keys"]]
+        if bad:
+            raise ValueError(f"batch {batch_id} violates the table's key constraints: {bad[:3]}")
+        touched = [r[PARTITION_COL] for r in stats]
         if not touched:
             return False
         old = self.read([d for d in touched if d in cur["partitions"]]).withColumn(PARTITION_COL, self.partition_of())

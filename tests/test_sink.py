@@ -109,3 +109,16 @@ def test_hour_partitions_rewrite_only_the_touched_hour(spark, scratch):
     assert sorted(parts) == ["2024-01-01T10", "2024-01-01T11"]
     assert parts["2024-01-01T10"].startswith("data/b000000000001") and parts["2024-01-01T11"].startswith("data/b000000000000")
     assert {(r.ticker, r.avg_price) for r in tbl.read().collect()} == {("A", 9.0), ("B", 2.0), ("A", 3.0)}
+
+
+def test_merge_rejects_key_constraint_violations(spark, scratch):
+    import pytest
+
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    for bad in ([row(None, 1, 0, 1.0)], [row("TOO_LONG_TICKER", 1, 0, 1.0)]):
+        nullable = "ticker string, window_start timestamp_ntz, window_end timestamp_ntz, avg_price double, " \
+                   "min_price double, max_price double, price_count int, avg_sentiment double, headline_count int"
+        df = spark.createDataFrame(bad, nullable)
+        with pytest.raises(ValueError, match="constraints"):
+            tbl.merge(df, 0)
+    assert tbl.current() is None
