@@ -634,3 +634,34 @@ def q_stream_late_data(spark, sf_dir):
     texts = P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1))
     scored = Wn.clean_and_score(texts, TEST_LEXICON, MINUTE)
     return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(scored, MINUTE), root))
+
+
+@register("join_stream_late_data")
+def q_join_stream_late_data(spark, sf_dir):
+    """The stream-stream pipeline with late data on both inputs: both topics are
+    replayed one ticker per micro-batch (one file per ticker and topic, written
+    in ticker order, maxFilesPerTrigger=1). The global watermark is the minimum
+    of the two streams' (max event time - delay); rows whose window end is at or
+    below the late-events watermark are dropped on each side before the
+    aggregates meet in the join. Every row of both tables goes through the stream."""
+    import time
+
+    from ..sinks.parquet_table import KeyedParquetTable
+
+    root = _scratch(spark)
+    pdir, tdir = f"{root}/prices", f"{root}/texts"
+    penv, tenv = price_envelope(spark, sf_dir), text_envelope(spark, sf_dir)
+    for t in tables.TICKERS:  # sequential writes: file modification order = replay order
+        key = F.lit(t).cast("binary")
+        penv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(pdir)
+        tenv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(tdir)
+        time.sleep(0.02)
+    prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir, max_files_per_trigger=1)
+    texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1)
+    table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
+    q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
+                 f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return round_doubles(table.read())

@@ -449,3 +449,38 @@ ORACLE["stream_late_data"] = guard_round6(with_ctes(
     WHERE wm.w IS NULL OR b.window_end > wm.w) kept
   GROUP BY ticker, window_start, window_end) w
 WHERE window_end <= (SELECT max("timestamp") FROM headlines) - INTERVAL 1 minute"""))
+
+
+# Late data on both inputs of the join: batch = ticker position in both topics;
+# W_k = min(max price time, max headline time over batches <= k) - 1 minute;
+# each side keeps rows with window end > W_(b-2); closed windows: end <= W_last.
+_BATCH = f"list_position({_tickers_list()}, ticker) - 1"
+ORACLE["join_stream_late_data"] = guard_round6(with_ctes(
+    f"""SELECT p.ticker, p.window_start, p.window_end,
+       round(p.avg_price, 6) AS avg_price, round(p.min_price, 6) AS min_price, round(p.max_price, 6) AS max_price,
+       CAST(p.price_count AS INTEGER) AS price_count, round(coalesce(s.avg_sentiment, 0.0), 6) AS avg_sentiment,
+       CAST(s.headline_count AS INTEGER) AS headline_count
+FROM (SELECT ticker, window_start, window_end, avg(price) AS avg_price, min(price) AS min_price,
+             max(price) AS max_price, count(price) AS price_count
+      FROM (SELECT t.*, date_trunc('minute', "timestamp") AS window_start,
+                   date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end, {_BATCH} AS batch
+            FROM ticks t WHERE "timestamp" IS NOT NULL) x
+      LEFT JOIN wm ON wm.batch = x.batch - 2
+      WHERE wm.w IS NULL OR x.window_end > wm.w
+      GROUP BY ticker, window_start, window_end) p
+JOIN (SELECT ticker, window_start, window_end, avg(sentiment_score) AS avg_sentiment, count(headline) AS headline_count
+      FROM (SELECT s.*, date_trunc('minute', "timestamp") AS window_start,
+                   date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end, {_BATCH} AS batch
+            FROM scored s WHERE "timestamp" IS NOT NULL) y
+      LEFT JOIN wm ON wm.batch = y.batch - 2
+      WHERE wm.w IS NULL OR y.window_end > wm.w
+      GROUP BY ticker, window_start, window_end) s
+  ON s.ticker = p.ticker AND s.window_start = p.window_start
+WHERE p.window_end <= (SELECT max(w) FROM wm)""", extra=f"""wm AS (
+  SELECT pb.batch, least(pb.m, tb.m) - INTERVAL 1 minute AS w
+  FROM (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch) AS m
+        FROM (SELECT {_BATCH} AS batch, "timestamp" FROM ticks) a GROUP BY batch) pb
+  JOIN (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch) AS m
+        FROM (SELECT {_BATCH} AS batch, "timestamp" FROM headlines) b GROUP BY batch) tb
+    ON tb.batch = pb.batch
+)"""))
