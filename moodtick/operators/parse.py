@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import utc_wall_clock
 from ..schemas import PRICE_EVENT, TEXT_EVENT
 
-# Wire format of event timestamps and price precision.
-WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# Wire format of event timestamps (UTC, microseconds, +00:00) and price precision.
+WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+WIRE_UTC_OFFSET = "+00:00"
 PRICE_DIGITS = 2
 
 _PRICE_FIELDS = [f.name for f in PRICE_EVENT.fields]
@@ -82,10 +84,9 @@ def rejects(envelope: DataFrame, kind: str) -> DataFrame:
 
 
 def wire_timestamp(ts: Column) -> Column:
-    """UTC ISO-8601 with microseconds and offset, e.g. 2024-01-01T00:00:07.179575+00:00.
-
-    Formatted in the session time zone, which the engine pins to UTC."""
-    return F.date_format(ts, WIRE_TIMESTAMP_FORMAT)
+    """UTC ISO-8601 with microseconds and offset, e.g. 2024-01-01T00:00:07.179575+00:00,
+    whatever the session time zone."""
+    return F.concat(F.date_format(utc_wall_clock(ts), WIRE_TIMESTAMP_FORMAT), F.lit(WIRE_UTC_OFFSET))
 
 
 def encode_price_event(ticks: DataFrame, topic: str, carry: tuple[str, ...] = ()) -> DataFrame:

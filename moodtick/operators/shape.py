@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import utc_wall_clock
 from ..schemas import METRICS, METRICS_KEY, TICKER_MAX_LEN
 from .windows import WINDOW_COL
 
@@ -12,7 +13,7 @@ from .windows import WINDOW_COL
 def shape_metrics(joined: DataFrame, sentiment_default: float | None = 0.0) -> DataFrame:
     """Joined rows → the 9 stored columns.
 
-    Window bounds become zone-less UTC timestamps (session zone is UTC), counts
+    Window bounds become zone-less UTC timestamps (whatever the session zone), counts
     narrow to int (ANSI cast: overflow fails instead of wrapping), a NULL
     average sentiment is stored as ``sentiment_default``. A NULL price stays
     NULL (the column is nullable).
@@ -22,8 +23,8 @@ def shape_metrics(joined: DataFrame, sentiment_default: float | None = 0.0) -> D
         sent = F.coalesce(sent, F.lit(float(sentiment_default)))
     return joined.select(
         F.col("ticker"),
-        F.col(f"{WINDOW_COL}.start").cast("timestamp_ntz").alias("window_start"),
-        F.col(f"{WINDOW_COL}.end").cast("timestamp_ntz").alias("window_end"),
+        utc_wall_clock(F.col(f"{WINDOW_COL}.start")).alias("window_start"),
+        utc_wall_clock(F.col(f"{WINDOW_COL}.end")).alias("window_end"),
         F.col("avg_price").cast("double").alias("avg_price"),
         F.col("min_price").cast("double").alias("min_price"),
         F.col("max_price").cast("double").alias("max_price"),

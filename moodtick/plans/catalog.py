@@ -18,6 +18,7 @@ from ..functions import labels as L
 from ..functions import sentiment as S
 from ..functions.sentiment import TEST_LEXICON
 from ..functions.text import clean_text
+from ..functions.times import instant_from_utc, utc_wall_clock
 from ..operators import analyses as A
 from ..operators import dashboard as D
 from ..operators import parse as P
@@ -102,7 +103,7 @@ def text_envelope(spark, sf_dir):
 
 
 def _ntz(c):
-    return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
+    return utc_wall_clock(c)
 
 
 @register("src_price_envelope")
@@ -172,7 +173,7 @@ def q_parse_texts(spark, sf_dir):
 @register("parse_timestamps")
 def q_parse_timestamps(spark, sf_dir):
     """Event times written in several ISO forms (and junk) parse back safely."""
-    e = tables.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("t"), "props")
+    e = tables.table(spark, sf_dir, "events").select("event_id", instant_from_utc("ts").alias("t"), "props")
     return e.select(
         "event_id",
         _ntz(P.parse_event_time(P.wire_timestamp(F.col("t")))).alias("t_offset"),
@@ -190,7 +191,7 @@ def mixed_price_topic(spark, sf_dir):
         F.col("event_type").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.lit(PRICE_TOPIC).alias("topic"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        instant_from_utc("ts").alias("timestamp"),
     )
     docs = tables.table(spark, sf_dir, "documents").select(
         F.col("source").cast("binary").alias("key"),
@@ -282,8 +283,7 @@ def q_snk_row_shape(spark, sf_dir):
         "ticker",
         "window_start",
         "window_end",
-        (F.unix_timestamp(F.col("window_end").cast("timestamp")) - F.unix_timestamp(F.col("window_start").cast("timestamp")))
-        .alias("window_seconds"),
+        F.timestamp_diff("SECOND", F.col("window_start"), F.col("window_end")).alias("window_seconds"),
         "price_count",
         "headline_count",
         r6("avg_sentiment").alias("avg_sentiment"),
@@ -310,7 +310,8 @@ def _split_batches(spark, sf_dir, cfg: Config):
     """Two overlapping arrivals of the same streams: events before day 20, and
     events from day 15 on. Together they hold every row."""
     t, h = tables.ticks(spark, sf_dir), tables.headlines(spark, sf_dir)
-    cut_a, cut_b = F.lit("2024-01-20 00:00:00").cast("timestamp"), F.lit("2024-01-15 00:00:00").cast("timestamp")
+    cut_a = instant_from_utc(F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00")))
+    cut_b = instant_from_utc(F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00")))
     a = pipeline.metrics(t.where(F.col("timestamp") < cut_a), h.where(F.col("timestamp") < cut_a), TEST_LEXICON, cfg)
     b = pipeline.metrics(t.where(F.col("timestamp") >= cut_b), h.where(F.col("timestamp") >= cut_b), TEST_LEXICON, cfg)
     return a, b
@@ -513,7 +514,7 @@ def q_lake_layers(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     t = tables.table(spark, sf_dir, "events").select(
         "event_id", F.col("event_type").alias("ticker"), F.col("value").alias("price"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        instant_from_utc("ts").alias("timestamp"),
     )
     h = tables.headlines(spark, sf_dir)
     a = Q.stream_quality(t, "prices", "price", "event_id", "1 minute")

@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import instant_from_utc
 from ..operators.partitioning import spread
 
 # Fixed values of the headline view: the five tickers and the minute spread.
@@ -34,7 +35,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("ticker"),
         F.col("value").alias("price"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        instant_from_utc("ts").alias("timestamp"),
     )
 
 
@@ -49,7 +50,7 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.col("text").alias("headline"),
         "source",
-        (F.to_timestamp(F.lit(HEADLINE_EPOCH)) + F.make_dt_interval(F.lit(0), F.lit(0), minute, F.lit(0))).alias(
-            "timestamp"
-        ),
+        instant_from_utc(
+            F.to_timestamp_ntz(F.lit(HEADLINE_EPOCH)) + F.make_dt_interval(F.lit(0), F.lit(0), minute, F.lit(0))
+        ).alias("timestamp"),
     )

@@ -117,3 +117,15 @@ def test_spread_only_when_input_has_few_splits(spark):
     assert spread(one).rdd.getNumPartitions() == cores
     many = spark.range(0, 1000, numPartitions=cores * 2)
     assert spread(many) is many
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    """Window bounds are UTC wall clock even under another session zone."""
+    utc = {tuple(r) for r in catalog.QUERIES["join_price_sentiment_hourly"](spark, SF001).collect()}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = {tuple(r) for r in catalog.metrics_view(spark, SF001, catalog.HOURLY).transform(catalog.round_doubles)
+              .collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert ny == utc and len(utc) > 0
