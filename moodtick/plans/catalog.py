@@ -637,14 +637,7 @@ def q_stream_late_data(spark, sf_dir):
     return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(scored, MINUTE), root))
 
 
-@register("join_stream_late_data")
-def q_join_stream_late_data(spark, sf_dir):
-    """The stream-stream pipeline with late data on both inputs: both topics are
-    replayed one ticker per micro-batch (one file per ticker and topic, written
-    in ticker order, maxFilesPerTrigger=1). The global watermark is the minimum
-    of the two streams' (max event time - delay); rows whose window end is at or
-    below the late-events watermark are dropped on each side before the
-    aggregates meet in the join. Every row of both tables goes through the stream."""
+def _run_join_late(spark, sf_dir, cfg: Config):
     import time
 
     from ..sinks.parquet_table import KeyedParquetTable
@@ -660,9 +653,32 @@ def q_join_stream_late_data(spark, sf_dir):
     prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir, max_files_per_trigger=1)
     texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1)
     table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
-    q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
-                 f"{root}/checkpoint", name=None, trigger={"availableNow": True})
-    q.awaitTermination()
+    key = "spark.sql.streaming.multipleWatermarkPolicy"
+    prev = spark.conf.get(key)
+    try:
+        q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, cfg), table.foreach_batch(),
+                     f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, prev)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return round_doubles(table.read())
+
+
+@register("join_stream_late_data")
+def q_join_stream_late_data(spark, sf_dir):
+    """The stream-stream pipeline with late data on both inputs: both topics are
+    replayed one ticker per micro-batch (one file per ticker and topic, written
+    in ticker order, maxFilesPerTrigger=1). The global watermark is the minimum
+    of the two streams' (max event time - delay); rows whose window end is at or
+    below the late-events watermark are dropped on each side before the
+    aggregates meet in the join. Every row of both tables goes through the stream."""
+    return _run_join_late(spark, sf_dir, MINUTE)
+
+
+@register("join_stream_late_data_max_policy")
+def q_join_stream_late_data_max_policy(spark, sf_dir):
+    """As join_stream_late_data with the global watermark the maximum over the
+    two streams (the faster stream drives; more rows of the slower one are late)."""
+    return _run_join_late(spark, sf_dir, MINUTE.with_(watermark_policy="max"))

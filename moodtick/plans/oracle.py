@@ -455,7 +455,8 @@ WHERE window_end <= (SELECT max("timestamp") FROM headlines) - INTERVAL 1 minute
 # W_k = min(max price time, max headline time over batches <= k) - 1 minute;
 # each side keeps rows with window end > W_(b-2); closed windows: end <= W_last.
 _BATCH = f"list_position({_tickers_list()}, ticker) - 1"
-ORACLE["join_stream_late_data"] = guard_round6(with_ctes(
+def _join_late_sql(combine: str) -> str:
+    return guard_round6(with_ctes(
     f"""SELECT p.ticker, p.window_start, p.window_end,
        round(p.avg_price, 6) AS avg_price, round(p.min_price, 6) AS min_price, round(p.max_price, 6) AS max_price,
        CAST(p.price_count AS INTEGER) AS price_count, round(coalesce(s.avg_sentiment, 0.0), 6) AS avg_sentiment,
@@ -477,10 +478,14 @@ JOIN (SELECT ticker, window_start, window_end, avg(sentiment_score) AS avg_senti
       GROUP BY ticker, window_start, window_end) s
   ON s.ticker = p.ticker AND s.window_start = p.window_start
 WHERE p.window_end <= (SELECT max(w) FROM wm)""", extra=f"""wm AS (
-  SELECT pb.batch, least(pb.m, tb.m) - INTERVAL 1 minute AS w
+  SELECT pb.batch, {combine}(pb.m, tb.m) - INTERVAL 1 minute AS w
   FROM (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch) AS m
         FROM (SELECT {_BATCH} AS batch, "timestamp" FROM ticks) a GROUP BY batch) pb
   JOIN (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch) AS m
         FROM (SELECT {_BATCH} AS batch, "timestamp" FROM headlines) b GROUP BY batch) tb
     ON tb.batch = pb.batch
 )"""))
+
+
+ORACLE["join_stream_late_data"] = _join_late_sql("least")
+ORACLE["join_stream_late_data_max_policy"] = _join_late_sql("greatest")
