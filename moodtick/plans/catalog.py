@@ -30,6 +30,7 @@ from ..schemas import PRICE_EVENT, TEXT_EVENT, TICKER_MAX_LEN
 from ..sinks import lake
 from ..sources import tables
 from ..sources.envelope import read_envelope
+from ..session import session_conf, stream_width
 from ..streaming import pipeline as SP
 
 OUT_DIGITS = 6
@@ -558,9 +559,10 @@ def _run_join_stream(spark, sf_dir):
     # the whole history arrives as one micro-batch here (a backfill through the
     # stream), so day partitions; a live minute-triggered stream uses "hour"
     table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
-    q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
-                 f"{root}/checkpoint", name=None, trigger={"availableNow": True})
-    q.awaitTermination()
+    with session_conf(spark, stream_width(spark)):
+        q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
+                     f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return round_doubles(table.read())
@@ -577,22 +579,18 @@ def q_join_price_sentiment_stream(spark, sf_dir):
 @register("join_price_sentiment_stream_rocksdb")
 def q_join_price_sentiment_stream_rocksdb(spark, sf_dir):
     """The same stream with its aggregation and join state in RocksDB."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    prev = spark.conf.get(key)
-    SP.use_rocksdb_state(spark)
-    try:
+    with session_conf(spark, {"spark.sql.streaming.stateStore.providerClass": SP.ROCKSDB_PROVIDER}):
         return _run_join_stream(spark, sf_dir)
-    finally:
-        spark.conf.set(key, prev)
 
 
 def _stream_window_to_files(spark, df, root: str):
     out = f"{root}/out"
-    q = (
-        _flat_window(df).writeStream.outputMode("append").format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(out)
-    )
-    q.awaitTermination()
+    with session_conf(spark, stream_width(spark)):
+        q = (
+            _flat_window(df).writeStream.outputMode("append").format("parquet")
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(out)
+        )
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out)
@@ -628,10 +626,13 @@ def q_stream_late_data(spark, sf_dir):
 
     root = _scratch(spark)
     tdir = f"{root}/texts"
-    env = text_envelope(spark, sf_dir)
-    for t in tables.TICKERS:  # sequential writes: file modification order = replay order
-        env.where(F.col("key") == F.lit(t).cast("binary")).coalesce(1).write.mode("append").parquet(tdir)
-        time.sleep(0.02)
+    env = text_envelope(spark, sf_dir).persist()  # encoded once, then written one ticker at a time
+    try:
+        for t in tables.TICKERS:  # sequential writes: file modification order = replay order
+            env.where(F.col("key") == F.lit(t).cast("binary")).coalesce(1).write.mode("append").parquet(tdir)
+            time.sleep(0.02)
+    finally:
+        env.unpersist()
     texts = P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1))
     scored = Wn.clean_and_score(texts, TEST_LEXICON, MINUTE)
     return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(scored, MINUTE), root))
@@ -644,23 +645,25 @@ def _run_join_late(spark, sf_dir, cfg: Config):
 
     root = _scratch(spark)
     pdir, tdir = f"{root}/prices", f"{root}/texts"
-    penv, tenv = price_envelope(spark, sf_dir), text_envelope(spark, sf_dir)
-    for t in tables.TICKERS:  # sequential writes: file modification order = replay order
-        key = F.lit(t).cast("binary")
-        penv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(pdir)
-        tenv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(tdir)
-        time.sleep(0.02)
+    # encoded once, then written one ticker at a time
+    penv, tenv = price_envelope(spark, sf_dir).persist(), text_envelope(spark, sf_dir).persist()
+    try:
+        for t in tables.TICKERS:  # sequential writes: file modification order = replay order
+            key = F.lit(t).cast("binary")
+            penv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(pdir)
+            tenv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(tdir)
+            time.sleep(0.02)
+    finally:
+        penv.unpersist()
+        tenv.unpersist()
     prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir, max_files_per_trigger=1)
     texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1)
     table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
-    key = "spark.sql.streaming.multipleWatermarkPolicy"
-    prev = spark.conf.get(key)
-    try:
+    keep = {"spark.sql.streaming.multipleWatermarkPolicy": spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy")}
+    with session_conf(spark, {**stream_width(spark), **keep}):
         q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, cfg), table.foreach_batch(),
                      f"{root}/checkpoint", name=None, trigger={"availableNow": True})
         q.awaitTermination()
-    finally:
-        spark.conf.set(key, prev)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return round_doubles(table.read())

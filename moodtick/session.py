@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -84,3 +85,25 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (for stream checkpoints, stage tables)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set runtime SQL settings for the duration of a block, then restore them."""
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def stream_width(spark: SparkSession) -> dict[str, str]:
+    """State width for the replay streams: one state partition per core of the
+    cluster (a stateful stream keeps the width of its first start)."""
+    return {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
