@@ -5,8 +5,8 @@ time older than the high-water mark of everything that arrived before, minus
 the watermark delay: the rows a streaming watermark would treat as late.
 The running maximum is computed without a single-task window over the whole
 input: arrival order is cut into fixed-size blocks; a block's running maximum
-is a window over that block only (bounded size), and the maxima of earlier
-blocks come from a prefix over one row per block.
+is a window over that block only (bounded size); the maxima of earlier blocks
+come from a prefix within groups of blocks plus a prefix over one row per group.
 """
 
 from __future__ import annotations
@@ -15,27 +15,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 20  # rows per arrival block (bounds the largest window group)
+DEFAULT_FANOUT = 1 << 10  # blocks per super-block
+
+
+def _prefix_before(df, order_col: str, value_col: str, group_col: str | None):
+    """Running max of ``value_col`` over strictly earlier ``order_col`` rows
+    (within ``group_col`` when given)."""
+    w = Window.orderBy(order_col) if group_col is None else Window.partitionBy(group_col).orderBy(order_col)
+    return F.max(value_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def late_rows(
-    df: DataFrame, seq_col: str, ts_col: str, delay: str = "1 minute", block: int = DEFAULT_BLOCK
+    df: DataFrame, seq_col: str, ts_col: str, delay: str = "1 minute", block: int = DEFAULT_BLOCK,
+    fanout: int = DEFAULT_FANOUT,
 ) -> DataFrame:
     """``df`` plus ``high_water`` (max event time of strictly earlier arrivals)
-    and ``is_late``. ``seq_col`` is a unique arrival order."""
+    and ``is_late``. ``seq_col`` is a unique arrival order.
+
+    Three levels, each window group bounded: rows within a block (``block``
+    rows), blocks within a super-block (``fanout`` blocks), and one row per
+    super-block in arrival order (one row per block × fanout input rows)."""
     d = df.withColumn("_blk", F.floor(F.col(seq_col) / F.lit(block)))
-    blocks = d.groupBy("_blk").agg(F.max(ts_col).alias("_blk_max"))
-    # one row per block: prefix max over earlier blocks (a small frame)
-    prefix = blocks.select(
-        "_blk",
-        F.max("_blk_max")
-        .over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_before_blk"),
+    blocks = d.groupBy("_blk").agg(F.max(ts_col).alias("_blk_max")).withColumn(
+        "_sup", F.floor(F.col("_blk") / F.lit(fanout))
     )
+    supers = blocks.groupBy("_sup").agg(F.max("_blk_max").alias("_sup_max"))
+    supers = supers.select("_sup", _prefix_before(supers, "_sup", "_sup_max", None).alias("_before_sup"))
+    prefix = blocks.select(
+        "_blk", "_sup", _prefix_before(blocks, "_blk", "_blk_max", "_sup").alias("_before_blk_in_sup")
+    ).join(supers, "_sup", "left")
+    prefix = prefix.select("_blk", F.greatest("_before_sup", "_before_blk_in_sup").alias("_before_blk"))
     within = Window.partitionBy("_blk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_in_blk", F.max(ts_col).over(within)).join(prefix, "_blk", "left")
     hw = F.greatest(F.col("_before_blk"), F.col("_in_blk"))
-    return d.drop("_blk").select(
-        *[c for c in df.columns],
+    return d.select(
+        *df.columns,
         hw.alias("high_water"),
         F.coalesce(F.col(ts_col) < hw - F.expr(f"INTERVAL {delay}"), F.lit(False)).alias("is_late"),
     )

@@ -24,9 +24,10 @@ def test_late_rows_match_brute_force_across_blocks(spark):
         rows.append((seq, t))
     df = spark.createDataFrame(rows, "seq long, timestamp timestamp")
     expect = brute(rows, 60)
-    for block in (7, 64, 1 << 20):
-        got = {r.seq: (r.high_water, r.is_late) for r in late_rows(df, "seq", "timestamp", "1 minute", block).collect()}
-        assert got == expect, block
+    for block, fanout in ((7, 3), (7, 1024), (64, 2), (1 << 20, 1024)):
+        got = {r.seq: (r.high_water, r.is_late)
+               for r in late_rows(df, "seq", "timestamp", "1 minute", block, fanout).collect()}
+        assert got == expect, (block, fanout)
 
 
 def test_stream_quality_counts(spark):
