@@ -48,6 +48,9 @@ def read_envelope(
                 "org.apache.spark:spark-sql-kafka-0-10_2.13 or use fmt='files'"
             )
         opts = cfg.kafka_options(topic)
+        # topics are keyed by ticker, so a hot ticker is a hot topic partition:
+        # let the source split large offset ranges over at least one task per core
+        opts["minPartitions"] = str(spark.sparkContext.defaultParallelism)
         if not stream:
             opts.pop("failOnDataLoss", None)
             if opts.get("startingOffsets") == "latest":
