@@ -253,3 +253,23 @@ def test_two_named_console_queries_and_await_all(spark, scratch):
     assert qp.name == "prices_stream" and qt.name == "texts_stream"
     assert sum(p["numInputRows"] for p in qp.recentProgress) == 12
     assert sum(p["numInputRows"] for p in qt.recentProgress) == 12
+
+
+@pytest.mark.parametrize("stage", ["parsed", "scored", "joined"])
+def test_console_verification_stages(spark, scratch, stage):
+    from moodtick.operators.parse import encode_price_event, encode_text_event, to_envelope
+    from moodtick.plans.verify import start_verification
+    from moodtick.sources.envelope import read_envelope
+
+    prices, texts = minute_batches(minutes=range(3))
+    pt = spark.createDataFrame([r for b in prices for r in b], TICK_SCHEMA)
+    tt = spark.createDataFrame([r for b in texts for r in b], TEXT_SCHEMA)
+    to_envelope(encode_price_event(pt, "stock_prices")).write.parquet(f"{scratch}/p")
+    to_envelope(encode_text_event(tt, "stock_texts")).write.parquet(f"{scratch}/t")
+    qs = start_verification(read_envelope(spark, "stock_prices", fmt="files", path=f"{scratch}/p"),
+                            read_envelope(spark, "stock_texts", fmt="files", path=f"{scratch}/t"),
+                            TEST_LEXICON, stage, CFG, f"{scratch}/ck", trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None and q.recentProgress
+    assert len(qs) == (1 if stage == "joined" else 2)
