@@ -67,3 +67,15 @@ def test_recent_keeps_last_rows_per_ticker(spark):
     counts = {x.ticker: x["count"] for x in r.groupBy("ticker").count().collect()}
     assert counts == {"A": 10, "B": 4}
     assert min(x.window_start for x in r.where("ticker = 'A'").collect()) == dt.datetime(2024, 1, 1, 0, 5)
+
+
+def test_dashboard_view_for_one_ticker(spark):
+    from moodtick.plans.dashboard import dashboard_view
+
+    df = spark.createDataFrame(series_rows("A", 60) + series_rows("B", 60), METRICS)
+    v = dashboard_view(df, "A", Config(scope="global"))
+    assert [r.ticker for r in v["tickers"].collect()] == ["A", "B"]
+    assert v["selected"].count() == 25  # A's share of the newest 50 (ties broken by ticker)
+    k = v["kpis"].first()
+    assert (k.ticker, k.total_windows, k.latest_price, k.price_delta) == ("A", 25, 159.0, 24.0)
+    assert v["recent"].count() == 10 and v["correlation"].first().correlation_label == "Strong positive"
