@@ -35,7 +35,7 @@ def _decoded(envelope: DataFrame, schema) -> DataFrame:
     return envelope.select(F.from_json(F.col("value").cast("string"), schema).alias("data"))
 
 
-def _is_reject(fields: list[str]) -> Column:
+def is_reject(fields: list[str]) -> Column:
     # from_json in PERMISSIVE mode: unparseable input (or a NULL value) → every field NULL
     all_null = F.col(f"data.{fields[0]}").isNull()
     for f in fields[1:]:
@@ -48,7 +48,7 @@ def parse_prices(envelope: DataFrame, keep_rejects: bool = False) -> DataFrame:
     unless ``keep_rejects`` (then they stay, all NULL)."""
     d = _decoded(envelope, PRICE_EVENT)
     if not keep_rejects:
-        d = d.where(~_is_reject(_PRICE_FIELDS))
+        d = d.where(~is_reject(_PRICE_FIELDS))
     return d.select(
         F.col("data.ticker").alias("ticker"),
         F.col("data.price").alias("price"),
@@ -60,7 +60,7 @@ def parse_texts(envelope: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """(ticker, headline, source, timestamp)."""
     d = _decoded(envelope, TEXT_EVENT)
     if not keep_rejects:
-        d = d.where(~_is_reject(_TEXT_FIELDS))
+        d = d.where(~is_reject(_TEXT_FIELDS))
     return d.select(
         F.col("data.ticker").alias("ticker"),
         F.col("data.headline").alias("headline"),
@@ -80,7 +80,7 @@ def rejects(envelope: DataFrame, kind: str) -> DataFrame:
         F.col("value").cast("string").alias("raw_value"),
         F.from_json(F.col("value").cast("string"), schema).alias("data"),
     )
-    return d.where(_is_reject(fields)).drop("data")
+    return d.where(is_reject(fields)).drop("data")
 
 
 def wire_timestamp(ts: Column) -> Column:

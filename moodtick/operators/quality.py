@@ -83,3 +83,24 @@ def metrics_quality(metrics: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_no_headline"), F.lit(0)).cast("long").alias("no_headline_windows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_keys"),
     )
+
+
+def envelope_quality(envelope: DataFrame, kind: str) -> DataFrame:
+    """One row per topic: messages, values that are not a parseable event (bad
+    JSON, NULL, or no known field), and parsed events with a NULL ticker, price /
+    headline or event time. One pass over the envelope."""
+    from ..operators.parse import PRICE_EVENT, TEXT_EVENT, is_reject, parse_event_time
+
+    schema = PRICE_EVENT if kind == "price" else TEXT_EVENT
+    fields = [f.name for f in schema.fields]
+    value_field = "price" if kind == "price" else "headline"
+    d = envelope.select("topic", F.from_json(F.col("value").cast("string"), schema).alias("data"))
+    reject = is_reject(fields)
+    ok = ~reject
+    return d.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(reject).alias("rejects"),
+        F.count_if(ok & F.col("data.ticker").isNull()).alias("null_ticker"),
+        F.count_if(ok & F.col(f"data.{value_field}").isNull()).alias("null_value"),
+        F.count_if(ok & parse_event_time(F.col("data.timestamp")).isNull()).alias("null_time"),
+    )

@@ -523,6 +523,13 @@ def q_dq_report(spark, sf_dir):
     return a.unionByName(b)
 
 
+@register("dq_envelope")
+def q_dq_envelope(spark, sf_dir):
+    """Quality of a price topic carrying valid events, JSON without event fields
+    and prose: one pass over every message."""
+    return Q.envelope_quality(mixed_price_topic(spark, sf_dir), "price")
+
+
 @register("dq_metrics")
 def q_dq_metrics(spark, sf_dir):
     return Q.metrics_quality(metrics_view(spark, sf_dir, HOURLY))

@@ -366,6 +366,13 @@ ORACLE["dq_report"] = with_ctes(
                src='(SELECT event_id, event_type AS ticker, value AS price, ts AS "timestamp" FROM events)')
     + "\nUNION ALL\n"
     + _DQ.format(name="headlines", value="headline", seq="doc_id", src="headlines"))
+ORACLE["dq_envelope"] = with_ctes(
+    """SELECT 'stock_prices' AS topic,
+       (SELECT count(*) FROM events) * 2 + (SELECT count(*) FROM documents) AS messages,
+       (SELECT count(*) FROM events) + (SELECT count(*) FROM documents) AS rejects,
+       (SELECT count(*) FILTER (WHERE ticker IS NULL) FROM ticks) AS null_ticker,
+       (SELECT count(*) FILTER (WHERE price IS NULL) FROM ticks) AS null_value,
+       (SELECT count(*) FILTER (WHERE "timestamp" IS NULL) FROM ticks) AS null_time""")
 ORACLE["dq_metrics"] = with_ctes(
     """SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE avg_price IS NULL) AS null_price_windows,
