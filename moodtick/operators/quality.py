@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import PRICE_EVENT, TEXT_EVENT
+from .parse import is_reject, parse_event_time
+
 DEFAULT_BLOCK = 1 << 20  # rows per arrival block (bounds the largest window group)
 DEFAULT_FANOUT = 1 << 10  # blocks per super-block
 
@@ -89,8 +92,6 @@ def envelope_quality(envelope: DataFrame, kind: str) -> DataFrame:
     """One row per topic: messages, values that are not a parseable event (bad
     JSON, NULL, or no known field), and parsed events with a NULL ticker, price /
     headline or event time. One pass over the envelope."""
-    from ..operators.parse import PRICE_EVENT, TEXT_EVENT, is_reject, parse_event_time
-
     schema = PRICE_EVENT if kind == "price" else TEXT_EVENT
     fields = [f.name for f in schema.fields]
     value_field = "price" if kind == "price" else "headline"
