@@ -97,3 +97,53 @@ def test_encode_decode_round_trip(spark, rows):
     prices = {r.ticker: r.price for r in parse_prices(to_envelope(encode_price_event(df, "p"))).collect()}
     for _, t, _, p, _ in data:
         assert prices[t] == float(Decimal(repr(p)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+series = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 30), st.floats(0, 100, allow_nan=False)),
+                  max_size=40)
+
+
+def metrics_frame(spark, rows):
+    data, seen = [], set()
+    for t, h, p in rows:
+        if (t, h) in seen:
+            continue
+        seen.add((t, h))
+        s = dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+        data.append((t, s, s + dt.timedelta(hours=1), p, p, p, 1, p / 100, 1))
+    return spark.createDataFrame(data, METRICS), {(t, s.hour + 24 * (s.day - 1)): p for t, s, _, p, *_ in data}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(series)
+def test_align_equals_dict_lookup(spark, rows):
+    from moodtick.config import Config
+    from moodtick.operators.analyses import align
+
+    df, model = metrics_frame(spark, rows)
+    got = {(r.ticker, int((r.window_start - dt.datetime(2024, 1, 1)).total_seconds() // 3600)): r
+           for r in align(df, Config(window="1 hour"), [-2, 1], ["avg_price"], ["avg_price"]).collect()}
+    assert set(got) == set(model)
+    for (t, h), r in got.items():
+        assert r.avg_price == model[(t, h)]
+        assert (r.has_prev2, r.prev2_avg_price) == (((t, h - 2) in model), model.get((t, h - 2)))
+        assert (r.has_next1, r.next1_avg_price) == (((t, h + 1) in model), model.get((t, h + 1)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(series, st.integers(1, 6))
+def test_latest_per_ticker_equals_sort(spark, rows, n):
+    from moodtick.config import Config
+    from moodtick.operators.dashboard import latest
+
+    df, model = metrics_frame(spark, rows)
+    got = sorted((r.ticker, r.window_start) for r in latest(df, Config(scope="per_ticker", latest_limit=n)).collect())
+    want = []
+    for t in {t for t, _ in model}:
+        hours = sorted((h for tt, h in model if tt == t), reverse=True)[:n]
+        want += [(t, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)) for h in hours]
+    assert got == sorted(want)
+    g = sorted((r.window_start, r.ticker) for r in latest(df, Config(scope="global", latest_limit=n)).collect())
+    allk = sorted(((dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), t) for t, h in model),
+                  key=lambda x: (-x[0].timestamp(), x[1]))[:n]
+    assert g == sorted(allk)
