@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from .text import TOKEN_SPLIT, tokens
+from .text import TOKEN_SPLIT
 
 # The text a NULL headline is scored as (str(None), lower-cased).
 NULL_TEXT = "none"
@@ -44,6 +44,7 @@ NULL_TEXT = "none"
 # a deployment passes its own (token, valence) table).
 TEST_LEXICON = {"that": 1.5, "with": -1.0, "this": 2.0, "from": -2.5}
 
+
 def rule_lexicon() -> dict[str, float]:
     """A 676-entry lexicon built from a rule (test fixture for the large-lexicon
     forms): every two-letter a-z word, valence ((31*c1 + c2) mod 9 - 4) / 2
