@@ -20,8 +20,9 @@ its own staging folder, so the result is the same as one clean run.
 
 File-system access goes through Hadoop's FileSystem API, so ``root`` may be any
 shared store the cluster can write (HDFS, object store, NFS). One writer per
-table (the streaming query that owns it); readers may run at any time. Older
-``data/b*`` folders stay referenced by older manifests and are not deleted here.
+table (the streaming query that owns it); readers may run at any time.
+``vacuum`` deletes partition folders and manifests that none of the newest
+snapshots reference, so storage does not grow with every batch.
 """
 
 from __future__ import annotations
@@ -61,17 +62,8 @@ class KeyedParquetTable:
         return f"{self.manifest_dir}/b{batch_id:012d}.json"
 
     def current(self) -> dict | None:
-        md = self._path(self.manifest_dir)
-        if not self._fs.exists(md):
-            return None
-        names = sorted(
-            s.getPath().getName()
-            for s in self._fs.listStatus(md)
-            if s.getPath().getName().startswith("b") and s.getPath().getName().endswith(".json")
-        )
-        if not names:
-            return None
-        return self._read_text(f"{self.manifest_dir}/{names[-1]}")
+        names = self._manifests()
+        return self._read_text(f"{self.manifest_dir}/{names[-1]}") if names else None
 
     def _read_text(self, path: str) -> dict:
         jvm = self._jvm
@@ -172,6 +164,52 @@ class KeyedParquetTable:
         self._publish({"batch_id": batch_id, "partitions": parts})
         return True
 
+    # ---------------------------------------------------------------- housekeeping
+    def _manifests(self) -> list[str]:
+        md = self._path(self.manifest_dir)
+        if not self._fs.exists(md):
+            return []
+        return sorted(
+            s.getPath().getName()
+            for s in self._fs.listStatus(md)
+            if s.getPath().getName().startswith("b") and s.getPath().getName().endswith(".json")
+        )
+
+    def vacuum(self, retain: int = 2) -> list[str]:
+        """Delete what the newest ``retain`` snapshots do not reference: superseded
+        partition folders, emptied batch folders and older manifests. A reader of
+        one of the retained snapshots is unaffected. Returns the deleted paths."""
+        names = self._manifests()
+        if len(names) <= retain:
+            return []
+        keep = names[-retain:]
+        referenced = set()
+        for n in keep:
+            referenced |= set(self._read_text(f"{self.manifest_dir}/{n}")["partitions"].values())
+        deleted = []
+        data = self._path(f"{self.root}/data")
+        if self._fs.exists(data):
+            for batch in self._fs.listStatus(data):
+                bname = batch.getPath().getName()
+                if not bname.startswith("b"):
+                    continue
+                parts = [p for p in self._fs.listStatus(batch.getPath()) if p.isDirectory()]
+                live = 0
+                for part in parts:
+                    rel = f"data/{bname}/{part.getPath().getName()}"
+                    if rel in referenced:
+                        live += 1
+                    else:
+                        self._fs.delete(part.getPath(), True)
+                        deleted.append(rel)
+                if live == 0:
+                    self._fs.delete(batch.getPath(), True)
+                    deleted.append(f"data/{bname}")
+        for n in names[:-retain]:
+            self._fs.delete(self._path(f"{self.manifest_dir}/{n}"), False)
+            deleted.append(f"_manifest/{n}")
+        return deleted
+
     def foreach_batch(self):
         """A ``foreachBatch`` callback that merges each micro-batch."""
 

@@ -122,3 +122,20 @@ def test_merge_rejects_key_constraint_violations(spark, scratch):
         with pytest.raises(ValueError, match="constraints"):
             tbl.merge(df, 0)
     assert tbl.current() is None
+
+
+def test_vacuum_keeps_what_retained_snapshots_read(spark, scratch):
+    import os
+
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    tbl.merge(metrics_rows(spark, [row("A", 1, 0, 1.0), row("A", 2, 0, 2.0)]), 0)
+    tbl.merge(metrics_rows(spark, [row("A", 1, 0, 3.0)]), 1)
+    tbl.merge(metrics_rows(spark, [row("A", 1, 0, 4.0)]), 2)
+    before = as_set(tbl.read())
+    deleted = tbl.vacuum(retain=2)
+    # snapshot 0's day-1 partition is read by neither of the two newest snapshots
+    assert "data/b000000000000/window_part=2024-01-01" in deleted and "_manifest/b000000000000.json" in deleted
+    assert os.path.isdir(f"{scratch}/t/data/b000000000000/window_part=2024-01-02")  # still current
+    assert os.path.isdir(f"{scratch}/t/data/b000000000001/window_part=2024-01-01")  # read by snapshot 1
+    assert as_set(tbl.read()) == before
+    assert tbl.vacuum(retain=2) == []
