@@ -210,10 +210,13 @@ class KeyedParquetTable:
             deleted.append(f"_manifest/{n}")
         return deleted
 
-    def foreach_batch(self):
-        """A ``foreachBatch`` callback that merges each micro-batch."""
+    def foreach_batch(self, vacuum_every: int | None = None, retain: int = 2):
+        """A ``foreachBatch`` callback that merges each micro-batch (and, if
+        ``vacuum_every`` is set, vacuums after every that many batch ids)."""
 
         def _fn(df: DataFrame, epoch_id: int) -> None:
             self.merge(df, epoch_id)
+            if vacuum_every and epoch_id % vacuum_every == 0:
+                self.vacuum(retain)
 
         return _fn

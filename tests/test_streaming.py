@@ -172,7 +172,8 @@ def test_restart_and_failed_batch_lose_nothing(spark, scratch):
     for i, f in enumerate(sorted(os.listdir(f"{scratch}/t2"))):
         if f.endswith(".parquet"):
             os.rename(f"{scratch}/t2/{f}", f"{scratch}/t/c{i:03d}.parquet")
-    q = SP.start(build(), table.foreach_batch(), f"{scratch}/ck", name="again2", trigger={"availableNow": True})
+    q = SP.start(build(), table.foreach_batch(vacuum_every=1), f"{scratch}/ck", name="again2",
+                 trigger={"availableNow": True})
     q.awaitTermination()
     got = table.read()
     starts = sorted({r.window_start for r in got.select("window_start").collect()})
