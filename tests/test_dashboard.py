@@ -79,3 +79,14 @@ def test_dashboard_view_for_one_ticker(spark):
     k = v["kpis"].first()
     assert (k.ticker, k.total_windows, k.latest_price, k.price_delta) == ("A", 25, 159.0, 24.0)
     assert v["recent"].count() == 10 and v["correlation"].first().correlation_label == "Strong positive"
+
+
+def test_dashboard_view_all_tickers(spark):
+    from moodtick.plans.dashboard import dashboard_view
+    from moodtick.sources.metrics import read_metrics_parquet  # noqa: F401  (reader of the stored table)
+
+    df = spark.createDataFrame(series_rows("A", 3) + series_rows("B", 2), METRICS)
+    v = dashboard_view(df, None, Config(scope="per_ticker"))
+    k = {r.ticker: r for r in v["kpis"].collect()}
+    assert (k["A"].total_windows, k["B"].total_windows) == (3, 2)
+    assert k["B"].correlation is None and k["A"].correlation_label == "Strong positive"
