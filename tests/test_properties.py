@@ -5,6 +5,7 @@ import math
 import re
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -147,3 +148,29 @@ def test_latest_per_ticker_equals_sort(spark, rows, n):
     allk = sorted(((dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), t) for t, h in model),
                   key=lambda x: (-x[0].timestamp(), x[1]))[:n]
     assert g == sorted(allk)
+
+
+pairs = st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 5).map(float)),
+                           st.one_of(st.none(), st.integers(-5, 5).map(float))), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs)
+def test_safe_corr_equals_brute_force(spark, rows):
+    from moodtick.functions.stats import safe_corr
+
+    df = spark.createDataFrame(rows, "a double, b double") if rows else spark.createDataFrame([], "a double, b double")
+    got = df.agg(safe_corr("a", "b").alias("c")).first().c
+    full = [(a, b) for a, b in rows if a is not None and b is not None]
+    n = len(full)
+    want = None
+    if n:
+        ma, mb = sum(a for a, _ in full) / n, sum(b for _, b in full) / n
+        cov = sum((a - ma) * (b - mb) for a, b in full) / n
+        sa = math.sqrt(sum((a - ma) ** 2 for a, _ in full) / n)
+        sb = math.sqrt(sum((b - mb) ** 2 for _, b in full) / n)
+        want = cov / (sa * sb) if sa * sb else None
+    if want is None:
+        assert got is None
+    else:
+        assert got == pytest.approx(want, abs=1e-9)
