@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, simhash
 from .common import read
 
 
@@ -13,7 +14,47 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash,)}
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document: what is hit, and which items."""
+    found = decontaminate.matches(
+        read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        decontaminate.items_sha256(F.col("items")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op7_decontaminate)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORD7 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ORACLE: dict[str, str] = {
+    "op7_decontaminate": f"""
+WITH item AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {_FOLD}), '{_WORD7}') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item, w, k, unnest(range(1, CAST(len(w) AS BIGINT) - k + 2)) AS i
+        FROM (SELECT *, least(10, len(w)) AS k FROM item WHERE len(w) > 0))),
+doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, {_FOLD}), '{_WORD7}'), []) AS w FROM documents),
+gram AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, CAST(len(w) AS BIGINT) - k + 2)) AS i
+        FROM doc, (SELECT DISTINCT k FROM win))),
+found AS (SELECT gram.doc_id, gram.i, gram.k, win.item FROM gram JOIN win USING (k, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
