@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
-from .common import read
+from . import bpe, decontaminate, simhash, wavelet
+from .common import checkpoint, read
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,30 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op7_decontaminate)}
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it stands in the token files: where its ids start, how many, their crc32."""
+    import public_tokenizers as P
+
+    files = checkpoint(
+        wavelet.write_shards(read(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), end=0)
+    )
+    return wavelet.read_shards(wavelet.with_starts(files))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and the digest of what they decode to."""
+    import public_tokenizers as P
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op6_token_files, op7_decontaminate, op10_bpe)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
