@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, simhash, wavelet
+from . import bpe, decontaminate, quality, simhash, wavelet
 from .common import checkpoint, read
 
 
@@ -29,6 +29,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of every document and whether it is kept."""
+    found = quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as it stands in the token files: where its ids start, how many, their crc32."""
     import public_tokenizers as P
@@ -52,12 +60,64 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op6_token_files, op7_decontaminate, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op6_token_files, op7_decontaminate, op10_bpe)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD7 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_RULES2 = {
+    "symbols": "least(1000, 1000 * n_symbols // greatest(n_words, 1))",
+    "duplicate_lines": "1000 * n_dup_lines // greatest(n_lines, 1)",
+    "repeated_words": "1000 * n_repeat_words // greatest(n_words, 1)",
+    "capitals": "1000 * n_capitals // greatest(word_chars, 1)",
+}
+_ALLOWED = f"({quality.RISK!r} / {len(_RULES2)})"
 ORACLE: dict[str, str] = {
+    "op2_quality": rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+gram AS (
+  SELECT r, i, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, CAST(len(w) AS BIGINT) - 1)) AS i FROM doc)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM gram) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r),
+line AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM doc),
+counts AS (
+  SELECT r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals
+  FROM doc JOIN line USING (r) LEFT JOIN rep USING (r)),
+based AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed,
+         {', '.join(f'{v} AS {k}' for k, v in _RULES2.items())} FROM counts),
+label AS (
+  SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
+  GROUP BY doc_id HAVING min(quality) = max(quality)),
+share AS (
+  {' UNION ALL '.join(f"SELECT r, lang, good, '{k}' AS rule, {k} AS share FROM based JOIN label USING (doc_id)" for k in _RULES2)}),
+cutoff AS (SELECT unnest([{', '.join(map(str, quality.CUTOFFS))}]) AS cutoff),
+tested AS (
+  SELECT lang, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,
+         count(*) FILTER (good AND share > cutoff) AS k, count(*) FILTER (NOT good AND share > cutoff) AS c
+  FROM share, cutoff GROUP BY ALL),
+tail AS (
+  SELECT *, CASE WHEN k > n * {_ALLOWED} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i: exp(
+    lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_ALLOWED}) + (n - i) * ln(1 - {_ALLOWED})))) END AS p,
+    CASE WHEN m > 0 THEN c / m ELSE 0 END - CASE WHEN n > 0 THEN k / n ELSE 0 END AS gain
+  FROM tested),
+best AS (
+  SELECT lang, rule, max({{'gain': gain, 'cutoff': cutoff}}).cutoff AS cutoff FROM tail
+  WHERE gain > 0 AND p <= {quality.ERROR!r} / (SELECT count(*) FROM tested) GROUP BY ALL),
+over AS (
+  SELECT DISTINCT r FROM ({' UNION ALL '.join(f"SELECT r, lang, '{k}' AS rule, {k} AS share FROM based" for k in _RULES2)}) s
+  JOIN best ON s.lang IS NOT DISTINCT FROM best.lang AND s.rule = best.rule AND share > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND over.r IS NULL AS kept
+FROM based LEFT JOIN over ON based.r = over.r""",
     "op7_decontaminate": f"""
 WITH item AS (
   SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {_FOLD}), '{_WORD7}') AS w FROM benchmark),
