@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, language, quality, simhash, wavelet
 from .common import checkpoint, read
 
 
@@ -65,6 +65,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(wavelet.with_starts(files))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    return language.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of every document's ids, and the digest of what they decode to."""
     import public_tokenizers as P
@@ -78,7 +87,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op6_token_files, op7_decontaminate, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op6_token_files, op7_decontaminate, op8_language, op10_bpe)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
