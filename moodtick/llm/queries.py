@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, language, ngrams, quality, simhash, wavelet
 from .common import checkpoint, read
 
 
@@ -74,6 +74,15 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document under a model of those that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    meta = ngrams.train(docs.where(~ngrams.held_out()))
+    return ngrams.scored(docs, meta).select(
+        "doc_id", ngrams.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of every document's ids, and the digest of what they decode to."""
     import public_tokenizers as P
@@ -87,7 +96,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op6_token_files, op7_decontaminate, op8_language, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
