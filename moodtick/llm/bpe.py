@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .chunks import SAFE_CUT, Memo, chunks, whole
+from .chunks import SAFE_CUT, Memo, chunks, simple_pieces, whole
 from .common import clean_name
 
 PIECE = 48  # bytes that are merged directly
 TEXT = 1 << 15  # characters that are split and merged directly
-CHUNKS, PIECES, PAIRS = 90 << 20, 40 << 20, 30 << 20  # bytes remembered by a worker
+CHUNKS, PIECES, PAIRS = 180 << 20, 80 << 20, 40 << 20  # bytes remembered by a worker
 _NONE = 1 << 60
 
 
@@ -41,7 +41,7 @@ class BPE:
         self.longest = max(map(len, ranks))
         self.split = regex.compile(pattern).findall
         self.pieces = Memo(self._piece_ids, PIECES)
-        self.by_chunk = Memo(lambda c: self._pattern(whole(c)), CHUNKS)
+        self.by_chunk = Memo(self._chunk, CHUNKS)
         self.stays = Memo(lambda pair: self.merge(pair[0] + pair[1]) == [*pair], PAIRS)
 
     # --- one piece
@@ -107,6 +107,10 @@ class BPE:
     def _pattern(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
+    def _chunk(self, chunk: str) -> bytes:
+        known = simple_pieces(chunk)
+        return b"".join(map(self.pieces.__getitem__, known)) if known else self._pattern(whole(chunk))
+
     def _direct(self, text: str) -> bytes:
         first, *rest = chunks(text)
         return self._pattern(first) + b"".join(map(self.by_chunk.__getitem__, rest))

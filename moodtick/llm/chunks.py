@@ -12,17 +12,32 @@ from __future__ import annotations
 import re
 
 # x1c-x1f count as white space for Python but not for the pattern: no cut next to them.
-_UNSURE = re.compile(r"\s[\s]|[\x1c-\x1f]")
 SAFE_CUT = re.compile(r"(?<=\S)(?<![\x1c-\x1f])(?=[ \t\r\n])")
 
 
 def chunks(text: str) -> list[str]:
     """Chunks whose concatenation is ``text``; a chunk that starts with no blank or line
     end (all but the first have one) stands for itself with a blank before it."""
-    if _UNSURE.search(text):
-        parts = SAFE_CUT.split(text)
-        return [parts[0], *(p[1:] if p[0] == " " and p[1:2] not in (" ", "\n", "\t", "\r", "") else p for p in parts[1:])]
-    return text.replace("\n", " \n").split(" ")
+    plain = text.replace("\n", " ")
+    if plain.isprintable() and "  " not in plain:  # no white space but single blanks and line ends
+        return text.replace("\n", " \n").split(" ")
+    parts = SAFE_CUT.split(text)
+    return [parts[0], *(p[1:] if p[0] == " " and p[1:2] not in (" ", "\n", "\t", "\r", "") else p for p in parts[1:])]
+
+
+# The split pattern for Latin text: its letters and numbers up to U+024F, spelt out.
+_L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+").findall
+
+
+def simple_pieces(chunk: str) -> list[str] | None:
+    """The matches of the split pattern in a chunk (not the first) without characters
+    beyond Latin letters; None for other chunks."""
+    if chunk.isascii() and chunk.isprintable():
+        return _LATIN(" " + chunk if chunk[:1] != " " else chunk)
+    if chunk and max(chunk) < "\u0250" and chunk.replace("\n", " ").isprintable():
+        return _LATIN(whole(chunk))
+    return None
 
 
 def whole(chunk: str) -> str:
@@ -39,12 +54,9 @@ class Memo(dict):
         self.make, self.limit, self.used = make, limit, 0
 
     def __missing__(self, key):
-        return self.put(key, self.make(key))
-
-    def put(self, key, value):
         self.used += self.OVERHEAD + 5 * len(key)
         if self.used > self.limit:
             self.clear()
             self.used = 0
-        self[key] = value
-        return value
+        self[key] = out = self.make(key)
+        return out

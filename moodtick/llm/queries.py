@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, ngrams, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, language, ngrams, quality, simhash, surrogates, wavelet
 from .common import checkpoint, read
 
 
@@ -55,6 +55,16 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The key of the registered query and the pipeline; a user passes a secret one.
+PII_KEY = "moodtick-demo-key"
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for the private data in it, and how many there were."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, PII_KEY, count="n_entities")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as it stands in the token files: where its ids start, how many, their crc32."""
     import public_tokenizers as P
@@ -96,7 +106,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_surrogates, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -14,19 +14,25 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import Memo, chunks, whole
+from .chunks import Memo, chunks, simple_pieces, whole
 from .common import shared_folder, write_atomically
 
 MAGIC = b"MTWM0001"
 SHARD = 1 << 21  # tokens after which a shard ends with its document
-CHUNKS = 90 << 20  # bytes of chunks a worker remembers
+CHUNKS, PIECES = 220 << 20, 80 << 20  # bytes of chunks and pieces that a worker remembers
+# Byte-level BPE shows bytes without a printable Latin-1 character as the characters from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BLANK = chr(_SHOWN[32])
 _HEAD = struct.Struct("<8sQQI")  # magic, documents, tokens, planes
 
 
@@ -136,9 +142,10 @@ def write(path: str, doc_ids: list[int | None], sizes: list[int], tokens: np.nda
         np.array(sizes, "<u8").tobytes(),
         *(p.tobytes() for p in matrix.planes),
     ]
+    pack = zstandard.ZstdCompressor(level=1)
     out = [_HEAD.pack(MAGIC, len(doc_ids), len(tokens), len(matrix.planes))]
     for s in sections:
-        c = zlib.compress(s, 1)
+        c = pack.compress(s)
         out += [struct.pack("<Q", len(c)), c]
     write_atomically(path, *out)
 
@@ -153,7 +160,7 @@ def open_shard(path: str) -> tuple[list[int | None], np.ndarray, Matrix]:
     at, sections = _HEAD.size, []
     for _ in range(3 + levels):
         (size,) = struct.unpack_from("<Q", data, at)
-        sections.append(zlib.decompress(data[at + 8 : at + 8 + size]))
+        sections.append(zstandard.ZstdDecompressor().decompress(data[at + 8 : at + 8 + size]))
         at += 8 + size
     ids, none = np.frombuffer(sections[0], "<i8").tolist(), sections[1]
     assert len(ids) == docs
@@ -175,19 +182,30 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.known = Memo(lambda c: self._ids([whole(c)])[0], CHUNKS)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.model = self.tokenizer.model
+        self.known = Memo(self._chunk, CHUNKS)
+        self.pieces = Memo(self._piece, PIECES)
+
+    def _text(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """One match of the split pattern: the library's model on the characters that stand for its bytes."""
+        if piece.isascii() and piece[0] == " " and piece[1:].isalnum():
+            shown = _BLANK + piece[1:]
+        else:
+            shown = piece.encode().decode("latin-1").translate(_SHOWN)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        known = simple_pieces(chunk)
+        if not known:
+            return self._text(whole(chunk))
+        return b"".join([self.pieces[p] for p in known]) if len(known) > 1 else self._piece(known[0])
 
     def encode(self, text: str) -> bytes:
         first, *rest = chunks(text)
-        new = list({c for c in rest if c not in self.known})
-        if len(new) > 1:
-            for c, ids in zip(new, self._ids([whole(c) for c in new])):
-                self.known.put(c, ids)
-        return self._ids([first])[0] + b"".join(map(self.known.__getitem__, rest))
+        return self._text(first) + b"".join(map(self.known.__getitem__, rest))
 
 
 _TOKENS: dict[str, Tokens] = {}
