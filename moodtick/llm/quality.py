@@ -185,4 +185,5 @@ def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id:
     measured twice (for the cutoffs, then to judge them) and never shuffled."""
     cutoffs = checkpoint(calibrate(_measured(docs, doc_id, stratum, text), labels, "stratum", **limits))
     whole = _measured(docs, doc_id, stratum, text, F.struct(*docs.columns).alias("row"))
-    return _verdict(whole, cutoffs).where("kept").select("row.*")
+    # not where(): a filter would be pushed below the counts and make them anew for each use
+    return _verdict(whole, cutoffs).select(F.inline(F.when(F.col("kept"), F.array("row"))))
