@@ -84,10 +84,15 @@ def core(e: Column) -> Column:
     )
 
 
-def _stream(key: str, what: str, ref: Column, attempt: Column) -> Column:
+def _stream(key: str, what: Column, ref: Column, attempt: Column) -> Column:
     """128 hex digits that depend on all four."""
-    text = F.concat(F.lit(key + _SEP + what + _SEP), ref, F.lit(_SEP), attempt.cast("string"))
-    return F.sha2(text.cast("binary"), 512)
+    return F.sha2(F.concat_ws(_SEP, F.lit(key), what, ref, attempt.cast("string")).cast("binary"), 512)
+
+
+def _streams(key: str, what: Column, ref: Column, attempt: Column) -> tuple[Column, Column]:
+    """The stream of an entity, and that of the domain of a mail address (one for all its mailboxes)."""
+    domain = F.when(what == "mail", F.substring_index(ref, "@", -1)).otherwise("")
+    return _stream(key, what, ref, attempt), _stream(key, F.lit("domain"), domain, F.lit(0))
 
 
 def _number(hex_digits: Column, i: Column, n: int) -> Column:
@@ -157,18 +162,18 @@ def _surname(ref: Column, stream: Column) -> Column:
     return F.when(ref.rlike(r"\p{IsCyrillic}"), made("cyrillic")).when(ref.rlike(r"\p{IsGreek}"), made("greek")).otherwise(made("latin"))
 
 
-def new_core(what: Column, ref: Column, key: str, attempt: Column) -> Column:
+def new_core(what: Column, ref: Column, stream: Column, domain_stream: Column) -> Column:
     """The surrogate of ``core``."""
-    s = lambda k: _stream(key, k, ref, attempt)
     local, domain = F.substring_index(ref, "@", 1), F.substring_index(ref, "@", -1)
     labels = F.regexp_replace(domain, r"\.[^.]*$", "")
-    ip = F.array_join(F.array(_number(s("ip"), F.lit(0), 223) + 1, *(_number(s("ip"), F.lit(i), 256) for i in (1, 2, 3))), ".")
+    mail = (_like(local, stream), F.lit("@"), _like(labels, domain_stream), F.lit("."), F.substring_index(domain, ".", -1))
+    ip = (_number(stream, F.lit(0), 223) + 1, *(_number(stream, F.lit(i), 256) for i in (1, 2, 3)))
     return (
-        F.when(what == "mail", F.concat(_like(local, s("mail")), F.lit("@"), _like(labels, _stream(key, "domain", domain, F.lit(0))), F.lit("."), F.substring_index(domain, ".", -1)))
-        .when(what == "ip", ip)
-        .when(what == "number", _digits(ref, s("number")))
-        .when(what == "iban", F.concat(F.substr(ref, F.lit(1), F.lit(2)), _like(F.substr(ref, F.lit(3)), s("iban"))))
-        .otherwise(_surname(ref, s("person")))
+        F.when(what == "mail", F.concat(*mail))
+        .when(what == "ip", F.concat_ws(".", *ip))
+        .when(what == "number", _digits(ref, stream))
+        .when(what == "iban", F.concat(F.substr(ref, F.lit(1), F.lit(2)), _like(F.substr(ref, F.lit(3)), stream)))
+        .otherwise(_surname(ref, stream))
     )
 
 
@@ -188,9 +193,8 @@ def _given(e: Column, key: str) -> Column:
     return out
 
 
-def surrogate(e: Column, key: str, attempt: Column) -> Column:
+def _surrogate(e: Column, what: Column, new: Column, key: str) -> Column:
     """The replacement of an entity as written."""
-    what, new = kind(e), new_core(kind(e), core(e), key, attempt)
     surname = F.substring_index(e, " ", -1)
     before = F.substr(e, F.lit(1), F.length(e) - F.length(surname))
     return (
@@ -201,6 +205,21 @@ def surrogate(e: Column, key: str, attempt: Column) -> Column:
     )
 
 
+def surrogates(found: Column, key: str, attempt) -> Column:
+    """The replacements of an array of entities. Step by step, so that each part is made once for each."""
+    named = F.transform(found, lambda e: F.struct(e.alias("e"), kind(e).alias("kind"), core(e).alias("core")))
+
+    def drawn(x):
+        own, domain = _streams(key, x["kind"], x["core"], attempt(x["kind"], x["core"]))
+        return F.struct(x["e"].alias("e"), x["kind"].alias("kind"), x["core"].alias("core"), own.alias("own"), domain.alias("domain"))
+
+    new = F.transform(
+        F.transform(named, drawn),
+        lambda x: F.struct(x["e"].alias("e"), x["kind"].alias("kind"), new_core(x["kind"], x["core"], x["own"], x["domain"]).alias("new")),
+    )
+    return F.transform(new, lambda x: _surrogate(x["e"], x["kind"], x["new"], key))
+
+
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct (kind, core) of the corpus; a hot entity costs one partial row per task."""
     found = docs.where(F.col(text).rlike(ENTITY)).select(
@@ -215,7 +234,12 @@ def retries(found: DataFrame, key: str) -> DataFrame:
     entity of the corpus. A joint of the surrogates drawn so far with those of the
     corpus, as often as anything collides."""
     found = checkpoint(found)
-    draw = lambda df: df.withColumn("new", new_core(F.col("kind"), F.col("core"), key, F.col("attempt")))
+
+    def draw(df):
+        own, domain = _streams(key, F.col("kind"), F.col("core"), F.col("attempt"))
+        new = new_core(F.col("kind"), F.col("core"), F.col("own"), F.col("domain"))
+        return df.withColumns({"own": own, "domain": domain}).withColumn("new", new).drop("own", "domain")
+
     drawn = checkpoint(draw(found.withColumn("attempt", F.lit(0))))
     real = found.select("kind", F.col("core").alias("new"))
     while True:
@@ -243,16 +267,17 @@ def replaced(docs: DataFrame, key: str, text: str = "text", count: str | None =
     found = F.regexp_extract_all(text, F.lit(ENTITY), 0)
     e, fixes, row = clean_name(docs, "entities"), clean_name(docs, "fixes"), clean_name(docs, "row_hash")
     out = docs.withColumn(e, F.when(hit, found).otherwise(F.array().cast("array<string>")))
-    attempt = lambda x: F.lit(0)
+    attempt = lambda what, ref: F.lit(0)
     if not again.isEmpty():
-        named = lambda x: F.concat(kind(x), F.lit(_SEP), core(x))
+        named = lambda what, ref: F.concat(what, F.lit(_SEP), ref)
         out = out.withColumn(row, F.xxhash64(text))
-        mentions = out.where(F.size(e) > 0).select(row, F.explode(F.array_distinct(F.transform(e, named))).alias("name"))
-        table = again.select(F.concat("kind", F.lit(_SEP), "core").alias("name"), "attempt")
-        own = mentions.join(table, "name").groupBy(row).agg(F.collect_set(F.struct("name", "attempt")).alias("s")).select(row, F.map_from_entries("s").alias(fixes))
-        out = out.join(own, row, "left")
-        attempt = lambda x: F.coalesce(F.element_at(F.col(fixes), named(x)), F.lit(0))
-    new = F.concat(F.transform(e, lambda x: surrogate(x, key, attempt(x))), F.array(F.lit("")))
+        names = F.array_distinct(F.transform(e, lambda x: named(kind(x), core(x))))
+        mentions = out.where(F.size(e) > 0).select(row, F.explode(names).alias("name"))
+        table = again.select(named(F.col("kind"), F.col("core")).alias("name"), "attempt")
+        pairs = mentions.join(table, "name").groupBy(row).agg(F.collect_set(F.struct("name", "attempt")).alias("s"))
+        out = out.join(pairs.select(row, F.map_from_entries("s").alias(fixes)), row, "left")
+        attempt = lambda what, ref: F.coalesce(F.element_at(F.col(fixes), named(what, ref)), F.lit(0))
+    new = F.concat(surrogates(F.col(e), key, attempt), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(F.split(text, ENTITY, -1), new, lambda a, b: F.concat(a, b)), "")
     out = out.withColumn(text, F.when(F.size(e) > 0, joined).otherwise(F.col(text)))
     if count:
