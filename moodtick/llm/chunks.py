@@ -48,15 +48,15 @@ def whole(chunk: str) -> str:
 class Memo(dict):
     """Results by key, forgotten all at once when they fill about ``limit`` bytes."""
 
-    OVERHEAD = 250  # of an entry: dict slot, two objects
+    ENTRY = 300  # bytes of an entry with a short key; long ones count for more
 
     def __init__(self, make, limit: int):
-        self.make, self.limit, self.used = make, limit, 0
+        self.make, self.limit, self.left = make, limit, limit
 
     def __missing__(self, key):
-        self.used += self.OVERHEAD + 5 * len(key)
-        if self.used > self.limit:
+        self.left -= self.ENTRY if len(key) < 20 else self.ENTRY + 5 * len(key)
+        if self.left < 0:
             self.clear()
-            self.used = 0
+            self.left = self.limit
         self[key] = out = self.make(key)
         return out

@@ -52,7 +52,7 @@ _NAMES = [n for own in GIVEN.values() for n in own]
 _WORD = r"\p{Lu}[\p{L}'’-]+"
 MAIL = r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-IP = rf"(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}]|\.\d)"
+IP = rf"(?<!\d\.)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}]|\.\d)"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 NUMBER = (
     r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{3}-\d{2}-\d{4}"

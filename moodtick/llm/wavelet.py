@@ -28,7 +28,7 @@ from .common import shared_folder, write_atomically
 
 MAGIC = b"MTWM0001"
 SHARD = 1 << 21  # tokens after which a shard ends with its document
-CHUNKS, PIECES = 220 << 20, 80 << 20  # bytes of chunks and pieces that a worker remembers
+CHUNKS, PIECES = 400 << 20, 120 << 20  # bytes of chunks and pieces that a worker remembers
 # Byte-level BPE shows bytes without a printable Latin-1 character as the characters from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -280,6 +280,9 @@ def read_shards(files: DataFrame) -> DataFrame:
     unsigned 32-bit integers)."""
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
+    # a row here is a file of megabytes: rows are dealt by number, as Spark would join small partitions
+    width = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def run(batches):
         for b in batches:
             for path, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -290,4 +293,4 @@ def read_shards(files: DataFrame) -> DataFrame:
                 columns = [pa.array(x, pa.int64()) for x in (ids, before + starts, sizes, crc)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return files.select("path", "before").repartition("path").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return files.select("path", "before").repartition(width, "path").mapInArrow(run, ", ".join(f"{n} long" for n in names))

@@ -1,0 +1,42 @@
+import random
+
+from moodtick.llm import secret_scan as S
+
+
+def findings(spark, n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        if i % 3 == 0:
+            t, secret = f'set api_{rng.choice(["token", "secret"])} = "{key}" here', 1
+        elif i % 3 == 1:
+            t, secret = f"see commit {key} for the fix", 0
+        else:
+            t, secret = f"card {rng.randrange(10**15, 10**16)} paid", 0
+        rows.append((i, t, "conf/app.yml" if secret else "notes.txt", secret))
+    return spark.createDataFrame(rows, "doc_id long, text string, path string, label int")
+
+
+def test_forest_removes_false_findings(spark):
+    docs = findings(spark, 150, 1)
+    found = S.candidates(docs, path="path").join(docs.select("doc_id", "label"), "doc_id")
+    model = S.train(found)
+    held = findings(spark, 90, 2)
+    out = S.scanned(held, model, path="path").join(held.select("doc_id", "label"), "doc_id").collect()
+    assert len(out) == 90 and sum(r.secret == bool(r.label) for r in out) >= 88
+    texts = {r.doc_id: r.text for r in held.collect()}
+    assert all(texts[r.doc_id][r.start : r.start + len(r.candidate)] == r.candidate for r in out)
+
+
+def test_edge_cases(spark, edge, no_rows):
+    assert S.candidates(edge).count() == 0 and S.candidates(no_rows).count() == 0
+    own = spark.createDataFrame([(None, "😀 k=abcdefgh12345678 x9999999999999999", "n"), (1, "a" * 50_000, "n"), (2, "z1" * 9, None), (2, "z1" * 9, None)], "doc_id long, text string, features string")
+    rows = S.candidates(own, path="features").collect()
+    assert sorted((str(r.doc_id), r.n, r.start) for r in rows) == [("2", 1, 0), ("2", 1, 0), ("None", 1, 2), ("None", 2, 21)]
+    none = S.candidates(own).selectExpr("*", "CAST(NULL AS INT) AS label")
+    assert S.train(none) == 1.0
+    assert S.train(none.selectExpr("* EXCEPT (label)", "0 AS label")) == 0.0
+    assert S.scanned(own, 0.0).where("secret").count() == 0
+    labels = S.by_assignment(S.candidates(findings(spark, 30, 3), path="path")).collect()
+    assert {(("token" in r.before or "secret" in r.before), r.label) for r in labels} == {(True, 1), (False, 0)}
