@@ -98,19 +98,33 @@ def _word_pattern(words) -> str:
     return f"(?<![a-z])({_trie(sorted(set(words)))})(?![a-z])"
 
 
+def checked_lexicon(lexicon: Mapping[str, float]) -> dict[str, float]:
+    """The lexicon as every scoring form uses it: words in lower case. Raises for entries
+    that no token can match (a token is a run of a-z in the cleaned text) and for words
+    that differ in case and valence."""
+    out: dict[str, float] = {}
+    for word, valence in lexicon.items():
+        w = str(word).lower()
+        if not (w.isascii() and w.isalpha()):
+            raise ValueError(f"lexicon entry {word!r} can match no token (runs of a-z)")
+        if out.setdefault(w, float(valence)) != float(valence):
+            raise ValueError(f"lexicon entry {word!r} has another valence in another case")
+    return out
+
+
 def valence_sum(cleaned: Column, lexicon: Mapping[str, float], cfg: Config = DEFAULT) -> Column:
     """Sum of token valences of a cleaned text (NULL only under null_policy='skip').
 
     Only lexicon words can contribute, so instead of splitting the text into
     every token, the lexicon words are extracted as whole tokens in one regex
     pass and only those few matches are looked up. Equal to summing over
-    ``split(text, '[^a-z]+')`` (words with characters outside a-z can never be a
-    token and are left out)."""
-    words = [w for w in lexicon if w and w.isascii() and w.isalpha() and w.islower()]
+    ``split(text, '[^a-z]+')``."""
+    lexicon = checked_lexicon(lexicon)
+    words = list(lexicon)
     text = _scored_text(cleaned, cfg)
     if not words:
         return F.when(text.isNotNull(), F.lit(0.0))
-    lex = lexicon_map({w: lexicon[w] for w in words})
+    lex = lexicon_map(lexicon)
     hits = F.regexp_extract_all(text, F.lit(_word_pattern(words)), 1)
     return F.aggregate(hits, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(lex, t), F.lit(0.0)))
 
@@ -137,7 +151,7 @@ def score_column(cleaned: Column | str, lexicon: Mapping[str, float], cfg: Confi
 def lexicon_frame(spark, lexicon: Mapping[str, float]) -> DataFrame:
     from ..schemas import LEXICON
 
-    return spark.createDataFrame([(k, float(v)) for k, v in lexicon.items()], LEXICON)
+    return spark.createDataFrame(list(checked_lexicon(lexicon).items()), LEXICON)
 
 
 def score_by_join(
@@ -224,7 +238,7 @@ def vectorised_valence_sum(spark, lexicon: Mapping[str, float], cfg: Config = DE
     looked up with hash lookups in pandas, then summed per text, in chunks of at
     most ``VECTOR_CHUNK_CHARS`` characters. The compound normalisation and
     rounding stay in Catalyst (``compound``)."""
-    bc = spark.sparkContext.broadcast({str(k): float(v) for k, v in lexicon.items()})
+    bc = spark.sparkContext.broadcast(checked_lexicon(lexicon))
     null_text = NULL_TEXT if cfg.null_policy == "text" else None
 
     @F.pandas_udf("double")

@@ -154,9 +154,12 @@ def overlay(frame: DataFrame) -> DataFrame:
 
 
 def correlation(frame: DataFrame) -> DataFrame:
-    """Per ticker: n, price/sentiment correlation (NULL for <= 2 rows or a constant series), label."""
+    """Per ticker: n, price/sentiment correlation (NULL for <= 2 rows or a constant series),
+    label (NULL for <= 2 rows, as in ``kpis``)."""
     a = frame.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("n_windows"), safe_corr("avg_price", "avg_sentiment").alias("_c")
     )
-    c = F.when(F.col("n_windows") > MIN_ROWS_FOR_CORRELATION, F.col("_c"))
-    return a.select("ticker", "n_windows", c.alias("correlation"), correlation_label(c).alias("correlation_label"))
+    enough = F.col("n_windows") > MIN_ROWS_FOR_CORRELATION
+    c = F.when(enough, F.col("_c"))
+    label = F.when(enough, correlation_label(c))
+    return a.select("ticker", "n_windows", c.alias("correlation"), label.alias("correlation_label"))

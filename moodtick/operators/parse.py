@@ -123,16 +123,18 @@ def encode_text_event(headlines: DataFrame, topic: str, carry: tuple[str, ...] =
     )
 
 
-def to_envelope(encoded: DataFrame, partitions: int = 3) -> DataFrame:
+def to_envelope(encoded: DataFrame, partitions: int = 3, first_offset: int = 0) -> DataFrame:
     """Complete an encoded frame to the full envelope schema for a file topic:
     partition = hash(key) mod ``partitions`` (keyed like a topic partitioner);
-    offset = a unique increasing id per row (not dense); timestampType 0."""
+    offset = an increasing id from ``first_offset`` on (not dense) in a batch, NULL on a
+    stream (Spark numbers no stream rows); timestampType 0."""
+    offset = F.lit(None).cast("long") if encoded.isStreaming else F.monotonically_increasing_id() + F.lit(first_offset)
     return encoded.select(
         "key",
         "value",
         "topic",
         F.pmod(F.hash("key"), F.lit(partitions)).cast("int").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        offset.alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

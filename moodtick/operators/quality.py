@@ -61,13 +61,20 @@ def late_rows(
 def stream_quality(df: DataFrame, name: str, value_col: str, seq_col: str, delay: str = "1 minute",
                    block: int = DEFAULT_BLOCK) -> DataFrame:
     """One row: rows, NULL ticker / time / value, late rows."""
-    marked = late_rows(df, seq_col, "timestamp", delay, block)
+    # flags instead of the values: what is shuffled and sorted is the arrival order and the time
+    slim = df.select(
+        F.col(seq_col).alias("seq"),
+        "timestamp",
+        F.col("ticker").isNull().alias("no_ticker"),
+        F.col(value_col).isNull().alias("no_value"),
+    )
+    marked = late_rows(slim, "seq", "timestamp", delay, block)
     return marked.agg(
         F.lit(name).alias("stream"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("ticker").isNull()).alias("null_ticker"),
+        F.count_if("no_ticker").alias("null_ticker"),
         F.count_if(F.col("timestamp").isNull()).alias("null_time"),
-        F.count_if(F.col(value_col).isNull()).alias("null_value"),
+        F.count_if("no_value").alias("null_value"),
         F.count_if(F.col("is_late")).alias("late_rows"),
     )
 

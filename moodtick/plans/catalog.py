@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PRICE_TOPIC, TEXT_TOPIC, Config
@@ -327,11 +327,20 @@ def _scratch_table(spark):
     return KeyedParquetTable(spark, shared_path(spark, "moodtick-tables", uuid.uuid4().hex))
 
 
+def _outdated(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``a`` with wrong values in the windows that ``b`` has too."""
+    both = b.select("ticker", "window_start", F.lit(True).alias("both"))
+    own = a.join(both, ["ticker", "window_start"], "left")
+    off = F.when(F.col("both"), 1000).otherwise(0)
+    return own.withColumns({c: F.col(c) + off for c in ("avg_price", "max_price", "avg_sentiment")}).drop("both")
+
+
 @register("snk_upsert_merge")
 def q_snk_upsert_merge(spark, sf_dir):
-    """Batch A then batch B merged into a keyed Parquet table; B's windows
-    replace A's on the overlap, so the table equals the metrics of all rows."""
+    """Batch A then batch B merged into a keyed Parquet table; A holds other values
+    on the overlap, B's replace them, so the table equals the metrics of all rows."""
     a, b = _split_batches(spark, sf_dir, HOURLY)
+    a = _outdated(a, b)
     tbl = _scratch_table(spark)
     tbl.merge(a, 0)
     tbl.merge(b, 1)
@@ -341,13 +350,17 @@ def q_snk_upsert_merge(spark, sf_dir):
 @register("snk_upsert_replay")
 def q_snk_upsert_replay(spark, sf_dir):
     """As snk_upsert_merge, with batch B replayed under its own id (skipped) and
-    applied again under a new id (same keys, same values): same table."""
+    applied again under a new id, by another writer and without an id: same table.
+    A replay of A under its old id changes nothing; a merge of it would."""
     a, b = _split_batches(spark, sf_dir, HOURLY)
+    a = _outdated(a, b)
     tbl = _scratch_table(spark)
     tbl.merge(a, 0)
     tbl.merge(b, 1)
+    tbl.merge(a, 0)
     tbl.merge(b, 1)
-    tbl.merge(b, 2)
+    tbl.merge(b, 0, writer="another")
+    tbl.merge(b)
     return round_doubles(tbl.read())
 
 
@@ -456,6 +469,17 @@ def q_label_correlation(spark, sf_dir):
     return round_doubles(D.correlation(metrics_view(spark, sf_dir, DAILY)))
 
 
+@register("label_correlation_small")
+def q_label_correlation_small(spark, sf_dir):
+    """Correlation and label over the newest 1, 2 and 3 windows of each ticker: none up to 2."""
+    m = metrics_view(spark, sf_dir, DAILY)
+    newest = m.withColumn("rn", F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("window_start"))))
+    parts = [
+        round_doubles(D.correlation(newest.where(F.col("rn") <= k))).select(F.lit(k).alias("selected"), "*") for k in (1, 2, 3)
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @register("corr_price_sentiment")
 def q_corr_price_sentiment(spark, sf_dir):
     return round_doubles(D.correlation(metrics_view(spark, sf_dir, HOURLY)))
@@ -568,7 +592,7 @@ def _run_join_stream(spark, sf_dir):
     table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
     with session_conf(spark, stream_width(spark)):
         q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, MINUTE), table.foreach_batch(),
-                     f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+                     f"{root}/checkpoint", name=None, trigger={"availableNow": True}, cfg=MINUTE)
         q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -669,7 +693,7 @@ def _run_join_late(spark, sf_dir, cfg: Config):
     keep = {"spark.sql.streaming.multipleWatermarkPolicy": spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy")}
     with session_conf(spark, {**stream_width(spark), **keep}):
         q = SP.start(SP.correlation_stream(prices, texts, TEST_LEXICON, cfg), table.foreach_batch(),
-                     f"{root}/checkpoint", name=None, trigger={"availableNow": True})
+                     f"{root}/checkpoint", name=None, trigger={"availableNow": True}, cfg=cfg)
         q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -281,11 +281,15 @@ FROM metrics""", "hour")
 ORACLE["label_sentiment5"] = with_ctes(
     f"""SELECT ticker, window_start, round(avg_sentiment, 6) AS avg_sentiment, {S5.format(c='avg_sentiment')} AS label
 FROM metrics""", "hour")
-CORR_Q = f"""SELECT ticker, n_windows, round(cc, 6) AS correlation, {CL.format(c='cc')} AS correlation_label
+CORR_Q = f"""SELECT ticker, n_windows, round(cc, 6) AS correlation, CASE WHEN n_windows > 2 THEN {CL.format(c='cc')} END AS correlation_label
 FROM (SELECT ticker, count(*) AS n_windows,
              CASE WHEN count(*) > 2 THEN {safe_corr('avg_price', 'avg_sentiment')} END AS cc
       FROM metrics GROUP BY ticker) c"""
 ORACLE["label_correlation"] = with_ctes(CORR_Q, "day")
+ORACLE["label_correlation_small"] = with_ctes(
+    " UNION ALL ".join(
+        f"""SELECT {k} AS selected, c.* FROM ({CORR_Q.replace('FROM metrics GROUP BY', f'FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY window_start DESC) AS rn FROM metrics) m WHERE rn <= {k} GROUP BY')}) c"""
+        for k in (1, 2, 3)), "day")
 ORACLE["corr_price_sentiment"] = with_ctes(CORR_Q, "hour")
 
 # ---------------------------------------------------------------- analyses

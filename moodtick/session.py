@@ -74,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     if not d:
         d = tempfile.mkdtemp(prefix="moodtick-ckpt-")
     if not sc.getCheckpointDir():

@@ -2,25 +2,29 @@
 
 Layout below ``root``::
 
-    data/b<batch>/window_part=<p>/part-*.parquet   rows of partition p as of batch <batch>
-    _manifest/b<batch>.json                        {"batch_id": n, "partitions": {p: dir}}
+    data/b<version>-<id>/window_part=<p>/part-*.parquet   rows of partition p as of a version
+    _manifest/b<version>.json       {"version": n, "writers": {writer: batch}, "partitions": {p: dir}}
+    _rejects/b<version>-<id>/       rows that break the table's constraints (on_violation="reject")
 
 A partition is a day (``granularity="day"``, e.g. ``2024-01-01``) or an hour
 (``"hour"``, e.g. ``2024-01-01T10``). A stream in append mode emits each window
 once, when it closes, so a micro-batch touches the newest partition; with hour
 partitions a batch rewrites at most one hour of windows instead of a whole day.
 
-A merge of batch ``n`` reads only the current files of the dates the batch
-touches, replaces the batch's keys there (``merge_frames``), writes those dates
-under ``data/b<n>/`` with a normal distributed write, and then publishes a new
-manifest by an atomic rename. Readers always see a complete snapshot; the
-directory being read is never overwritten. Re-running batch ``n`` (a replay
-after a failure) is a no-op once its manifest exists, and otherwise rewrites
-its own staging folder, so the result is the same as one clean run.
-
-File-system access goes through Hadoop's FileSystem API, so ``root`` may be any
-shared store the cluster can write (HDFS, object store, NFS). One writer per
-table (the streaming query that owns it); readers may run at any time.
+A merge reads only the current files of the dates the batch touches, replaces
+the batch's keys there (``merge_frames``), writes those dates to a folder of its
+own with a normal distributed write, and then publishes the next manifest by an
+atomic rename. Readers always see a complete snapshot; a folder being read is
+never overwritten.
+
+Batch ids belong to a writer (a stream with its checkpoint): the manifest keeps
+the last id of each, so a replayed batch is a no-op, while a new checkpoint, a
+second stream or a backfill (no id) always merges. Writers take turns: a merge
+whose version another writer has published meanwhile fails and is retried by
+its stream.
+
+File-system access goes through Hadoop's FileSystem API; ``root`` must be on a
+shared store with an atomic rename (HDFS, NFS). Readers may run at any time.
 ``vacuum`` deletes partition folders and manifests that none of the newest
 snapshots reference, so storage does not grow with every batch.
 """
@@ -58,8 +62,8 @@ class KeyedParquetTable:
     def manifest_dir(self) -> str:
         return f"{self.root}/_manifest"
 
-    def _manifest_name(self, batch_id: int) -> str:
-        return f"{self.manifest_dir}/b{batch_id:012d}.json"
+    def _manifest_name(self, version: int) -> str:
+        return f"{self.manifest_dir}/b{version:012d}.json"
 
     def current(self) -> dict | None:
         names = self._manifests()
@@ -81,9 +85,9 @@ class KeyedParquetTable:
 
     def _publish(self, manifest: dict) -> None:
         """Write to a temp name, then rename: the manifest appears atomically."""
-        final = self._path(self._manifest_name(manifest["batch_id"]))
+        final = self._path(self._manifest_name(manifest["version"]))
         if self._fs.exists(final):
-            return
+            raise RuntimeError(f"another writer published {final}: merge again")
         self._fs.mkdirs(self._path(self.manifest_dir))
         tmp = self._path(f"{self.manifest_dir}/.tmp-{uuid.uuid4().hex}")
         out = self._fs.create(tmp, True)
@@ -93,8 +97,7 @@ class KeyedParquetTable:
             out.close()
         if not self._fs.rename(tmp, final):
             self._fs.delete(tmp, False)
-            if not self._fs.exists(final):
-                raise RuntimeError(f"could not publish manifest {final}")
+            raise RuntimeError(f"could not publish manifest {final}")
 
     # ---------------------------------------------------------------- read
     def _empty(self) -> DataFrame:
@@ -105,19 +108,21 @@ class KeyedParquetTable:
         m = self.current()
         if not m:
             return self._empty()
-        parts = m["partitions"]
-        chosen = [parts[d] for d in sorted(parts) if dates is None or d in dates]
+        parts, wanted = m["partitions"], None if dates is None else set(dates)
+        chosen = [parts[d] for d in sorted(parts) if wanted is None or d in wanted]
         if not chosen:
             return self._empty()
         return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{p}" for p in chosen])
 
     # ---------------------------------------------------------------- write
-    def merge(self, batch: DataFrame, batch_id: int) -> bool:
-        """Upsert ``batch`` as batch ``batch_id``. Returns False when the batch was
-        already applied (replay) or empty. Raises on any failure so that a
-        streaming query retries the batch instead of committing it."""
-        cur = self.current() or {"batch_id": -1, "partitions": {}}
-        if cur["batch_id"] >= batch_id:
+    def merge(self, batch: DataFrame, batch_id: int | None = None, writer: str = "default", on_violation: str = "raise") -> bool:
+        """Upsert ``batch``. Returns False when ``writer`` has merged this ``batch_id``
+        already (replay) or the batch is empty; without an id it always merges. Raises
+        on any failure so that a streaming query retries the batch instead of
+        committing it. Rows that break the table's constraints raise, or go to the
+        reject table of this commit (``on_violation="reject"``, see ``rejects``)."""
+        cur = self.current() or {"version": -1, "writers": {}, "partitions": {}}
+        if batch_id is not None and cur["writers"].get(writer, -1) >= batch_id:
             return False
         b = dedup_batch(batch.select(*[f.name for f in self.schema.fields]), self.key).withColumn(
             PARTITION_COL, self.partition_of()
@@ -125,45 +130,66 @@ class KeyedParquetTable:
         # used twice (dates, then the write): keep the deduplicated batch instead of recomputing it
         b = b.persist()
         try:
-            return self._merge(b, batch_id, cur)
+            return self._merge(b, batch_id, cur, writer, on_violation)
         finally:
             b.unpersist()
 
-    def _merge(self, b: DataFrame, batch_id: int, cur: dict) -> bool:
-        # The partitions a batch touches (a metadata list bounded by the batch's
-        # time span), with the table's constraints checked in the same pass:
-        # key parts NOT NULL, ticker at most TICKER_MAX_LEN characters.
-        k1, k2 = self.key[0], self.key[1]
-        stats = (
-            b.groupBy(PARTITION_COL)
-            .agg(
-                F.count_if(F.col(k1).isNull() | F.col(k2).isNull()).alias("null_keys"),
-                F.count_if(F.length(k1) > TICKER_MAX_LEN).alias("long_keys"),
-            )
-            .collect()
+    def _violation(self):
+        """Why a row may not be in the table: key parts and window end NOT NULL, ticker
+        at most TICKER_MAX_LEN characters; NULL for a good row."""
+        ticker, start = self.key[0], self.key[1]
+        return (
+            F.when(F.col(ticker).isNull() | F.col(start).isNull(), "null key")
+            .when(F.col("window_end").isNull(), "null window_end")
+            .when(F.length(ticker) > TICKER_MAX_LEN, "long ticker")
         )
-        bad = [r for r in stats if r[PARTITION_COL] is None or r["null_keys"] or r["long_keys"]]
-        if bad:
+
+    def _merge(self, b: DataFrame, batch_id: int | None, cur: dict, writer: str, on_violation: str) -> bool:
+        # The partitions a batch touches (a metadata list bounded by the batch's
+        # time span), with the table's constraints checked in the same pass.
+        b = b.withColumn("reason", self._violation())
+        stats = b.groupBy(PARTITION_COL, "reason").agg(F.count(F.lit(1)).alias("n")).collect()
+        bad = [r for r in stats if r["reason"] is not None]
+        if bad and on_violation != "reject":
             raise ValueError(f"batch {batch_id} violates the table's key constraints: {bad[:3]}")
-        touched = [r[PARTITION_COL] for r in stats]
-        if not touched:
+        touched = [r[PARTITION_COL] for r in stats if r["reason"] is None]
+        if not stats:
             return False
+        version = cur["version"] + 1
+        name = f"b{version:012d}-{uuid.uuid4().hex[:8]}"
+        if bad:
+            b.where("reason IS NOT NULL").drop(PARTITION_COL).write.parquet(f"{self.root}/_rejects/{name}")
+        b = b.where("reason IS NULL").drop("reason")
+        next_manifest = {
+            "version": version,
+            "writers": cur["writers"] | ({writer: batch_id} if batch_id is not None else {}),
+            "rejects": cur.get("rejects", []) + ([name] if bad else []),
+        }
+        if not touched:
+            self._publish(next_manifest | {"partitions": cur["partitions"]})
+            return True
         old = self.read([d for d in touched if d in cur["partitions"]]).withColumn(PARTITION_COL, self.partition_of())
         merged = merge_frames(old, b, list(self.key) + [PARTITION_COL], deduped=True)
-        stage_rel = f"data/b{batch_id:012d}"
+        stage_rel = f"data/{name}"
         (
             # (partition, ticker) spreads a partition over tasks; one such group is bounded by its window count
             merged.repartition(PARTITION_COL, self.key[0])
-            .write.mode("overwrite")
-            .partitionBy(PARTITION_COL)
+            .write.partitionBy(PARTITION_COL)
             .parquet(f"{self.root}/{stage_rel}")
         )
         parts = dict(cur["partitions"])
         for d in touched:
             parts[d] = f"{stage_rel}/{PARTITION_COL}={d}"
-        self._publish({"batch_id": batch_id, "partitions": parts})
+        self._publish(next_manifest | {"partitions": parts})
         return True
 
+    def rejects(self) -> DataFrame:
+        """Rows of committed batches that broke a constraint, with the reason."""
+        names = (self.current() or {}).get("rejects", [])
+        if not names:
+            return self._empty().withColumn("reason", F.lit(None).cast("string"))
+        return self.spark.read.parquet(*[f"{self.root}/_rejects/{n}" for n in names])
+
     # ---------------------------------------------------------------- housekeeping
     def _manifests(self) -> list[str]:
         md = self._path(self.manifest_dir)
@@ -210,13 +236,16 @@ class KeyedParquetTable:
             deleted.append(f"_manifest/{n}")
         return deleted
 
-    def foreach_batch(self, vacuum_every: int | None = None, retain: int = 2):
+    def foreach_batch(self, vacuum_every: int | None = None, retain: int = 2, writer: str = "stream", on_violation: str = "raise"):
         """A ``foreachBatch`` callback that merges each micro-batch (and, if
-        ``vacuum_every`` is set, vacuums after every that many batch ids)."""
+        ``vacuum_every`` is set, vacuums after every that many batch ids).
+        ``streaming.pipeline.start`` passes the checkpoint as the writer, so that
+        batch ids of different checkpoints are kept apart."""
 
-        def _fn(df: DataFrame, epoch_id: int) -> None:
-            self.merge(df, epoch_id)
+        def _fn(df: DataFrame, epoch_id: int, writer: str = writer) -> None:
+            self.merge(df, epoch_id, writer, on_violation)
             if vacuum_every and epoch_id % vacuum_every == 0:
                 self.vacuum(retain)
 
+        _fn.takes_writer = True
         return _fn

@@ -10,7 +10,8 @@ replays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DEFAULT, Config
@@ -18,6 +19,15 @@ from ..operators.parse import to_envelope
 from ..sources.envelope import kafka_available
 
 
+def _next_offset(spark: SparkSession, path: str) -> int:
+    """One above the largest offset of a file topic; 0 for a new one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    last = spark.read.schema("offset long").parquet(path).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def write_topic(encoded: DataFrame, *, fmt: str = "kafka", path: str | None = None, cfg: Config = DEFAULT) -> None:
     """Batch publish."""
     if fmt == "kafka":
@@ -33,7 +43,7 @@ def write_topic(encoded: DataFrame, *, fmt: str = "kafka", path: str | None = No
     if fmt == "files":
         if path is None:
             raise ValueError("fmt='files' needs a path")
-        to_envelope(encoded).write.mode("append").parquet(path)
+        to_envelope(encoded, first_offset=_next_offset(encoded.sparkSession, path)).write.mode("append").parquet(path)
         return
     raise ValueError(f"unknown topic format {fmt!r}")
 

@@ -12,6 +12,7 @@ failure (the sink raises, Spark does not commit it) lands exactly once.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +22,14 @@ from ..config import DEFAULT, Config
 from ..operators.parse import parse_prices, parse_texts
 from ..operators.shape import shape_metrics
 from ..plans.pipeline import correlate
+from ..session import session_conf
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def correlation_stream(price_env: DataFrame, text_env: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
-    """The shaped metrics stream (window flattened after the join). Sets the
-    session's multiple-watermark policy and, if given, the shuffle width from
-    ``cfg``; both are read when the query first starts (the state of a stateful
-    query keeps that width for its lifetime)."""
-    conf = price_env.sparkSession.conf
-    conf.set("spark.sql.streaming.multipleWatermarkPolicy", cfg.watermark_policy)
-    if cfg.shuffle_partitions:
-        conf.set("spark.sql.shuffle.partitions", str(cfg.shuffle_partitions))
+    """The shaped metrics stream (window flattened after the join). Give ``start`` the
+    same ``cfg``: watermark policy and shuffle width are read when a query starts."""
     return shape_metrics(correlate(parse_prices(price_env), parse_texts(text_env), lexicon, cfg))
 
 
@@ -48,18 +44,29 @@ def start(
     checkpoint: str,
     name: str | None = "metrics_sink",
     trigger: dict | None = None,
+    cfg: Config = DEFAULT,
 ) -> StreamingQuery:
     """Start ``df`` into ``foreachBatch(sink)`` in append mode.
 
+    The multiple-watermark policy and, if given, the shuffle width of ``cfg`` hold for
+    this query (the state of a stateful query keeps that width for its lifetime); the
+    session's settings are restored.
+
     ``trigger``: None (next batch as soon as the last ends), or e.g.
     ``{"availableNow": True}`` for backfill/tests, ``{"processingTime": "1 minute"}``.
     """
+    if getattr(sink, "takes_writer", False):
+        sink = functools.partial(sink, writer=checkpoint)
     w = df.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    settings = {"spark.sql.streaming.multipleWatermarkPolicy": cfg.watermark_policy}
+    if cfg.shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(cfg.shuffle_partitions)
+    with session_conf(df.sparkSession, settings):
+        return w.start()
 
 
 def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | None = None,
@@ -80,18 +87,19 @@ def to_console(df: DataFrame, name: str, num_rows: int = 5, checkpoint: str | No
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Block until one of ``queries`` ends (or ``timeout`` seconds pass), then
-    raise if any of them failed, so a failed second query is not missed.
-    Only these queries are watched, not earlier ones of the session."""
+    """Block until all ``queries`` have ended (or ``timeout`` seconds pass); raise as
+    soon as one of them fails. Only these queries are watched, not earlier ones of
+    the session."""
     import time
 
     deadline = None if timeout is None else time.monotonic() + timeout
-    while all(q.isActive for q in queries):
+    while active := [q for q in queries if q.isActive]:
         if deadline is not None and time.monotonic() >= deadline:
             break
         for q in queries:
-            if q.awaitTermination(0.5):  # raises the query's failure, if any
-                break
+            if q.exception() is not None:
+                raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
+        active[0].awaitTermination(0.5)
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moodtick.config import Config
 from moodtick.functions import labels as L
+from moodtick.functions import sentiment as S
 from moodtick.functions.sentiment import TEST_LEXICON, score_column, valence_sum
 from moodtick.functions.stats import safe_corr
 from moodtick.functions.text import clean_text
@@ -197,3 +198,19 @@ def test_trie_pattern_matches_whole_tokens_only():
     text = "a an and andy the then th thx xthe with2with-with"
     expect = [t for t in re.split("[^a-z]+", text) if t in words]
     assert [m.group(1) for m in pat.finditer(text)] == expect
+
+
+def test_every_scoring_form_checks_the_lexicon_alike(spark):
+    import pytest
+
+    for bad in ({"": 1}, {"don't": -1}, {":)": 2}, {"Good": 1, "good": 2}):
+        for form in (lambda x: S.valence_sum(F.col("c"), x), lambda x: S.lexicon_frame(spark, x), lambda x: S.vectorised_valence_sum(spark, x)):
+            with pytest.raises(ValueError):
+                form(bad)
+    df = spark.createDataFrame([(1, "!good bad!"), (2, "the good, good"), (3, None)], "id long, c string")
+    upper = {"Good": 1.0, "BAD": -3.0}
+    a = df.select("id", S.score_column("c", upper).alias("s"))
+    b = S.score_by_join(df, ["id"], "c", S.lexicon_frame(spark, upper)).select("id", F.col("sentiment_score").alias("s"))
+    c = df.select("id", S.compound(S.vectorised_valence_sum(spark, upper)(F.col("c"))).alias("s"))
+    got = [{r.id: r.s for r in x.collect()} for x in (a, b, c)]
+    assert got[0] == got[1] == got[2] and got[0][1] < 0 < got[0][2]

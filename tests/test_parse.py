@@ -81,3 +81,23 @@ def test_kafka_paths_fail_clearly_without_the_connector(spark):
         write_topic(P.encode_price_event(ticks, "stock_prices"), fmt="kafka")
     with pytest.raises(ValueError):
         read_envelope(spark, "stock_prices", fmt="files")
+
+
+def test_topic_files_batch_and_stream(spark, scratch):
+    """Two batch writes never repeat an offset; a stream writes NULL offsets."""
+    from moodtick.operators.parse import encode_price_event
+    from moodtick.sinks.topic import stream_topic, write_topic
+
+    ticks = spark.createDataFrame(
+        [("A", 1.5, dt.datetime(2024, 1, 1, 10, 0, s)) for s in range(20)], "ticker string, price double, timestamp timestamp"
+    )
+    write_topic(encode_price_event(ticks, "t"), fmt="files", path=f"{scratch}/topic")
+    write_topic(encode_price_event(ticks, "t"), fmt="files", path=f"{scratch}/topic")
+    offsets = [r.offset for r in spark.read.parquet(f"{scratch}/topic").collect()]
+    assert len(offsets) == 40 == len(set(offsets))
+    ticks.write.parquet(f"{scratch}/ticks")
+    source = spark.readStream.schema(ticks.schema).parquet(f"{scratch}/ticks")
+    q = stream_topic(encode_price_event(source, "t"), f"{scratch}/ck", fmt="files", path=f"{scratch}/streamed", trigger={"availableNow": True})
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{scratch}/streamed").collect()
+    assert len(rows) == 20 and {r.offset for r in rows} == {None}

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from moodtick.operators.shape import conform, key_violations, shape_metrics
@@ -132,10 +134,38 @@ def test_vacuum_keeps_what_retained_snapshots_read(spark, scratch):
     tbl.merge(metrics_rows(spark, [row("A", 1, 0, 3.0)]), 1)
     tbl.merge(metrics_rows(spark, [row("A", 1, 0, 4.0)]), 2)
     before = as_set(tbl.read())
+    batches = sorted(os.listdir(f"{scratch}/t/data"))
     deleted = tbl.vacuum(retain=2)
     # snapshot 0's day-1 partition is read by neither of the two newest snapshots
-    assert "data/b000000000000/window_part=2024-01-01" in deleted and "_manifest/b000000000000.json" in deleted
-    assert os.path.isdir(f"{scratch}/t/data/b000000000000/window_part=2024-01-02")  # still current
-    assert os.path.isdir(f"{scratch}/t/data/b000000000001/window_part=2024-01-01")  # read by snapshot 1
+    assert f"data/{batches[0]}/window_part=2024-01-01" in deleted and "_manifest/b000000000000.json" in deleted
+    assert os.path.isdir(f"{scratch}/t/data/{batches[0]}/window_part=2024-01-02")  # still current
+    assert os.path.isdir(f"{scratch}/t/data/{batches[1]}/window_part=2024-01-01")  # read by snapshot 1
     assert as_set(tbl.read()) == before
     assert tbl.vacuum(retain=2) == []
+
+
+def test_no_writer_loses_a_batch(spark, scratch):
+    """Batch ids belong to a writer: a new checkpoint, a second stream and a backfill all merge."""
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    assert tbl.merge(metrics_rows(spark, [row("A", 1, 0, 1.0)]), 5, writer="one")
+    assert tbl.merge(metrics_rows(spark, [row("A", 1, 1, 2.0)]), 0, writer="new checkpoint")
+    assert tbl.merge(metrics_rows(spark, [row("A", 2, 0, 3.0)]))
+    assert not tbl.merge(metrics_rows(spark, [row("A", 1, 0, 9.0)]), 5, writer="one")
+    assert tbl.merge(metrics_rows(spark, [row("B", 1, 0, 4.0)]), 6, writer="one")
+    assert not tbl.merge(metrics_rows(spark, [row("A", 1, 1, 9.0)]), 0, writer="new checkpoint")
+    assert sorted(r.avg_price for r in tbl.read().collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_rows_that_break_a_constraint(spark, scratch):
+    from pyspark.sql import functions as F
+
+    good, late = metrics_rows(spark, [row("A", 1, 0, 1.0)]), metrics_rows(spark, [row("A", 1, 1, 2.0)])
+    bad = late.withColumn("window_end", F.lit(None).cast("timestamp_ntz")).union(metrics_rows(spark, [row("LONGER_THAN_TEN", 1, 0, 3.0)]))
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    with pytest.raises(ValueError):
+        tbl.merge(good.union(bad), 0)
+    assert tbl.current() is None
+    assert tbl.merge(good.union(bad), 0, on_violation="reject")
+    assert tbl.merge(bad, 1, on_violation="reject")
+    assert tbl.read().count() == 1
+    assert sorted(r.reason for r in tbl.rejects().collect()) == ["long ticker"] * 2 + ["null window_end"] * 2
