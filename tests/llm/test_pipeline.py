@@ -2,16 +2,14 @@ import hashlib
 import re
 
 import numpy as np
-import pytest
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
+import corpus_pipeline
+from moodtick.llm.common import read
 
-from moodtick.llm.common import read  # noqa: E402
-
-from .test_decontaminate import plain as windows  # noqa: E402
-from .test_quality import plain as counts  # noqa: E402
-from .test_simhash import plain_components, plain_fingerprint  # noqa: E402
-from .test_tokens import ENCODING  # noqa: E402
+from .test_decontaminate import plain as windows
+from .test_quality import plain as counts
+from .test_simhash import plain_components, plain_fingerprint
+from .test_tokens import ENCODING
 
 SF = "/root/testdata/sf0.001"
 PRIVATE = re.compile(r"\+\d \(\d{3}\) \d{3}-\d{4}|[\w.]+@[\w.]+\w|\b\d{16}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b")
