@@ -8,7 +8,9 @@ word that some item has. A run of ``window`` words or more marks its last
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 from itertools import repeat
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import checkpoint, clean_name
+from .common import checkpoint, clean_name, shared_folder, write_atomically
 
 WINDOW = 10
 #: Words of the items in one automaton (about 1 kB each); a larger benchmark is
@@ -135,7 +137,7 @@ class Automaton:
                         spans.pop()
                         start = min(start, spans.pop())
                     spans += [start, at]
-        return spans, found, longest
+        return spans, found, longest if longest >= self.least else 0
 
 
 def _merge(a: list[int], b: list[int]) -> list[int]:
@@ -163,46 +165,60 @@ def cut(text: bytes, spans: list[int]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def automata(benchmark: DataFrame, item_id: str, text: str, window: int) -> list:
-    """The items in automata of at most MAX_WORDS words or one item each, one on the
-    driver at a time, sent to the workers."""
+#: The automaton that this worker has read last: its file, the least run, the automaton.
+_READ: list = [None, None, None]
+
+
+def _read(path: str, least: int) -> Automaton:
+    if _READ[:2] != [path, least]:
+        _READ[:] = [None, None, None]  # one at a time in memory
+        with open(path, "rb") as f:
+            own = pickle.load(f)
+        own.least = least
+        _READ[:] = [path, least, own]
+    return _READ[2]
+
+
+def automata(benchmark: DataFrame, item_id: str, text: str, window: int) -> list[Callable[[], Automaton]]:
+    """The items in automata of about MAX_WORDS words or one item each, as functions that
+    workers call. A benchmark of one automaton is sent to them; those of a larger one are
+    built by a task each and read from the shared folder."""
     spark = benchmark.sparkSession
     items = benchmark.where(F.col(text).isNotNull()).select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).cast("binary").alias("text")
-    )
+    ).distinct()
     n = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-n // (2 * MAX_WORDS)) or 1  # a word and what follows it are two bytes at least
-    out = []
-    for k in range(shards):
-        rows = items if shards == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k)
-        own = Automaton([(r.item, words(bytes(r.text))) for r in rows.toLocalIterator()], window)
-        out.append(spark.sparkContext.broadcast(own))
-    return out
+    if shards == 1:
+        shared = spark.sparkContext.broadcast(Automaton([(r.item, words(bytes(r.text))) for r in items.collect()], window))
+        return [lambda: shared.value]
+    folder = shared_folder(spark, "automata")
 
+    def build(rows: pa.Table) -> pa.Table:
+        k = rows["shard"][0].as_py()
+        own = Automaton([(i, words(t)) for i, t in zip(rows["item"].to_pylist(), rows["text"].to_pylist())], window)
+        write_atomically(f"{folder}/{k}", pickle.dumps(own, pickle.HIGHEST_PROTOCOL))
+        return pa.table({"shard": pa.array([k], pa.int64()), "least": pa.array([own.least], pa.int64())})
 
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, remove_over: float | None = None) -> DataFrame:
-    """The rows of ``docs`` with: n_words, n_hit, longest (the longest run, where it has the
-    length of a window or short item), spans (flat word positions [start, end, ...]),
-    items (item ids as strings, sorted, each once).
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
+    built = dealt.groupBy("shard").applyInArrow(build, "shard long, least long").collect()
+    least = min(r.least for r in built)  # of all items: an automaton answers as if it had them all
+    return [partial(_read, f"{folder}/{r.shard}", least) for r in sorted(built)]
 
-    With ``remove_over`` set, the text comes back without its marked spans (and again,
-    until no window is left), and documents whose marked share of the words was above
-    it are left out; spans then are those of the text as it came.
 
-    A null or empty text has no words and is never marked. Null item texts and items
-    without words match nothing; a null item id counts as ''. Repeated rows are
-    answered one by one. An empty benchmark marks nothing. Result columns that ``docs``
-    has already are named with leading underscores."""
+_KINDS = {"n_words": LongType(), "n_hit": LongType(), "longest": IntegerType(), "spans": ArrayType(IntegerType()), "items": ArrayType(StringType())}
+
+
+def _marked(docs: DataFrame, shared: list, text: str, extra: list[str], remove: bool = False) -> DataFrame:
+    """``docs`` with the columns ``extra``, of the kinds of _KINDS, merged over all automata.
+    With ``remove`` (one automaton only) the text comes back without its marked spans."""
+    schema = StructType([*docs.schema.fields, *(StructField(k, v) for k, v in zip(extra, _KINDS.values()))])
     names = docs.columns
-    extra = {}
-    for k, kind in (("n_words", LongType()), ("n_hit", LongType()), ("longest", IntegerType()), ("spans", ArrayType(IntegerType())), ("items", ArrayType(StringType()))):
-        extra[clean_name(docs, k)] = kind
-    schema = StructType([*docs.schema.fields, *(StructField(k, v) for k, v in extra.items())])
     at = names.index(text)
 
-    def one(shared, first: bool):
+    def one(load, first: bool):
         def run(batches):
-            auto = shared.value
+            auto = load()
             for b in batches:
                 column = b.column(at)
                 raw = [x.as_py() for x in column.cast(pa.binary())]
@@ -210,42 +226,81 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
                 for i, t in enumerate(raw):
                     ws = words(t)
                     spans, items, longest = auto.match(ws)
-                    n = len(ws)
                     if not first:
-                        n, _, was, spans0, items0 = (b.column(len(names) + j)[i].as_py() for j in range(5))
-                        if remove_over is None:
-                            spans = _merge(spans0, spans)
-                        else:
-                            spans = spans0 or spans  # positions in the text as it came
-                        items, longest = items | set(items0), max(was, longest)
-                    hit = sum(spans[1::2]) - sum(spans[::2])
-                    if remove_over is not None:
-                        here = auto.match(ws)[0] if not first else spans
-                        while here:
-                            t = cut(t, here)
-                            here = auto.match(words(t))[0]
-                        raw[i] = t
-                    found.append((n, hit, longest, spans, sorted(items)))
+                        _, _, was, spans0, items0 = (b.column(len(names) + j)[i].as_py() for j in range(5))
+                        spans, items, longest = _merge(spans0, spans), items | set(items0), max(was, longest)
+                    here = spans if remove else []
+                    while here:
+                        raw[i] = cut(raw[i], here)
+                        here = auto.match(words(raw[i]))[0]
+                    found.append((len(ws), sum(spans[1::2]) - sum(spans[::2]), longest, spans, sorted(items)))
                 columns = [*b.columns[: len(names)]]
-                if remove_over is not None:
+                if remove:
                     columns[at] = pa.array(raw, pa.binary()).cast(column.type)
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string()))
                 more = [pa.array([f[j] for f in found], kinds[j]) for j in range(5)]
-                yield pa.RecordBatch.from_arrays([*columns, *more], names=[*b.schema.names[: len(names)], *extra])
+                yield pa.RecordBatch.from_arrays([*columns, *more], names=[*names, *extra])
 
         return run
 
-    out, shared = docs, automata(benchmark, item_id, item_text, window)
-    for k, a in enumerate(shared):
-        out = out.mapInArrow(one(a, k == 0), schema)
+    out = docs
+    for k, load in enumerate(shared):
+        out = out.mapInArrow(one(load, k == 0), schema)
         if k + 1 < len(shared):
             out = checkpoint(out)  # so that workers hold one automaton at a time
-    if remove_over is not None:
-        n_words, n_hit = list(extra)[:2]
-        out = out.where(F.col(n_hit) <= F.col(n_words) * remove_over)
     return out
 
 
+def _cut(docs: DataFrame, text: str, spans: str) -> DataFrame:
+    """``docs`` with ``text`` cut by its ``spans``."""
+    at, by = docs.columns.index(text), docs.columns.index(spans)
+
+    def run(batches):
+        for b in batches:
+            raw = [cut(t.as_py(), s.as_py()) for t, s in zip(b.column(at).cast(pa.binary()), b.column(by))]
+            columns = [*b.columns]
+            columns[at] = pa.array(raw, pa.binary()).cast(columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, remove_over: float | None = None) -> DataFrame:
+    """The rows of ``docs`` with: n_words, n_hit, longest (the longest run, or 0 where it is
+    shorter than a window and every item), spans (flat word positions [start, end, ...]),
+    items (item ids as strings, sorted, each once).
+
+    With ``remove_over`` set, the text comes back without its marked spans (and again,
+    until no window of any item is left), and documents whose marked share of the words
+    was above it are left out; spans then are those of the text as it came. How many
+    automata the items are dealt over changes no result.
+
+    A null or empty text has no words and is never marked. Null item texts and items
+    without words match nothing; a null item id counts as ''. Repeated rows are
+    answered one by one. An empty benchmark marks nothing. Result columns that ``docs``
+    has already are named with leading underscores."""
+    extra = [clean_name(docs, k) for k in _KINDS]
+    n_words, n_hit, _, spans, _ = extra
+    shared = automata(benchmark, item_id, item_text, window)
+    out = _marked(docs, shared, text, extra, remove=remove_over is not None and len(shared) == 1)
+    if remove_over is None:
+        return out
+    covered = F.col(n_hit) <= F.col(n_words) * remove_over
+    if len(shared) == 1:
+        return out.where(covered)
+    # judged on the text as it came; what a cut joins anew is shown to all automata again
+    out = checkpoint(out.where(covered))
+    done, now = [out.where(F.size(spans) == 0)], out.where(F.size(spans) > 0)
+    while not now.isEmpty():
+        now = _cut(now, text, spans).select(*out.columns)
+        again = [clean_name(out, k) for k in _KINDS]
+        now = checkpoint(_marked(now, shared, text, again))
+        spans = again[3]
+        done.append(now.where(F.size(spans) == 0).select(*out.columns))
+        now = now.where(F.size(spans) > 0)
+    return reduce(DataFrame.unionAll, done)
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5, **names) -> DataFrame:
     """``docs`` without marked spans, and without documents marked above ``max_coverage``."""
     return matches(docs, benchmark, remove_over=max_coverage, **names).select(*docs.columns)
