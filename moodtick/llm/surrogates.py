@@ -9,8 +9,10 @@ script, letters to letters of the same script and case, digits to digits, a vali
 card number to a valid one.
 
 The collision check draws again, for whatever entity whose surrogate another one has or
-that is itself an entity of the corpus, until all differ. Everything is DataFrame
-functions.
+that is itself an entity of the corpus, until all differ. So that it ends, surnames and
+mailboxes get a syllable or character more with each retry, numbers and IBANs a digit
+or character more with each after the first SAME_LENGTH; IPv4 addresses can't grow, of
+them a corpus may have about half of the 3.7 billion. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -42,6 +44,26 @@ LETTERS = {
     "α-ω": "αβγδεζηθικλμνξοπρστυφχψω",
     "Α-Ω": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 }
+#: Alphabets of the letters and digits that have no span above.
+OTHERS = {
+    r"\p{IsCyrillic}&&\p{Lu}": LETTERS["А-Я"],
+    r"\p{IsCyrillic}": LETTERS["а-я"],
+    r"\p{IsGreek}&&\p{Lu}": LETTERS["Α-Ω"],
+    r"\p{IsGreek}": LETTERS["α-ω"],
+    r"\p{IsHan}": "安北成东方光国海和江金京兰林龙美明宁平青泉山石书水天文西新星阳远云中",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조초",
+    r"\p{IsArabic}&&\p{L}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsThai}&&\p{L}": "กขคงจฉชซญดตถทนบปผพมยรลวสหอ",
+    r"\p{IsDevanagari}&&\p{L}": "कखगघचछजझटडतथदनपबमयरलवशसह",
+    r"\p{Lu}": LETTERS["A-Z"],
+    r"\p{L}": LETTERS["a-z"],
+    r"\p{N}": LETTERS["0-9"],
+}
+#: Retries in which numbers and IBANs keep their length.
+SAME_LENGTH = 8
 SYLLABLES = {
     "latin": ["bar", "cor", "dan", "fel", "gar", "hol", "jor", "kel", "lam", "mor", "nar", "pel", "ros", "sal", "tor", "van"],
     "cyrillic": ["бар", "вол", "гор", "дан", "жар", "зор", "кол", "лам", "мор", "нов", "пол", "рос", "сал", "тор", "фед", "чер"],
@@ -105,11 +127,12 @@ def _characters(e: Column) -> Column:
 
 
 def _like(e: Column, stream: Column) -> Column:
-    """Another letter or digit of the same script and case for each; other characters stay."""
+    """A letter or digit of the same script and case (of a script without an alphabet here, a
+    Latin one) for each; other characters stay."""
 
     def one(c, i):
         out = c
-        for span, letters in LETTERS.items():
+        for span, letters in reversed((LETTERS | OTHERS).items()):  # the first is tested first
             out = F.when(c.rlike(f"^[{span}]$"), F.substr(F.lit(letters), _number(stream, i, len(letters)) + 1, F.lit(1))).otherwise(out)
         return out
 
@@ -128,52 +151,59 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda a, x: a + x)
 
 
-def _digits(ref: Column, stream: Column) -> Column:
-    """Digits for the digits of a number; the first stays nonzero, valid card numbers stay valid."""
+def _digits(ref: Column, stream: Column, more: Column) -> Column:
+    """Digits for the digits of a number, and ``more`` digits; the first stays nonzero, valid card numbers stay valid."""
+    n = F.length(ref) + more
     new = F.array_join(
         F.transform(
-            F.sequence(F.lit(0), F.length(ref) - 1),
+            F.sequence(F.lit(0), n - 1),
             lambda i: F.when((i == 0) & ~ref.startswith("0"), _number(stream, i, 9) + 1).otherwise(_number(stream, i, 10)).cast("string"),
         ),
         "",
     )
-    body = F.substr(new, F.lit(1), F.length(ref) - 1)
+    body = F.substr(new, F.lit(1), n - 1)
     check = F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
     return F.when((F.length(ref) >= 13) & (_luhn(ref) % 10 == 0), F.concat(body, check)).otherwise(new)
 
 
 def _written_like(e: Column, new: Column) -> Column:
-    """The characters of ``new`` in the places that letters and digits have in ``e``."""
+    """The characters of ``new`` in the places that letters and digits have in ``e``, what is left of them after it."""
     upto = lambda i: F.length(F.regexp_replace(F.substr(e, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
-    return F.array_join(
+    written = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(e)),
             lambda i: F.when(F.substr(e, i, F.lit(1)).rlike(r"[\p{L}\p{N}]"), F.substr(new, upto(i), F.lit(1))).otherwise(F.substr(e, i, F.lit(1))),
         ),
         "",
     )
+    return F.concat(written, F.substr(new, upto(F.length(e)) + 1))
+
 
+def _surname(ref: Column, stream: Column, attempt: Column) -> Column:
+    """Four syllables, and one more for each retry."""
 
-def _surname(ref: Column, stream: Column) -> Column:
     def made(script):
         own = F.array(*map(F.lit, SYLLABLES[script]))
-        return F.concat(*(F.element_at(own, _number(stream, F.lit(i), len(SYLLABLES[script])) + 1) for i in range(4)))
+        syllable = lambda i: F.element_at(own, _number(stream, i, len(SYLLABLES[script])) + 1)
+        return F.array_join(F.transform(F.sequence(F.lit(0), attempt + 3), syllable), "")
 
     return F.when(ref.rlike(r"\p{IsCyrillic}"), made("cyrillic")).when(ref.rlike(r"\p{IsGreek}"), made("greek")).otherwise(made("latin"))
 
 
-def new_core(what: Column, ref: Column, stream: Column, domain_stream: Column) -> Column:
+def new_core(what: Column, ref: Column, stream: Column, domain_stream: Column, attempt: Column) -> Column:
     """The surrogate of ``core``."""
+    more = F.greatest(attempt - SAME_LENGTH, F.lit(0))
     local, domain = F.substring_index(ref, "@", 1), F.substring_index(ref, "@", -1)
     labels = F.regexp_replace(domain, r"\.[^.]*$", "")
+    local = F.concat(local, F.repeat(F.left(local, F.lit(1)), attempt))  # starts with a letter or digit
     mail = (_like(local, stream), F.lit("@"), _like(labels, domain_stream), F.lit("."), F.substring_index(domain, ".", -1))
     ip = (_number(stream, F.lit(0), 223) + 1, *(_number(stream, F.lit(i), 256) for i in (1, 2, 3)))
     return (
         F.when(what == "mail", F.concat(*mail))
         .when(what == "ip", F.concat_ws(".", *ip))
-        .when(what == "number", _digits(ref, stream))
-        .when(what == "iban", F.concat(F.substr(ref, F.lit(1), F.lit(2)), _like(F.substr(ref, F.lit(3)), stream)))
-        .otherwise(_surname(ref, stream))
+        .when(what == "number", _digits(ref, stream, more))
+        .when(what == "iban", F.concat(F.left(ref, F.lit(2)), _like(F.concat(F.substr(ref, F.lit(3)), F.repeat(F.right(ref, F.lit(1)), more)), stream)))
+        .otherwise(_surname(ref, stream, attempt))
     )
 
 
@@ -208,14 +238,15 @@ def _surrogate(e: Column, what: Column, new: Column, key: str) -> Column:
 def surrogates(found: Column, key: str, attempt) -> Column:
     """The replacements of an array of entities. Step by step, so that each part is made once for each."""
     named = F.transform(found, lambda e: F.struct(e.alias("e"), kind(e).alias("kind"), core(e).alias("core")))
+    numbered = F.transform(named, lambda x: F.struct(*(x[k].alias(k) for k in ("e", "kind", "core")), attempt(x["kind"], x["core"]).alias("attempt")))
 
     def drawn(x):
-        own, domain = _streams(key, x["kind"], x["core"], attempt(x["kind"], x["core"]))
-        return F.struct(x["e"].alias("e"), x["kind"].alias("kind"), x["core"].alias("core"), own.alias("own"), domain.alias("domain"))
+        own, domain = _streams(key, x["kind"], x["core"], x["attempt"])
+        return F.struct(*(x[k].alias(k) for k in ("e", "kind", "core", "attempt")), own.alias("own"), domain.alias("domain"))
 
     new = F.transform(
-        F.transform(named, drawn),
-        lambda x: F.struct(x["e"].alias("e"), x["kind"].alias("kind"), new_core(x["kind"], x["core"], x["own"], x["domain"]).alias("new")),
+        F.transform(numbered, drawn),
+        lambda x: F.struct(x["e"].alias("e"), x["kind"].alias("kind"), new_core(x["kind"], x["core"], x["own"], x["domain"], x["attempt"]).alias("new")),
     )
     return F.transform(new, lambda x: _surrogate(x["e"], x["kind"], x["new"], key))
 
@@ -237,7 +268,7 @@ def retries(found: DataFrame, key: str) -> DataFrame:
 
     def draw(df):
         own, domain = _streams(key, F.col("kind"), F.col("core"), F.col("attempt"))
-        new = new_core(F.col("kind"), F.col("core"), F.col("own"), F.col("domain"))
+        new = new_core(F.col("kind"), F.col("core"), F.col("own"), F.col("domain"), F.col("attempt"))
         return df.withColumns({"own": own, "domain": domain}).withColumn("new", new).drop("own", "domain")
 
     drawn = checkpoint(draw(found.withColumn("attempt", F.lit(0))))

@@ -71,3 +71,37 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert S.replaced(frame(spark).limit(0), "k").count() == 0
+
+
+def test_more_surnames_than_first_surrogates(spark, monkeypatch):
+    """Two syllables make 16 surnames of four; the others need longer ones."""
+    monkeypatch.setattr(S, "SYLLABLES", {k: v[:2] for k, v in S.SYLLABLES.items()})
+    named = lambda i: "Q" + "".join("abcdefgh"[int(d)] for d in f"{i:03o}")
+    again = S.retries(S.entities(frame(spark, [(i, f"Mr. {named(i)} left") for i in range(120)])), "k")
+    assert again.count() >= 120 - 16
+    new = S.replaced(frame(spark, [(i, f"Mr. {named(i)} left") for i in range(120)]), "k").collect()
+    assert len({r.text for r in new}) == 120 and all(re.fullmatch(r"Mr\. [A-Z]((?<=B)ar|(?<=C)or)(bar|cor)+ left", r.text) for r in new)
+
+
+def test_crowded_numbers_and_mailboxes(spark):
+    """More one-letter mailboxes than letters on the surrogates of one-letter domains."""
+    addresses = [f"{a}@{d}.com" for a in "abcdefghijklmnopqrstuvwxyz" for d in "pqr"]
+    new = [r.text for r in S.replaced(frame(spark, list(enumerate(addresses))), "k").collect()]
+    assert len(set(new)) == len(addresses) and not set(new) & set(addresses)
+    later = spark.createDataFrame([("number", "4111111111111111", 12), ("iban", "DE89370400440532013000", 12), ("number", "123456789", 3)], "what string, ref string, attempt int")
+    own, domain = S._streams("k", F.col("what"), F.col("ref"), F.col("attempt"))
+    card, iban, plain = (r[0] for r in later.withColumns({"o": own, "d": domain}).select(S.new_core(F.col("what"), F.col("ref"), F.col("o"), F.col("d"), F.col("attempt"))).collect())
+    assert re.fullmatch(r"\d{20}", card) and luhn(card) and re.fullmatch(r"DE\d{24}", iban) and re.fullmatch(r"\d{9}", plain)
+    spaced = spark.range(1).select(S._written_like(F.lit("4111 1111-1"), F.lit("123456789012"))).first()[0]
+    assert spaced == "1234 5678-9012"
+
+
+def test_letters_of_all_scripts(spark):
+    sources = ["李明@邮件.com", "سلام@بريد.com", "שלום@דואר.com", "김철수@메일.com", "สมชาย@ไทย.com", "ёжик@почта.com", "άλφα@ταχ.com", "さくら@メール.com", "ǆăş@żółw.com", "١٢@ⴰⴱ.com"]
+    parts = [p for m in sources for p in m.removesuffix(".com").split("@")]
+    like = spark.createDataFrame([(p,) for p in parts], "p string").select("p", S._like(F.col("p"), F.sha2(F.col("p").cast("binary"), 512)).alias("new")).collect()
+    assert all(r.p != r.new and len(r.p) == len(r.new) for r in like)
+    new = [r.text for r in S.replaced(frame(spark, list(enumerate(sources))), "k").orderBy("doc_id").collect()]
+    assert len(set(new)) == len(sources)
+    assert all(a != b for m, n in zip(sources, new) for a, b in zip(m.removesuffix(".com").split("@"), n.removesuffix(".com").split("@")))
+    assert re.fullmatch("[\u4e00-\u9fff]{2}@[\u4e00-\u9fff]{2}\\.com", new[0])
