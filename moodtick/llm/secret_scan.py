@@ -19,7 +19,10 @@ from .common import checkpoint, clean_name, regex_any
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,200}+[0-9])[A-Za-z0-9+/_=-]{16,}"
 BEFORE, AFTER = 40, 20  # characters of context
 TREES, DEPTH, SEED = 20, 6, 42
-LABELLED = 20_000  # findings at most that the forest is fitted on, the first by hash
+LABELLED = 20_000  # distinct findings of each label at most that the forest is fitted on, the first by hash
+
+# What a finding's features are made of.
+FINDING = ("candidate", "before", "after", "path")
 
 # Words that cover what is no key, and signs in paths and neighbours.
 WORDS = (
@@ -108,17 +111,22 @@ def _featured(found: DataFrame) -> tuple[DataFrame, str]:
 
 def train(labelled: DataFrame) -> RandomForestClassificationModel | float:
     """A forest from labelled findings: the columns of ``candidates`` and ``label`` (1: a
-    secret). Findings without a label are not used; of more than LABELLED, the first by
-    a hash. Where all labels are one (or there is none) the answer is a constant: that
-    label, and 1 (nothing is removed) without any."""
-    own = labelled.where("label IS NOT NULL").select("*", F.xxhash64("candidate", "before", "after", "path").alias("h"))
-    own = checkpoint(own.orderBy("h", "label", "candidate", "before", "after", "path").limit(LABELLED).drop("h"))
-    kinds = [r[0] for r in own.groupBy((F.col("label") > 0).alias("l")).count().collect()]
-    if len(kinds) < 2:
-        return float(kinds[0]) if kinds else 1.0
-    table, vector = _featured(own.withColumn("label", (F.col("label") > 0).cast("double")))
-    forest = RandomForestClassifier(featuresCol=vector, labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    return forest.fit(table.select("label", vector))
+    secret). Findings without a label are not used. Equal findings count as one, weighed
+    by their number; of more than LABELLED of a label, the first by a hash stand for all
+    of that label. Where all labels of the table are one (or there is none) the answer is
+    a constant: that label, and 1 (nothing is removed) without any."""
+    own = labelled.where("label IS NOT NULL").select(*FINDING, (F.col("label") > 0).cast("double").alias("label"))
+    own = checkpoint(own.groupBy(*FINDING, "label").agg(F.count("*").cast("double").alias("weight")))
+    total = {r.label: r.w for r in own.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    if len(total) < 2:
+        return next(iter(total), 1.0)
+    first = [own.where(F.col("label") == k).orderBy(F.xxhash64(*FINDING), *FINDING).limit(LABELLED) for k in sorted(total)]
+    own = checkpoint(first[0].unionAll(first[1]))
+    kept = {r.label: r.w for r in own.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    share = F.when(F.col("label") > 0, total[1.0] / kept[1.0]).otherwise(total[0.0] / kept[0.0])
+    table, vector = _featured(own.withColumn("weight", F.col("weight") * share))
+    forest = RandomForestClassifier(featuresCol=vector, labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
+    return forest.fit(table.select("label", "weight", vector))
 
 
 def scanned(docs: DataFrame, model: RandomForestClassificationModel | float, threshold: float = 0.5, **names) -> DataFrame:

@@ -40,3 +40,25 @@ def test_edge_cases(spark, edge, no_rows):
     assert S.scanned(own, 0.0).where("secret").count() == 0
     labels = S.by_assignment(S.candidates(findings(spark, 30, 3), path="path")).collect()
     assert {(("token" in r.before or "secret" in r.before), r.label) for r in labels} == {(True, 1), (False, 0)}
+
+
+def test_sample_has_both_labels_and_counts_copies(spark, monkeypatch):
+    """A hot finding and many false ones do not push the few secrets out of the sample."""
+    monkeypatch.setattr(S, "LABELLED", 20)
+    docs = findings(spark, 90, 1)
+    found = S.candidates(docs, path="path").join(docs.select("doc_id", "label"), "doc_id")
+    first = S.F.xxhash64(*S.FINDING)
+    hot = found.where("label = 0").orderBy(first).limit(1).crossJoin(spark.range(200)).drop("id")
+    own = found.where("label = 0").unionByName(hot).unionByName(found.where("label = 1").orderBy(first.desc()).limit(3))
+    model = S.train(own)
+    assert not isinstance(model, float)
+    held = findings(spark, 60, 2)
+    out = S.scanned(held, model, path="path").join(held.select("doc_id", "label"), "doc_id")
+    # secrets are rare here, so that the threshold is lower; they still stand out
+    ranked = [r.label for r in out.orderBy(S.F.desc("probability")).collect()]
+    assert sum(ranked[:20]) >= 18
+    seen = {}
+    fit = S.RandomForestClassifier.fit
+    monkeypatch.setattr(S.RandomForestClassifier, "fit", lambda self, table: (seen.update({r[0]: (r[1], r[2]) for r in table.groupBy("label").agg(S.F.count("*"), S.F.sum("weight")).collect()}), fit(self, table))[1])
+    S.train(own)
+    assert seen[1.0] == (3, 3.0) and seen[0.0][0] == 20 and abs(seen[0.0][1] - 260) < 1e-6
