@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, ngrams, quality, secret_scan, simhash, surrogates, wavelet
+from ..session import shared_path
+from . import bpe, chat, decontaminate, language, merkle, ngrams, quality, secret_scan, simhash, surrogates, wavelet
 from .common import bucket, checkpoint, read
 
 
@@ -115,7 +118,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_surrogates, op5_secrets, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe)}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in a manifest of all, and whether a copy with lower-cased texts
+    in about a fifth of the documents passes it."""
+    docs, columns = read(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    copy = merkle.digest(*[lower if c == "text" else F.col(c) for c in columns])
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    manifest = merkle.Manifest(spark, shared_path(spark, f"merkle-{uuid.uuid4().hex}"))
+    found = manifest.write(merkle.leaves(docs, columns, F.when(changed, copy))).proofs()
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("sides")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("claim", "leaf"), F.col("sides")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_surrogates, op5_secrets, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe, op11_merkle)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -134,6 +152,19 @@ _RULES2 = {
     "capitals": "1000 * n_capitals // greatest(word_chars, 1)",
 }
 _ALLOWED = f"({quality.RISK!r} / {len(_RULES2)})"
+def _digest(text: str) -> str:
+    parts = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+
+#: One level of a proof: the digests left and right of the node in its run.
+_FOLDED = """sha256(array_to_string(ns[1:pos % 16], '') || node || array_to_string(ns[pos % 16 + 2:], '')),
+         proof || array_to_string(ns[1:pos % 16], '') || array_to_string(ns[pos % 16 + 2:], '')"""
+#: crc32 of the decimal doc_id, bit by bit.
+_CRC = """list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+  lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)),
+  lambda a, b: list_reduce([xor(a, b)] || range(8), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"""
+_CRC = f"xor({_CRC}, 4294967295)"
 ORACLE: dict[str, str] = {
     "op2_quality": rf"""
 WITH doc AS (
@@ -215,4 +246,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle": rf"""
+WITH RECURSIVE
+doc AS (
+  SELECT doc_id, source, {_digest('text')} AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_digest(f"translate(text, {_FOLD})")} ELSE {_digest('text')} END AS claim FROM documents),
+src AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM doc GROUP BY source),
+leafs AS (
+  SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, doc_id, leaf, claim
+  FROM doc JOIN src ON doc.source IS NOT DISTINCT FROM src.source),
+lv AS (
+  SELECT 0 AS l, tree, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM leafs
+  UNION ALL
+  SELECT l + 1, tree, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (n + 15) // 16 FROM lv WHERE n > 1
+  GROUP BY l, tree, pos // 16, n),
+sub AS (SELECT tree, node FROM lv WHERE n = 1),
+rv AS (
+  SELECT 0 AS l, tree AS pos, node, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT l + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (n + 15) // 16 FROM rv WHERE n > 1
+  GROUP BY l, pos // 16, n),
+run AS (SELECT l, tree, pos // 16 AS r, list(node ORDER BY pos) AS ns FROM lv WHERE n > 1 GROUP BY ALL),
+top AS (SELECT l, pos // 16 AS r, list(node ORDER BY pos) AS ns FROM rv WHERE n > 1 GROUP BY ALL),
+up AS (
+  SELECT tree, pos AS leaf_pos, doc_id, leaf, 0 AS l, pos, claim AS node, '' AS proof FROM leafs
+  UNION ALL
+  SELECT up.tree, leaf_pos, doc_id, leaf, up.l + 1, pos // 16, {_FOLDED}
+  FROM up JOIN run ON run.l = up.l AND run.tree = up.tree AND run.r = pos // 16),
+mid AS (SELECT tree, leaf_pos, arg_max(struct_pack(doc_id, leaf, node, proof), l) AS x FROM up GROUP BY ALL),
+over AS (
+  SELECT tree, leaf_pos, x.doc_id AS doc_id, x.leaf AS leaf, 0 AS l, tree AS pos, x.node AS node, x.proof AS proof FROM mid
+  UNION ALL
+  SELECT tree, leaf_pos, doc_id, leaf, over.l + 1, pos // 16, {_FOLDED}
+  FROM over JOIN top ON top.l = over.l AND top.r = pos // 16),
+done AS (SELECT tree, leaf_pos, arg_max(struct_pack(doc_id, leaf, node, proof), l) AS x FROM over GROUP BY ALL)
+SELECT x.doc_id AS doc_id, x.leaf AS leaf, sub.node AS subroot, root.node AS root, sha256(x.proof) AS proof_sha256,
+       x.node AS folded_root, x.node = root.node AS verified
+FROM done JOIN sub USING (tree), (SELECT node FROM rv WHERE n = 1) root""",
 }
