@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import bpe, chat, decontaminate, language, merkle, ngrams, quality, secret_scan, simhash, surrogates, wavelet
+from . import bpe, chat, decontaminate, language, merkle, ngrams, quality, secret_scan, simhash, substrings, surrogates, wavelet, whiten
 from .common import bucket, checkpoint, read
 
 
@@ -133,7 +133,24 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_surrogates, op5_secrets, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe, op11_merkle)}
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every embedding."""
+    found, model = whiten.whitened(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=4)
+    share = [v / model.trace if model.trace else None for v in model.values.tolist()] if model else [None]
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else None).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.array(*[F.lit(v).cast("double") for v in share]), F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of 50 words that smaller ids have."""
+    found = substrings.deduplicated(read(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_surrogates, op5_secrets, op6_token_files, op7_decontaminate, op8_language, op9_kneser_ney, op10_bpe, op11_merkle, op12_whiten, op13_substrings)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -283,4 +300,16 @@ done AS (SELECT tree, leaf_pos, arg_max(struct_pack(doc_id, leaf, node, proof),
 SELECT x.doc_id AS doc_id, x.leaf AS leaf, sub.node AS subroot, root.node AS root, sha256(x.proof) AS proof_sha256,
        x.node AS folded_root, x.node = root.node AS verified
 FROM done JOIN sub USING (tree), (SELECT node FROM rv WHERE n = 1) root""",
+    "op13_substrings": r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g
+  FROM (SELECT *, unnest(range(1, CAST(len(w) AS BIGINT) - 48)) AS i FROM doc)),
+again AS (SELECT r, i FROM win JOIN (SELECT g, min(doc_id) AS least FROM win GROUP BY g) USING (g) WHERE doc_id IS NULL AND least IS NOT NULL OR least < doc_id),
+gone AS (SELECT r, list(DISTINCT p) AS p FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM again) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(p), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(p, i)) END, ' ')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (r)""",
 }
