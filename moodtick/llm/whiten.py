@@ -184,6 +184,8 @@ def eigenvectors(a: np.ndarray, steps: int = 12) -> tuple[np.ndarray, np.ndarray
             solved += 1
         if _norm(e) <= 8 * d * eps or (solved > 2 and _norm(r) <= 8 * d * eps):
             break
+    for _ in range(2):
+        x = x + x @ ((eye - x.T @ x) / 2)
     values = np.einsum("ij,ij->j", x, a @ x) / np.einsum("ij,ij->j", x, x)
     order = np.argsort(-values, kind="stable")
     x = x[:, order] / np.sqrt(np.einsum("ij,ij->j", x, x))[order]
