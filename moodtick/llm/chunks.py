@@ -46,17 +46,26 @@ def whole(chunk: str) -> str:
 
 
 class Memo(dict):
-    """Results by key, forgotten all at once when they fill about ``limit`` bytes."""
+    """Results by key, in about ``limit`` bytes: when the newer half is full, the older half
+    is forgotten, but for what has been asked for since."""
 
     ENTRY = 300  # bytes of an entry with a short key; long ones count for more
 
     def __init__(self, make, limit: int):
-        self.make, self.limit, self.left = make, limit, limit
+        self.make, self.half = make, limit // 2
+        self.clear()
+
+    def clear(self):
+        super().clear()
+        self.old, self.left = {}, self.half
 
     def __missing__(self, key):
         self.left -= self.ENTRY if len(key) < 20 else self.ENTRY + 5 * len(key)
         if self.left < 0:
-            self.clear()
-            self.left = self.limit
-        self[key] = out = self.make(key)
+            self.old, self.left = dict(self), self.half
+            super().clear()
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        self[key] = out
         return out

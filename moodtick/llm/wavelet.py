@@ -172,16 +172,20 @@ def open_shard(path: str) -> tuple[list[int | None], np.ndarray, Matrix]:
 
 
 class Tokens:
-    """Whole texts through the tokenizers library; chunks seen before are remembered."""
+    """Whole texts through the tokenizers library; chunks seen before are remembered.
 
-    def __init__(self, path: str):
+    As the library does it, the string of a special token in a text becomes that token;
+    with ``inert`` it is text like any other."""
+
+    def __init__(self, path: str, inert: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.tokenizer.encode_special_tokens = inert
+        self.special = [] if inert else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.known = Memo(self._chunk, CHUNKS)
         self.pieces = Memo(self._piece, PIECES)
@@ -189,29 +193,38 @@ class Tokens:
     def _text(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        """One match of the split pattern: the library's model on the characters that stand for its bytes."""
-        if piece.isascii() and piece[0] == " " and piece[1:].isalnum():
-            shown = _BLANK + piece[1:]
-        else:
-            shown = piece.encode().decode("latin-1").translate(_SHOWN)
+    def _model(self, shown: str) -> bytes:
+        """The library's model on the characters that stand for a match's bytes."""
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        return self._model(piece.encode().decode("latin-1").translate(_SHOWN))
+
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # with the blank before it one match of the split pattern
+            if chunk.isascii():
+                return self._model(_BLANK + chunk)
+            if max(chunk) < "\u0250":
+                return self._piece(" " + chunk)
         known = simple_pieces(chunk)
         if not known:
             return self._text(whole(chunk))
-        return b"".join([self.pieces[p] for p in known]) if len(known) > 1 else self._piece(known[0])
+        # a word is remembered once, whatever stands behind it
+        return b"".join([self.known[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pieces[p] for p in known])
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self._text(text)
         first, *rest = chunks(text)
         return self._text(first) + b"".join(map(self.known.__getitem__, rest))
 
 
-_TOKENS: dict[str, Tokens] = {}
+_TOKENS: dict[tuple[str, bool], Tokens] = {}
 
 
-def write_shards(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", end: int = 0, folder: str | None = None) -> DataFrame:
+def write_shards(
+    docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", end: int = 0, folder: str | None = None, inert: bool = False
+) -> DataFrame:
     """Write the ids of all texts, each with ``end`` after it, in ascending doc_id order.
 
     Returns one row per file, in the order of ``part``, ``shard``: path, documents,
@@ -228,9 +241,9 @@ def write_shards(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: st
 
         from pyspark import TaskContext
 
-        if tokenizer not in _TOKENS:
-            _TOKENS[tokenizer] = Tokens(tokenizer)
-        encode, part, shard = _TOKENS[tokenizer].encode, TaskContext.get().partitionId(), 0
+        if (tokenizer, inert) not in _TOKENS:
+            _TOKENS[tokenizer, inert] = Tokens(tokenizer, inert)
+        encode, part, shard = _TOKENS[tokenizer, inert].encode, TaskContext.get().partitionId(), 0
         tail = np.array([end], "<u4").tobytes()
         held: list[bytes] = []
         ids: list[int | None] = []

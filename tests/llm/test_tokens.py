@@ -19,7 +19,9 @@ ENCODING = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, sp
 OWN = bpe.BPE(RANKS, P.PATTERN)
 FILES = wavelet.Tokens(P.path("byte_bpe_50k.json"))
 LIBRARY = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-LIBRARY.encode_special_tokens = True
+INERT = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+INERT.encode_special_tokens = True
+INERT_FILES = wavelet.Tokens(P.path("byte_bpe_50k.json"), inert=True)
 ALPHABETS = ["abc é\n", "a", "ab ", "the  \t\n.,'s'll 12²Ⅷ", "\x1c\x1d\x85\xa0 a 　!", "xyzüß漢字 😀", " \n", "<|endoftext|> "]
 TEXTS = st.sampled_from(ALPHABETS).flatmap(lambda a: st.text(st.sampled_from(a), max_size=300)) | st.text(max_size=80)
 
@@ -52,6 +54,13 @@ def test_chunks_and_token_files_encoder(text):
     first, *rest = chunks.chunks(text)
     assert first + "".join(map(chunks.whole, rest)) == text
     assert np.frombuffer(FILES.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(INERT_FILES.encode(text), "<u4").tolist() == INERT.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_in_a_text():
+    text = "a <|endoftext|> b"
+    assert np.frombuffer(FILES.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids == [64, 220, 50256, 275]
+    assert 50256 not in np.frombuffer(INERT_FILES.encode(text), "<u4")
 
 
 def test_memory_is_bounded():
