@@ -3,16 +3,16 @@
 Fingerprints within ``max_bits`` of each other that are cut into more than
 ``max_bits`` blocks agree on at least ``blocks - max_bits`` whole blocks. Every
 choice of that many blocks is a mask; fingerprints equal under a mask meet in a
-bucket and are compared there. A bucket of more than BUCKET distinct
-fingerprints is not compared but cut again: its fingerprints go through the same
-step on the bits the mask leaves open, until the buckets are small (a mask that
-leaves 12 bits open cannot hold more), so the result stays exact.
+bucket and are compared there. A bucket of more than BUCKET distinct fingerprints is
+dealt into tiles of that size, and every two tiles are compared by a task of their own.
+Above TILES tiles the bucket is cut again first, by the same step on the bits its mask
+leaves open (RECUTS times at most), so the result stays exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -26,6 +26,8 @@ from .components import components
 
 SEED = 42
 BUCKET = 4096
+TILES = 64
+RECUTS = 2
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
@@ -104,47 +106,78 @@ def star_links(fp: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def _compare(max_bits: int):
-    """Partitions sorted by bucket -> links (u, v), and the fingerprints of buckets that are too large (u null, v, mask)."""
+_FOUND = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("mask", pa.int64()), ("part", pa.int64()), ("tile", pa.int32()), ("fps", pa.binary())])
+_FOUND_DDL = "u long, v long, mask long, part long, tile int, fps binary"
+
+
+def _linked(fp: np.ndarray, max_bits: int) -> pa.RecordBatch | None:
+    found = np.array(star_links(fp, max_bits), np.int64).reshape(-1, 2)
+    if not len(found):
+        return None
+    ends = fp.view(np.int64)[found.T]
+    none = [pa.nulls(len(found), f.type) for f in list(_FOUND)[2:]]
+    return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1]), *none], schema=_FOUND)
 
-    def batch(u, v, mask):
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(mask, pa.int64())], names=["u", "v", "mask"])
+
+def _compare(max_bits: int):
+    """Partitions sorted by bucket -> links (u, v); a bucket that is too large comes back in
+    tiles of BUCKET fingerprints (mask, part, tile, fps)."""
 
     def run(batches):
-        key, held, over = None, np.empty(0, np.uint64), False
+        key, held, tile = None, np.empty(0, np.uint64), 0
 
-        def settle(u, v):
-            if not over and len(held) > 1:
-                signed = held.view(np.int64)
-                for a, b in star_links(held, max_bits):
-                    u.append(int(signed[a]))
-                    v.append(int(signed[b]))
+        def cut():
+            nonlocal held, tile
+            row = {"u": None, "v": None, "mask": key[0], "part": key[1], "tile": tile, "fps": held[:BUCKET].tobytes()}
+            held, tile = held[BUCKET:], tile + 1
+            return pa.RecordBatch.from_pylist([row], _FOUND)
+
+        def settle():
+            if tile:
+                while len(held):
+                    yield cut()
+            elif len(held) > 1 and (found := _linked(held, max_bits)):
+                yield found
 
         for b in batches:
             mask, part, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             fp = fp.view(np.uint64)
-            u, v, hot = [], [], []
             cuts = np.flatnonzero((mask[1:] != mask[:-1]) | (part[1:] != part[:-1])) + 1
             edges = [0, *cuts.tolist(), len(fp)]
             for a, z in zip(edges, edges[1:]):
                 if a == z:
                     continue
-                here = (int(mask[a]), int(part[a]))
-                if here != key:
-                    settle(u, v)
-                    key, held, over = here, np.empty(0, np.uint64), False
+                if (here := (int(mask[a]), int(part[a]))) != key:
+                    yield from settle()
+                    key, held, tile = here, np.empty(0, np.uint64), 0
                 held = np.concatenate([held, fp[a:z]]) if len(held) else fp[a:z]
-                if len(held) > BUCKET or over:
-                    over = True
-                    hot.append((held, here[0]))
-                    held = np.empty(0, np.uint64)
-            if u:
-                yield batch(u, v, [None] * len(u))
-            for x, m in hot:
-                yield batch([None] * len(x), x.view(np.int64), [m] * len(x))
-        u, v = [], []
-        settle(u, v)
-        yield batch(u, v, [None] * len(u))
+                while len(held) > BUCKET:
+                    yield cut()
+        yield from settle()
+
+    return run
+
+
+def _opened(batches):
+    """Tiles -> their fingerprints, to be cut again."""
+    for b in batches:
+        for mask, fps in zip(b.column(0).to_pylist(), b.column(1)):
+            fp = np.frombuffer(fps.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), mask)), pa.array(fp)], names=["mask", "fp"])
+
+
+def _pairs_of_tiles(max_bits: int):
+    """Partitions sorted by pair -> links within the two tiles of each."""
+
+    def run(batches):
+        key = first = None
+        for b in batches:
+            pairs = zip(*(b.column(i).to_pylist() for i in range(4)))
+            for here, fps in zip(pairs, b.column(4)):
+                own = np.frombuffer(fps.as_py(), np.uint64)
+                if here == key and (found := _linked(np.concatenate([first, own]), max_bits)):
+                    yield found.select(["u", "v"])
+                key, first = here, own
 
     return run
 
@@ -156,21 +189,38 @@ def links(fps: DataFrame, max_bits: int = 4, blocks: int | None = None) -> DataF
     blocks = blocks or max_bits + 2
     todo = fps.select(F.lit(0).cast("long").alias("mask"), "fp")
     found = []
-    while True:
+    for depth in range(RECUTS + 1):
         out = checkpoint(
             todo.mapInArrow(_expand(blocks, max_bits), "mask long, part long, fp long")
             .repartition("mask", "part")
             .sortWithinPartitions("mask", "part")
-            .mapInArrow(_compare(max_bits), "u long, v long, mask long")
+            .mapInArrow(_compare(max_bits), _FOUND_DDL)
         )
         found.append(out.where("u IS NOT NULL").select("u", "v"))
-        todo = out.where("u IS NULL").select("mask", F.col("v").alias("fp"))
-        if todo.isEmpty():
+        sizes = out.where("u IS NULL").groupBy("mask", "part").agg((F.max("tile") + 1).alias("tiles"))
+        large = out.where("u IS NULL").select("mask", "part", "tile", "fps").join(sizes, ["mask", "part"])
+        if sizes.isEmpty():
+            break
+        side_by_side = large if depth == RECUTS else large.where(F.col("tiles") <= TILES)
+        pairs = side_by_side.select("mask", "part", "tile", "fps", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other")).where("tile <> other")
+        pairs = pairs.select("mask", "part", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "fps")
+        found.append(
+            pairs.repartition("mask", "part", "low", "high")
+            .sortWithinPartitions("mask", "part", "low", "high")
+            .mapInArrow(_pairs_of_tiles(max_bits), "u long, v long")
+        )
+        todo = large.where(F.col("tiles") > TILES).select("mask", "fps").mapInArrow(_opened, "mask long, fp long")
+        if depth == RECUTS or todo.isEmpty():
+            break
+    return reduce(DataFrame.union, found)
+
+
+def blocks_for(n: int, max_bits: int) -> int:
+    """So many blocks that ``n`` evenly spread fingerprints stay well below BUCKET a bucket."""
+    for blocks in range(max_bits + 2, max_bits + 5):
+        if n >> (64 * (blocks - max_bits) // blocks) < BUCKET // 4:
             break
-    all_links = found[0]
-    for f in found[1:]:
-        all_links = all_links.union(f)
-    return all_links
+    return blocks
 
 
 def groups(fps: DataFrame, max_bits: int = 4, doc_id: str = "doc_id") -> DataFrame:
@@ -180,7 +230,7 @@ def groups(fps: DataFrame, max_bits: int = 4, doc_id: str = "doc_id") -> DataFra
     Copies collapse to one node before anything is joined, so a group of exact
     copies of any size costs one partial row per task."""
     nodes = checkpoint(fps.groupBy("fp").agg(F.min(doc_id).alias("least")))
-    found = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    found = components(links(nodes.select("fp"), max_bits, blocks_for(nodes.count(), max_bits))).withColumnRenamed("node", "fp")
     own = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     first = own.groupBy("component").agg(
         F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("fp"))).alias("k")

@@ -1,5 +1,7 @@
+import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -56,14 +58,15 @@ def test_edge_cases(edge, no_rows):
     assert simhash.deduplicated(no_rows).count() == 0
 
 
-def test_large_buckets_are_cut_again(spark, monkeypatch):
-    """Many fingerprints of one neighbourhood, a bucket limit that forces several rounds."""
-    import random
-
+@pytest.mark.parametrize("tiles", [64, 3])
+def test_large_buckets(spark, monkeypatch, tiles):
+    """Many fingerprints of one neighbourhood in buckets above the limit: tile by tile, or cut again first."""
     rng = random.Random(3)
     centres = [rng.getrandbits(64) for _ in range(3)]
     fps = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for c in centres for _ in range(150)}
-    monkeypatch.setattr(simhash, "BUCKET", 8)
+    monkeypatch.setattr(simhash, "BUCKET", 16 if tiles == 64 else 40)
+    monkeypatch.setattr(simhash, "TILES", tiles)
+    monkeypatch.setattr(simhash, "RECUTS", 1)
     df = spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
     found = {r.node: r.component for r in components.components(simhash.links(df)).collect()}
     rows = [(simhash._signed(f), f) for f in sorted(fps)]
@@ -72,6 +75,10 @@ def test_large_buckets_are_cut_again(spark, monkeypatch):
         assert found.get(s, s) == c
 
 
+def test_blocks_follow_the_number_of_fingerprints():
+    assert [simhash.blocks_for(n, 4) for n in (0, 10**6, 10**9, 10**10, 10**11, 10**15)] == [6, 6, 6, 7, 7, 8]
+
+
 def test_long_chain_is_one_component(spark):
     chain = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     found = components.components(chain).collect()
