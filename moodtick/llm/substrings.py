@@ -7,8 +7,10 @@ windows mostly share an anchor: such a run is one row. Documents are joined on a
 Extension never looks at pairs. Runs with one anchor that reach equally far to both sides
 (a digest of all their words) are one class, and every run of a class repeats the one in
 the smallest document. Where an anchor has several classes, as at the edges of a passage,
-the first run of each class is extended word by word: every reach (so many words to the
-left, the rest of ``length`` to the right) is a class again. Classes are counted as partial
+the first run of each class is extended on its own: first by half the missing words to the
+left (for the windows that reach so far) and to the right (for the others), which must
+agree with another document; then word by word, every reach of so many words to the left
+and the rest of ``length`` to the right being a class again. Classes are counted as partial
 aggregates, so an anchor that a third of the documents share costs one row per task.
 """
 
@@ -32,6 +34,7 @@ VOCABULARY = 1 << 20
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MIXERS = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 NULL_ID = 2**63 - 1
+SHAPE = 1 << 32
 
 # ------------------------------------------------------------------ words as numbers
 
@@ -86,8 +89,9 @@ class Rolling:
 
 
 def runs(hashes: np.ndarray, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """(seed hash, digest of the run's reach, first window, number of windows) of every run of
-    windows with one anchor. A run also ends every CHUNK windows."""
+    """(seed hash, digest of the run's reach, first window, shape) of every run of windows with
+    one anchor: it has shape % 2^32 windows and its anchor begins shape // 2^32 words after
+    the first one's start. A run also ends every CHUNK windows."""
     windows = hashes.shape[1] - length + 1
     if windows < 1:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
@@ -101,8 +105,8 @@ def runs(hashes: np.ndarray, length: int = LENGTH, seed: int = SEED) -> tuple[np
     first = np.concatenate([[0], np.flatnonzero(new) + 1])
     n = np.diff(np.append(first, windows))
     reach = Rolling(hashes[1], 1)(first, first + n + length - 1)
-    place = (anchor[first] - first) * (CHUNK * 2) + n
-    return grams[anchor[first]], _mix(reach + place.astype(np.uint64)), first, n
+    shape = (anchor[first] - first) * SHAPE + n
+    return grams[anchor[first]], _mix(reach + shape.astype(np.uint64)), first, shape
 
 
 def _words(text) -> list[bytes]:
@@ -136,48 +140,73 @@ def _runs_of(length: int, seed: int):
             for i, text in enumerate(b.column(2).cast(pa.binary())):
                 words = _words(text)
                 if len(words) >= length:
-                    g, d, first, n = runs(memory.of(words), length, seed)
-                    yield ids[i], hashes[i], g.view(np.int64), d.view(np.int64), first, n
+                    g, d, first, shape = runs(memory.of(words), length, seed)
+                    yield ids[i], hashes[i], g.view(np.int64), d.view(np.int64), first, shape
 
-    return lambda batches: _packed(rows(batches), ["id", "hash", "g", "d", "first", "n"])
+    return lambda batches: _packed(rows(batches), ["id", "hash", "g", "d", "first", "shape"])
 
 
-def _reaches_of(length: int):
-    def rows(batches):
+def _halves_of(length: int, seed: int):
+    """Texts and their runs -> one row per half of a run: the digest ``e`` of the anchor with
+    half of the missing words on one side, and the digests ``w`` of the windows on that side."""
+    half = (length - seed) // 2
+
+    def run(batches):
         memory = Words()
         for b in batches:
             ids, hashes, found = (b.column(k).to_pylist() for k in (0, 1, 3))
+            out = []
             for i, text in enumerate(b.column(2).cast(pa.binary())):
                 roll = Rolling(memory.of(_words(text))[1], 1)
-                g = np.concatenate([np.full(r["n"], r["g"]) for r in found[i]])
-                first = np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in found[i]])
-                yield ids[i], hashes[i], g, roll(first, first + length).view(np.int64), first
-
-    return lambda batches: _packed(rows(batches), ["id", "hash", "g", "w", "first"])
+                g = np.array([r["g"] for r in found[i]])
+                first = np.array([r["first"] for r in found[i]])
+                shape = np.array([r["shape"] for r in found[i]])
+                anchor, end = first + shape // SHAPE, first + shape % SHAPE
+                middle = np.clip(anchor - half + 1, first, end)  # windows before it reach half to the left
+                sides = ((first, middle, anchor - half, anchor + seed), (middle, end, anchor, anchor + seed + half))
+                for start, stop, a, z in sides:
+                    use = stop > start
+                    start, stop = start[use], stop[use]
+                    sizes = stop - start
+                    at = np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                    w = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), roll(at, at + length).view(np.int64))
+                    own = [np.full(len(start), x) for x in (ids[i], hashes[i])]
+                    columns = [*map(pa.array, (*own, g[use], roll(a[use], z[use]).view(np.int64), start)), w]
+                    out.append(pa.RecordBatch.from_arrays(columns, names=["id", "hash", "g", "e", "first", "w"]))
+            if out:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    return run
 
 
 # ------------------------------------------------------------------ the join
 
 
+def _least(rows: DataFrame, *key: str) -> DataFrame:
+    """The keys that two ids have, and the smallest of them. Written down, so that a join on
+    them is planned between two shuffles, where Spark splits a hot key."""
+    found = rows.groupBy(*key).agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    return checkpoint(found.where("least < most").drop("most"))
+
+
 def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(id, hash, windows): for every text the windows, as (first, n) stretches, whose words
     also stand in a document with a smaller doc_id. ``hash`` is the text's xxhash64, ``id``
     the doc_id, a null one being the largest long. Texts without such a window have no row."""
     own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    found = checkpoint(own.mapInArrow(_runs_of(length, seed), "id long, hash long, g long, d long, first long, n long"))
-    seeds = found.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("g")
-    shared = checkpoint(found.join(seeds, "g", "left_semi"))
-    classes = shared.groupBy("g", "d").agg(F.min("id").alias("least"))
-    placed = shared.join(classes, ["g", "d"])
-    whole = placed.where("id > least").select("id", "hash", "first", "n")
-
-    several = shared.groupBy("g").agg((F.min("d") < F.max("d")).alias("several")).where("several").select("g")
-    opened = placed.where("id = least").join(several, "g", "left_semi")
-    opened = opened.groupBy("id", "hash").agg(F.collect_set(F.struct("g", "first", "n")).alias("runs"))
+    found = checkpoint(own.mapInArrow(_runs_of(length, seed), "id long, hash long, g long, d long, first long, shape long"))
+    shared = checkpoint(found.join(_least(found, "g"), "g", "left_semi"))
+    placed = shared.join(_least(shared, "g", "d"), ["g", "d"], "left")
+    whole = placed.where("id > least").select("id", "hash", "first", F.expr(f"shape % {SHAPE}").alias("n"))
+
+    several = checkpoint(shared.groupBy("g").agg((F.min("d") < F.max("d")).alias("several")).where("several").select("g"))
+    opened = placed.where("least IS NULL OR id = least").join(several, "g", "left_semi")
+    opened = opened.groupBy("id", "hash").agg(F.collect_set(F.struct("g", "first", "shape")).alias("runs"))
     texts = own.join(opened, ["id", "hash"]).select("id", "hash", "text", "runs")
-    reaches = checkpoint(texts.mapInArrow(_reaches_of(length), "id long, hash long, g long, w long, first long"))
-    twice = reaches.groupBy("g", "w").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    part = reaches.join(twice.select("g", "w", "least"), ["g", "w"]).where("id > least").select("id", "hash", "first", F.lit(1).cast("long").alias("n"))
+    halves = checkpoint(texts.mapInArrow(_halves_of(length, seed), "id long, hash long, g long, e long, first long, w array<long>"))
+    agreed = halves.join(_least(halves, "g", "e"), ["g", "e"], "left_semi")
+    reaches = checkpoint(agreed.select("id", "hash", "g", "first", F.posexplode("w").alias("k", "w")).select("id", "hash", "g", "w", (F.col("first") + F.col("k")).alias("first")))
+    part = reaches.join(_least(reaches, "g", "w"), ["g", "w"]).where("id > least").select("id", "hash", "first", F.lit(1).cast("long").alias("n"))
     return whole.union(part).groupBy("id", "hash").agg(F.collect_set(F.struct("first", "n")).alias("windows"))
 
 
