@@ -98,20 +98,38 @@ def _word_pattern(words) -> str:
     return f"(?<![a-z])({_trie(sorted(set(words)))})(?![a-z])"
 
 
-def checked_lexicon(lexicon: Mapping[str, float]) -> dict[str, float]:
-    """The lexicon as every scoring form uses it: words in lower case. Raises for entries
-    that no token can match (a token is a run of a-z in the cleaned text) and for words
-    that differ in case and valence."""
-    out: dict[str, float] = {}
+class Lexicon(dict):
+    """word -> valence as every scoring form uses it (words in lower case), with what of a
+    published lexicon can match no token: ``unmatched`` entries (a token is a run of a-z in
+    the cleaned text, so not "can't", ":)" or "w00t")."""
+
+    unmatched: tuple[str, ...] = ()
+
+
+def checked_lexicon(lexicon: Mapping[str, float]) -> Lexicon:
+    """Lower-cased words; entries that no token can match are set aside and reported in
+    ``unmatched``. Raises for words that differ in case and valence."""
+    if isinstance(lexicon, Lexicon):
+        return lexicon
+    out, unmatched = Lexicon(), []
     for word, valence in lexicon.items():
         w = str(word).lower()
         if not (w.isascii() and w.isalpha()):
-            raise ValueError(f"lexicon entry {word!r} can match no token (runs of a-z)")
-        if out.setdefault(w, float(valence)) != float(valence):
+            unmatched.append(str(word))
+        elif out.setdefault(w, float(valence)) != float(valence):
             raise ValueError(f"lexicon entry {word!r} has another valence in another case")
+    out.unmatched = tuple(unmatched)
     return out
 
 
+def read_lexicon(spark, path: str) -> Lexicon:
+    """A published lexicon: a text file of ``token<TAB>valence`` lines, further columns ignored.
+    Read whole by the driver (a lexicon is a vocabulary); lines without a number are left out."""
+    lines = spark.read.text(path).select(F.split("value", "\t").alias("f"))
+    own = lines.select(F.trim(F.get("f", F.lit(0))).alias("token"), F.expr("try_cast(get(f, 1) AS double)").alias("valence"))
+    return checked_lexicon({r["token"]: r["valence"] for r in own.where("token <> '' AND valence IS NOT NULL").collect()})
+
+
 def valence_sum(cleaned: Column, lexicon: Mapping[str, float], cfg: Config = DEFAULT) -> Column:
     """Sum of token valences of a cleaned text (NULL only under null_policy='skip').
 
@@ -261,6 +279,7 @@ def vectorised_valence_sum(spark, lexicon: Mapping[str, float], cfg: Config = DE
 def scorer(spark, lexicon, cfg: Config = DEFAULT):
     """fn(cleaned Column) -> compound score Column, picking the form by lexicon size:
     literal map (small), vectorised hash lookups (large)."""
+    lexicon = checked_lexicon(lexicon)
     if len(lexicon) <= MAP_FORM_MAX:
         return lambda cleaned: score_column(cleaned, lexicon, cfg)
     vsum = vectorised_valence_sum(spark, lexicon, cfg)

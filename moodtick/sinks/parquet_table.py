@@ -3,7 +3,7 @@
 Layout below ``root``::
 
     data/b<version>-<id>/window_part=<p>/part-*.parquet   rows of partition p as of a version
-    _manifest/b<version>.json       {"version": n, "writers": {writer: batch}, "partitions": {p: dir}}
+    _log/<version>.json             what a commit added and removed (``commit_log``)
     _rejects/b<version>-<id>/       rows that break the table's constraints (on_violation="reject")
 
 A partition is a day (``granularity="day"``, e.g. ``2024-01-01``) or an hour
@@ -11,37 +11,45 @@ A partition is a day (``granularity="day"``, e.g. ``2024-01-01``) or an hour
 once, when it closes, so a micro-batch touches the newest partition; with hour
 partitions a batch rewrites at most one hour of windows instead of a whole day.
 
-A merge reads only the current files of the dates the batch touches, replaces
-the batch's keys there (``merge_frames``), writes those dates to a folder of its
-own with a normal distributed write, and then publishes the next manifest by an
-atomic rename. Readers always see a complete snapshot; a folder being read is
-never overwritten.
+A merge reads only the current files of the partitions the batch touches, replaces
+the batch's keys there (``merge_frames``), writes those partitions to a folder of its
+own with a normal distributed write, and then publishes a log entry. Readers always
+see a complete snapshot; a folder being read is never overwritten. The entry holds
+each folder's rows, smallest and largest ``window_start`` and nulls per column, so a
+range read and the newest N rows open only the folders that can hold them.
 
-Batch ids belong to a writer (a stream with its checkpoint): the manifest keeps
-the last id of each, so a replayed batch is a no-op, while a new checkpoint, a
-second stream or a backfill (no id) always merges. Writers take turns: a merge
-whose version another writer has published meanwhile fails and is retried by
-its stream.
+Batch ids belong to a writer (a stream with its checkpoint): the log keeps the last id
+of each, so a replayed batch is a no-op, while a new checkpoint, a second stream or a
+backfill (no id) always merges. Any number of writers may merge at once: the one whose
+version exists already looks at what came between, merges again where it touched the
+same partitions, and publishes under the next version.
 
 File-system access goes through Hadoop's FileSystem API; ``root`` must be on a
 shared store with an atomic rename (HDFS, NFS). Readers may run at any time.
-``vacuum`` deletes partition folders and manifests that none of the newest
-snapshots reference, so storage does not grow with every batch.
+``vacuum`` deletes partition folders and log entries that none of the newest
+snapshots needs; ``expire`` drops partitions by age.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import METRICS, METRICS_KEY, TICKER_MAX_LEN
+from .commit_log import CommitLog, Conflict, State
 from .merge import dedup_batch, merge_frames
 
 PARTITION_COL = "window_part"
 GRANULARITY = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH"}
+ATTEMPTS = 20  # merges against newer snapshots before a batch fails
+
+
+def _iso(t: dt.datetime) -> str:
+    return t.isoformat(timespec="microseconds")
 
 
 class KeyedParquetTable:
@@ -52,67 +60,52 @@ class KeyedParquetTable:
         self.key = tuple(key)
         fmt = GRANULARITY[granularity]
         self.partition_of = lambda: F.date_format(F.col("window_start"), fmt)
-        jvm = spark.sparkContext._jvm
-        self._jvm = jvm
-        self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    # ---------------------------------------------------------------- manifest
-    @property
-    def manifest_dir(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def _manifest_name(self, version: int) -> str:
-        return f"{self.manifest_dir}/b{version:012d}.json"
+        self.log = CommitLog(spark, self.root)
 
     def current(self) -> dict | None:
-        names = self._manifests()
-        return self._read_text(f"{self.manifest_dir}/{names[-1]}") if names else None
+        """version, writers, partitions (value -> folder) of the newest snapshot; None for a new table."""
+        s = self.log.state()
+        if s.version < 0:
+            return None
+        return {"version": s.version, "writers": s.writers, "partitions": self._partitions(s), "rejects": s.rejects}
 
-    def _read_text(self, path: str) -> dict:
-        jvm = self._jvm
-        stream = self._fs.open(self._path(path))
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            lines = []
-            line = reader.readLine()
-            while line is not None:
-                lines.append(line)
-                line = reader.readLine()
-            return json.loads("\n".join(lines))
-        finally:
-            stream.close()
-
-    def _publish(self, manifest: dict) -> None:
-        """Write to a temp name, then rename: the manifest appears atomically."""
-        final = self._path(self._manifest_name(manifest["version"]))
-        if self._fs.exists(final):
-            raise RuntimeError(f"another writer published {final}: merge again")
-        self._fs.mkdirs(self._path(self.manifest_dir))
-        tmp = self._path(f"{self.manifest_dir}/.tmp-{uuid.uuid4().hex}")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
-        finally:
-            out.close()
-        if not self._fs.rename(tmp, final):
-            self._fs.delete(tmp, False)
-            raise RuntimeError(f"could not publish manifest {final}")
+    @staticmethod
+    def _partitions(state: State) -> dict[str, str]:
+        return {info["part"]: path for path, info in state.files.items()}
 
     # ---------------------------------------------------------------- read
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, dates: list[str] | None = None) -> DataFrame:
-        """The current snapshot (optionally only some partitions, by partition value)."""
-        m = self.current()
-        if not m:
+    def _open(self, paths: list[str]) -> DataFrame:
+        if not paths:
             return self._empty()
-        parts, wanted = m["partitions"], None if dates is None else set(dates)
-        chosen = [parts[d] for d in sorted(parts) if wanted is None or d in wanted]
-        if not chosen:
-            return self._empty()
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{p}" for p in chosen])
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{p}" for p in sorted(paths)])
+
+    def read(self, dates: list[str] | None = None, version: int | None = None) -> DataFrame:
+        """The current snapshot, or that of a version still kept (optionally only some
+        partitions, by partition value)."""
+        parts, wanted = self._partitions(self.log.state(version)), None if dates is None else set(dates)
+        return self._open([path for d, path in parts.items() if wanted is None or d in wanted])
+
+    def read_range(self, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
+        """Rows with start <= window_start < end, from the folders whose bounds meet the range."""
+        a, z = start and _iso(start), end and _iso(end)
+        files = self.log.state().files
+        df = self._open([p for p, s in files.items() if (a is None or s["max"] >= a) and (z is None or s["min"] < z)])
+        if start is not None:
+            df = df.where(F.col("window_start") >= F.lit(start).cast("timestamp_ntz"))
+        return df if end is None else df.where(F.col("window_start") < F.lit(end).cast("timestamp_ntz"))
+
+    def newest(self, n: int) -> DataFrame:
+        """The ``n`` rows with the largest window_start (ties by ticker): folders are taken
+        from the newest on until ``n`` rows lie above all that is left."""
+        left = sorted(self.log.state().files.items(), key=lambda f: f[1]["max"], reverse=True)
+        taken: list[tuple[str, dict]] = []
+        while left and (not taken or sum(s["rows"] for _, s in taken if s["min"] > left[0][1]["max"]) < n):
+            taken.append(left.pop(0))
+        order = [F.col("window_start").desc(), F.col(self.key[0]).asc()]
+        return self._open([p for p, _ in taken]).orderBy(*order).limit(n)
 
     # ---------------------------------------------------------------- write
     def merge(self, batch: DataFrame, batch_id: int | None = None, writer: str = "default", on_violation: str = "raise") -> bool:
@@ -121,16 +114,16 @@ class KeyedParquetTable:
         on any failure so that a streaming query retries the batch instead of
         committing it. Rows that break the table's constraints raise, or go to the
         reject table of this commit (``on_violation="reject"``, see ``rejects``)."""
-        cur = self.current() or {"version": -1, "writers": {}, "partitions": {}}
-        if batch_id is not None and cur["writers"].get(writer, -1) >= batch_id:
+        state = self.log.state()
+        if batch_id is not None and state.writers.get(writer, -1) >= batch_id:
             return False
         b = dedup_batch(batch.select(*[f.name for f in self.schema.fields]), self.key).withColumn(
             PARTITION_COL, self.partition_of()
         )
-        # used twice (dates, then the write): keep the deduplicated batch instead of recomputing it
-        b = b.persist()
+        # used twice (partitions, then the write): keep the deduplicated batch instead of recomputing it
+        b = b.withColumn("reason", self._violation()).persist()
         try:
-            return self._merge(b, batch_id, cur, writer, on_violation)
+            return self._merge(b, batch_id, state, writer, on_violation)
         finally:
             b.unpersist()
 
@@ -144,97 +137,108 @@ class KeyedParquetTable:
             .when(F.length(ticker) > TICKER_MAX_LEN, "long ticker")
         )
 
-    def _merge(self, b: DataFrame, batch_id: int | None, cur: dict, writer: str, on_violation: str) -> bool:
+    def _merge(self, b: DataFrame, batch_id: int | None, state: State, writer: str, on_violation: str) -> bool:
         # The partitions a batch touches (a metadata list bounded by the batch's
         # time span), with the table's constraints checked in the same pass.
-        b = b.withColumn("reason", self._violation())
         stats = b.groupBy(PARTITION_COL, "reason").agg(F.count(F.lit(1)).alias("n")).collect()
         bad = [r for r in stats if r["reason"] is not None]
         if bad and on_violation != "reject":
             raise ValueError(f"batch {batch_id} violates the table's key constraints: {bad[:3]}")
-        touched = [r[PARTITION_COL] for r in stats if r["reason"] is None]
+        touched = {r[PARTITION_COL] for r in stats if r["reason"] is None}
         if not stats:
             return False
-        version = cur["version"] + 1
-        name = f"b{version:012d}-{uuid.uuid4().hex[:8]}"
+        name = f"b{state.version + 1:012d}-{uuid.uuid4().hex[:8]}"
         if bad:
             b.where("reason IS NOT NULL").drop(PARTITION_COL).write.parquet(f"{self.root}/_rejects/{name}")
-        b = b.where("reason IS NULL").drop("reason")
-        next_manifest = {
-            "version": version,
-            "writers": cur["writers"] | ({writer: batch_id} if batch_id is not None else {}),
-            "rejects": cur.get("rejects", []) + ([name] if bad else []),
-        }
-        if not touched:
-            self._publish(next_manifest | {"partitions": cur["partitions"]})
-            return True
-        old = self.read([d for d in touched if d in cur["partitions"]]).withColumn(PARTITION_COL, self.partition_of())
-        merged = merge_frames(old, b, list(self.key) + [PARTITION_COL], deduped=True)
-        stage_rel = f"data/{name}"
+        good, added, based_on = b.where("reason IS NULL").drop("reason"), None, {}
+        for _ in range(ATTEMPTS):
+            base = {d: p for d, p in self._partitions(state).items() if d in touched}
+            if added is None or base != based_on:  # nothing written yet, or another writer changed these partitions
+                added = self._rewrite(good, list(base.values()), f"data/b{state.version + 1:012d}-{uuid.uuid4().hex[:8]}") if touched else {}
+                based_on = base
+            try:
+                self.log.commit(state, added, list(base.values()), writer, batch_id, (name,) if bad else ())
+                return True
+            except Conflict:
+                state = self.log.state()
+                if batch_id is not None and state.writers.get(writer, -1) >= batch_id:
+                    return False
+        raise RuntimeError(f"batch {batch_id}: {ATTEMPTS} other commits came first")
+
+    def _rewrite(self, batch: DataFrame, current: list[str], stage: str) -> dict[str, dict]:
+        """Write the touched partitions with the batch merged in; their statistics by folder."""
+        old = self._open(current).withColumn(PARTITION_COL, self.partition_of())
+        merged = merge_frames(old, batch, list(self.key) + [PARTITION_COL], deduped=True)
         (
             # (partition, ticker) spreads a partition over tasks; one such group is bounded by its window count
             merged.repartition(PARTITION_COL, self.key[0])
             .write.partitionBy(PARTITION_COL)
-            .parquet(f"{self.root}/{stage_rel}")
+            .parquet(f"{self.root}/{stage}")
         )
-        parts = dict(cur["partitions"])
-        for d in touched:
-            parts[d] = f"{stage_rel}/{PARTITION_COL}={d}"
-        self._publish(next_manifest | {"partitions": parts})
-        return True
+        names = [f.name for f in self.schema.fields]
+        written = self.spark.read.schema(f"{self._ddl()}, {PARTITION_COL} string").parquet(f"{self.root}/{stage}")
+        nulls = F.struct(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+        zones = written.groupBy(PARTITION_COL).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("window_start").alias("lo"), F.max("window_start").alias("hi"), nulls.alias("nulls"))
+        return {
+            f"{stage}/{PARTITION_COL}={r[PARTITION_COL]}": {
+                "part": r[PARTITION_COL], "rows": r["rows"], "min": _iso(r["lo"]), "max": _iso(r["hi"]),
+                "nulls": {c: k for c, k in r["nulls"].asDict().items() if k},
+            }
+            for r in zones.collect()
+        }
+
+    def _ddl(self) -> str:
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
 
     def rejects(self) -> DataFrame:
         """Rows of committed batches that broke a constraint, with the reason."""
-        names = (self.current() or {}).get("rejects", [])
+        names = self.log.state().rejects
         if not names:
             return self._empty().withColumn("reason", F.lit(None).cast("string"))
         return self.spark.read.parquet(*[f"{self.root}/_rejects/{n}" for n in names])
 
     # ---------------------------------------------------------------- housekeeping
-    def _manifests(self) -> list[str]:
-        md = self._path(self.manifest_dir)
-        if not self._fs.exists(md):
-            return []
-        return sorted(
-            s.getPath().getName()
-            for s in self._fs.listStatus(md)
-            if s.getPath().getName().startswith("b") and s.getPath().getName().endswith(".json")
-        )
-
-    def vacuum(self, retain: int = 2) -> list[str]:
-        """Delete what the newest ``retain`` snapshots do not reference: superseded
-        partition folders, emptied batch folders and older manifests. A reader of
-        one of the retained snapshots is unaffected. Returns the deleted paths."""
-        names = self._manifests()
-        if len(names) <= retain:
+    def expire(self, before: dt.datetime) -> list[str]:
+        """Drop the partitions whose windows all start before ``before``; their values."""
+        for _ in range(ATTEMPTS):
+            state = self.log.state()
+            old = {p: s["part"] for p, s in state.files.items() if s["max"] < _iso(before)}
+            if not old:
+                return []
+            try:
+                self.log.commit(state, {}, list(old), writer="expire")
+                return sorted(old.values())
+            except Conflict:
+                continue
+        raise RuntimeError(f"expire: {ATTEMPTS} other commits came first")
+
+    def vacuum(self, retain: int = 2, orphan_age: float = 86400.0) -> list[str]:
+        """Delete what the newest ``retain`` snapshots do not need: superseded partition
+        folders, emptied batch folders and older log entries; of folders that no commit
+        ever named (a writer failed, or is at work) those older than ``orphan_age``
+        seconds. A reader of a retained snapshot is unaffected. Returns the deleted paths."""
+        entries = self.log.entries()
+        newest = self.log.state()
+        if newest.version < retain:
             return []
-        keep = names[-retain:]
-        referenced = set()
-        for n in keep:
-            referenced |= set(self._read_text(f"{self.manifest_dir}/{n}")["partitions"].values())
-        deleted = []
-        data = self._path(f"{self.root}/data")
-        if self._fs.exists(data):
-            for batch in self._fs.listStatus(data):
-                bname = batch.getPath().getName()
-                if not bname.startswith("b"):
-                    continue
-                parts = [p for p in self._fs.listStatus(batch.getPath()) if p.isDirectory()]
-                live = 0
-                for part in parts:
-                    rel = f"data/{bname}/{part.getPath().getName()}"
-                    if rel in referenced:
-                        live += 1
-                    else:
-                        self._fs.delete(part.getPath(), True)
-                        deleted.append(rel)
-                if live == 0:
-                    self._fs.delete(batch.getPath(), True)
-                    deleted.append(f"data/{bname}")
-        for n in names[:-retain]:
-            self._fs.delete(self._path(f"{self.manifest_dir}/{n}"), False)
-            deleted.append(f"_manifest/{n}")
-        return deleted
+        oldest = self.log.state(newest.version - retain + 1)
+        keep = set(oldest.files) | {p for e in entries if e["version"] > oldest.version for p in e["add"]}
+        superseded = {p for e in entries for p in e["remove"]} - keep
+        fs, deleted = self.log.fs, []
+        for p in sorted(superseded):
+            if fs.delete(self.log.path(f"{self.root}/{p}"), True):
+                deleted.append(p)
+        data, live = self.log.path(f"{self.root}/data"), {p.split("/")[1] for p in keep}
+        named = {p.split("/")[1] for p in superseded}
+        if fs.exists(data):
+            for batch in fs.listStatus(data):
+                name = batch.getPath().getName()
+                age = time.time() - batch.getModificationTime() / 1000
+                if name not in live and (name in named or age > orphan_age):
+                    fs.delete(batch.getPath(), True)
+                    deleted.append(f"data/{name}")
+        return deleted + self.log.forget(retain)
 
     def foreach_batch(self, vacuum_every: int | None = None, retain: int = 2, writer: str = "stream", on_violation: str = "raise"):
         """A ``foreachBatch`` callback that merges each micro-batch (and, if

@@ -137,7 +137,7 @@ def test_vacuum_keeps_what_retained_snapshots_read(spark, scratch):
     batches = sorted(os.listdir(f"{scratch}/t/data"))
     deleted = tbl.vacuum(retain=2)
     # snapshot 0's day-1 partition is read by neither of the two newest snapshots
-    assert f"data/{batches[0]}/window_part=2024-01-01" in deleted and "_manifest/b000000000000.json" in deleted
+    assert f"data/{batches[0]}/window_part=2024-01-01" in deleted and "_log/000000000000.json" in deleted
     assert os.path.isdir(f"{scratch}/t/data/{batches[0]}/window_part=2024-01-02")  # still current
     assert os.path.isdir(f"{scratch}/t/data/{batches[1]}/window_part=2024-01-01")  # read by snapshot 1
     assert as_set(tbl.read()) == before
@@ -169,3 +169,89 @@ def test_rows_that_break_a_constraint(spark, scratch):
     assert tbl.merge(bad, 1, on_violation="reject")
     assert tbl.read().count() == 1
     assert sorted(r.reason for r in tbl.rejects().collect()) == ["long ticker"] * 2 + ["null window_end"] * 2
+
+
+def test_range_read_and_newest_open_only_the_folders_they_need(spark, scratch):
+    """30 days: one day opens one folder; the newest rows open as many as hold them."""
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    tbl.merge(metrics_rows(spark, [row(t, d, m, d + m / 10) for t in "AB" for d in range(1, 31) for m in range(3)]), 0)
+
+    def folders(df):
+        return {f.split("window_part=")[1].split("/")[0] for f in df.inputFiles()}
+
+    day = tbl.read_range(dt.datetime(2024, 1, 7), dt.datetime(2024, 1, 8))
+    assert folders(day) == {"2024-01-07"} and day.count() == 6
+    part = tbl.read_range(dt.datetime(2024, 1, 7, 10, 1), dt.datetime(2024, 1, 8, 10, 1))
+    assert folders(part) == {"2024-01-07", "2024-01-08"} and part.count() == 6
+    assert tbl.read_range(dt.datetime(2025, 1, 1)).count() == 0 and tbl.read_range().count() == 180
+    seven = tbl.newest(7)
+    assert folders(seven) == {"2024-01-29", "2024-01-30"}
+    want = tbl.read().orderBy(F.desc("window_start"), "ticker").limit(7)
+    assert seven.collect() == want.collect()
+    assert tbl.newest(1000).count() == 180 and KeyedParquetTable(spark, f"{scratch}/none").newest(3).count() == 0
+    nulls = tbl.log.state().files[f"{next(p for p in tbl.log.state().files)}"]
+    assert nulls["rows"] == 6 and nulls["nulls"] == {}
+
+
+def test_two_writers_both_land(spark, scratch, monkeypatch):
+    """A second writer commits between a merge's read and its publication: other partitions
+    only need the next version, the same partition is merged again."""
+    root = f"{scratch}/t"
+    one, two = KeyedParquetTable(spark, root), KeyedParquetTable(spark, root)
+    one.merge(metrics_rows(spark, [row("A", 1, 0, 1.0)]), 0, writer="one")
+    commit, others = one.log.commit, [[row("B", 2, 0, 2.0)], [row("C", 1, 0, 3.0), row("A", 1, 0, 9.0)]]
+
+    def late(*a, **k):
+        if others:
+            two.merge(metrics_rows(spark, others.pop(0)), writer="two")
+        return commit(*a, **k)
+
+    monkeypatch.setattr(one.log, "commit", late)
+    assert one.merge(metrics_rows(spark, [row("A", 1, 0, 5.0), row("A", 1, 1, 6.0)]), 1, writer="one")
+    got = {(r.ticker, r.window_start.day, r.window_start.minute): r.avg_price for r in one.read().collect()}
+    assert got == {("A", 1, 0): 5.0, ("A", 1, 1): 6.0, ("B", 2, 0): 2.0, ("C", 1, 0): 3.0}
+    assert one.current()["version"] == 3 and not one.merge(metrics_rows(spark, [row("A", 1, 0, 7.0)]), 1, writer="one")
+
+
+def test_writers_in_threads(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables = [KeyedParquetTable(spark, f"{scratch}/t") for _ in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(t.merge, metrics_rows(spark, [row("ABC"[i], 1, k, float(k + i))]), k, f"w{i}") for k in range(3) for i, t in enumerate(tables)]
+        assert sum(j.result() for j in jobs) >= 3
+    state = tables[0].log.state()
+    got = {(r.ticker, r.window_start.minute) for r in tables[0].read().collect()}
+    # ids of one writer that came out of order are replays; everything committed is there
+    assert {("ABC"[i], n) for i in range(3) for n in [state.writers[f"w{i}"]]} <= got and len(state.files) == 1
+
+
+def test_a_commit_does_not_grow_with_the_table(spark, scratch, monkeypatch):
+    from moodtick.sinks import commit_log
+
+    log = commit_log.CommitLog(spark, f"{scratch}/t")
+    sizes, create = [], log._create
+
+    def sized(name, content):
+        sizes.append((name, create(name, content)))
+
+    monkeypatch.setattr(log, "_create", sized)
+    state = log.state()
+    for k in range(45):
+        state = log.commit(state, {f"data/b{k:05d}/window_part=x{k:05d}": {"part": f"x{k:05d}", "rows": 1}}, [], "w", k)
+    own = [n for name, n in sizes if "checkpoint" not in name]
+    assert max(own) - min(own) <= 4 and [name[:12] for name, _ in sizes if "checkpoint" in name] == ["000000000019", "000000000039"]
+    again = commit_log.CommitLog(spark, f"{scratch}/t").state()
+    assert again == state and len(again.files) == 45 and again.writers == {"w": 44}
+    assert len(log.state(7).files) == 8
+    with pytest.raises(commit_log.Conflict):
+        log.commit(log.state(3), {}, [])
+    assert log.forget(3) and log.state() == state and len(log.state(42).files) == 43 and log.forget(3) == []
+
+
+def test_expire_drops_whole_partitions(spark, scratch):
+    tbl = KeyedParquetTable(spark, f"{scratch}/t")
+    tbl.merge(metrics_rows(spark, [row("A", d, 0, 1.0) for d in (1, 2, 3)]), 0)
+    assert tbl.expire(dt.datetime(2024, 1, 3, 10)) == ["2024-01-01", "2024-01-02"]
+    assert [r.window_start.day for r in tbl.read().collect()] == [3] and tbl.expire(dt.datetime(2024, 1, 3)) == []
+    assert tbl.read(version=0).count() == 3
