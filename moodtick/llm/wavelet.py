@@ -16,6 +16,7 @@ import struct
 import zlib
 from array import array
 from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ CHUNKS, PIECES = 400 << 20, 120 << 20  # bytes of chunks and pieces that a worke
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _BLANK = chr(_SHOWN[32])
+_LATIN = {i: chr(i).encode().decode("latin-1").translate(_SHOWN) for i in range(0x250)}  # a character's bytes as shown
+_ID = attrgetter("id")
 _HEAD = struct.Struct("<8sQQI")  # magic, documents, tokens, planes
 
 
@@ -193,19 +196,16 @@ class Tokens:
     def _text(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _model(self, shown: str) -> bytes:
-        """The library's model on the characters that stand for a match's bytes."""
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-
     def _piece(self, piece: str) -> bytes:
-        return self._model(piece.encode().decode("latin-1").translate(_SHOWN))
+        """The library's model on the characters that stand for a match's bytes (below U+0250)."""
+        return array("I", map(_ID, self.model.tokenize(piece.translate(_LATIN)))).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():  # with the blank before it one match of the split pattern
             if chunk.isascii():
-                return self._model(_BLANK + chunk)
+                return array("I", map(_ID, self.model.tokenize(_BLANK + chunk))).tobytes()
             if max(chunk) < "\u0250":
-                return self._piece(" " + chunk)
+                return array("I", map(_ID, self.model.tokenize(_BLANK + chunk.translate(_LATIN)))).tobytes()
         known = simple_pieces(chunk)
         if not known:
             return self._text(whole(chunk))
