@@ -1,12 +1,13 @@
 """Byte-level BPE by tree reduction: encode halves, join them at a re-encoded window.
 
-Text level: the halves of a text are joined by encoding anew the window around the
-seam, which grows on either side to the next provable cut (see ``chunks``); ids
-outside the window stay. Piece level (one match of the split pattern): the halves of
-a long piece are joined by merging anew the last and first w tokens; the tokens
-outside stay if the window gives the same outermost tokens, because an id sequence
-is the encoding of its bytes exactly if every pair of neighbours is. Otherwise w
-doubles. Decoding concatenates up the tree.
+Text level: a text of more than LEAF_TEXT characters is halved; the halves are joined by
+encoding anew the window around the seam, which grows on either side to the next provable
+cut (see ``chunks``); ids outside the window stay. Piece level (one match of the split
+pattern): bytes up to LEAF are merged directly, anything longer is halved, and the halves
+are joined by merging anew the last and first w tokens; the tokens outside stay if the
+window gives the same outermost tokens, because an id sequence is the encoding of its
+bytes exactly if every pair of neighbours is. Otherwise w doubles. Nodes of the tree that
+many pieces have in common are remembered. Decoding concatenates up the tree.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from .chunks import SAFE_CUT, Memo, chunks, simple_pieces, whole
 from .common import clean_name
 
-PIECE = 48  # bytes that are merged directly
-TEXT = 1 << 15  # characters that are split and merged directly
-CHUNKS, PIECES, PAIRS = 180 << 20, 80 << 20, 40 << 20  # bytes remembered by a worker
+LEAF = 4  # bytes of a piece that are merged directly
+LEAF_TEXT = 1 << 10  # characters of a text that are split directly
+WINDOW = 64  # bytes of a window that are merged directly; larger ones are encoded pair by pair
+NODE = 24  # bytes of a node that is remembered
+CHUNKS, PIECES, NODES, PAIRS = 160 << 20, 60 << 20, 60 << 20, 20 << 20  # bytes remembered by a worker
 _NONE = 1 << 60
 
 
@@ -41,6 +44,8 @@ class BPE:
         self.longest = max(map(len, ranks))
         self.split = regex.compile(pattern).findall
         self.pieces = Memo(self._piece_ids, PIECES)
+        self.nodes = Memo(self.piece, NODES)
+        self.joins = {"text": 0, "piece": 0}
         self.by_chunk = Memo(self._chunk, CHUNKS)
         self.stays = Memo(lambda pair: self.merge(pair[0] + pair[1]) == [*pair], PAIRS)
 
@@ -85,21 +90,28 @@ class BPE:
         return out
 
     def join(self, a: list[bytes], b: list[bytes]) -> list[bytes]:
+        """The tokens of two neighbours' bytes together."""
+        self.joins["piece"] += 1
         w = 2
         while True:
             left, right = a[-w:], b[:w]
-            mid = self.direct(b"".join(left + right))
+            window = b"".join(left + right)
+            mid = self.merge(window) if len(window) <= WINDOW else self.direct(window)
             if (len(a) <= w or mid[0] == left[0]) and (len(b) <= w or mid[-1] == right[-1]):
                 return a[:-w] + mid + b[w:]
             w *= 2
 
     def piece(self, piece: bytes) -> list[bytes]:
         """Tokens of one match of the split pattern."""
-        if len(piece) <= PIECE:
-            return self.direct(piece)
+        if len(piece) <= LEAF:
+            return self.merge(piece)
         half = len(piece) // 2
-        return self.join(self.piece(piece[:half]), self.piece(piece[half:]))
+        a, b = piece[:half], piece[half:]
+        if len(b) <= NODE:
+            return self.join(self.nodes[a], self.nodes[b])
+        return self.join(self.piece(a), self.piece(b))
 
+    # --- one match of the split pattern
     def _piece_ids(self, piece: str) -> bytes:
         return array("I", map(self.ranks.__getitem__, self.piece(piece.encode()))).tobytes()
 
@@ -108,8 +120,13 @@ class BPE:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0250"):  # one match, with the blank before it
+            return self._piece_ids(" " + chunk)
         known = simple_pieces(chunk)
-        return b"".join(map(self.pieces.__getitem__, known)) if known else self._pattern(whole(chunk))
+        if not known:
+            return self._pattern(whole(chunk))
+        # a word is remembered once, whatever stands behind it
+        return b"".join([self.by_chunk[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pieces[p] for p in known])
 
     def _direct(self, text: str) -> bytes:
         first, *rest = chunks(text)
@@ -117,11 +134,12 @@ class BPE:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(text) <= TEXT:
+        if len(text) <= LEAF_TEXT:
             return self._direct(text)
+        self.joins["text"] += 1
         seam = len(text) // 2
         start, end = self._window(text, seam)
-        if end - start > TEXT // 2:  # hardly a cut near the seam: the window is a part of its own
+        if end - start > max(256, len(text) // 2):  # hardly a cut near the seam: the window is a part of its own
             return b"".join([self.encode(text[:start]), self._direct(text[start:end]), self.encode(text[end:])])
         a, b = self.encode(text[:seam]), self.encode(text[seam:])
         keep_a = len(a) - 4 * self._count_back(a, len(text[start:seam].encode()))
@@ -163,7 +181,7 @@ class BPE:
         return n
 
     def decode(self, ids: bytes) -> bytes:
-        if len(ids) <= 4 * TEXT:
+        if len(ids) <= 4 * LEAF_TEXT:
             return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
         half = len(ids) // 8 * 4
         return self.decode(ids[:half]) + self.decode(ids[half:])

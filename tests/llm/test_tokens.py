@@ -31,16 +31,17 @@ def ids(x):
 
 
 @settings(max_examples=300, deadline=None)
-@given(TEXTS, st.sampled_from([(1 << 15, 48), (40, 4), (16, 2), (100, 8)]))
+@given(TEXTS, st.sampled_from([(1 << 10, 4, 64), (1 << 15, 48, 64), (40, 4, 8), (16, 2, 1), (100, 1, 64)]))
 def test_tree_reduction_gives_the_library_ids(text, sizes):
-    bpe.TEXT, bpe.PIECE = sizes
+    bpe.LEAF_TEXT, bpe.LEAF, bpe.WINDOW = sizes
     OWN.pieces.clear()
     OWN.by_chunk.clear()
+    OWN.nodes.clear()
     try:
         assert ids(text) == ENCODING.encode_ordinary(text)
         assert OWN.decode(OWN.encode(text)) == text.encode()
     finally:
-        bpe.TEXT, bpe.PIECE = 1 << 15, 48
+        bpe.LEAF_TEXT, bpe.LEAF, bpe.WINDOW = 1 << 10, 4, 64
 
 
 @pytest.mark.parametrize("text", ["a" * 6000, "ab" * 20_000, " " * 30_000, "né" * 9_000, "word " * 30_000 + "x" * 4_000, base64.b64encode(bytes(range(256)) * 100).decode()])
@@ -48,6 +49,18 @@ def test_long_texts(text):
     assert ids(text) == ENCODING.encode_ordinary(text)
 
 
+def test_the_tree_is_the_path_of_every_text(spark):
+    """Joins over the documents: more than one a text of more than one leaf, and one for
+    each new word of more than one leaf."""
+    own = bpe.BPE(RANKS, P.PATTERN)
+    texts = [r.text for r in read(spark, SF, "documents").select("text").collect()]
+    for t in texts:
+        own.encode(t)
+    long = [t for t in texts if len(t) > 2 * bpe.LEAF_TEXT]
+    assert len(long) > 50 and own.joins["text"] > 2 * len(long)
+    assert own.joins["piece"] > 0.9 * sum(len(c.encode()) > bpe.LEAF for c in own.by_chunk if c.isalpha())
+
+
 @settings(max_examples=200, deadline=None)
 @given(TEXTS)
 def test_chunks_and_token_files_encoder(text):
