@@ -53,8 +53,12 @@ def rule_lexicon() -> dict[str, float]:
     return {a + b: ((31 * ord(a) + ord(b)) % 9 - 4) / 2 for a in letters for b in letters}
 
 
-# Largest lexicon table (rows) the join form broadcasts; beyond it, a shuffle join.
+# Largest lexicon table (rows, and bytes as measured) the join form broadcasts; beyond
+# either, a shuffle join whose tokens are dealt over SALTS keys.
 MAX_BROADCAST_LEXICON = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+SALTS = 16
+ENTRY_BYTES = 40  # a broadcast entry beside its token
 
 
 def lexicon_map(lexicon: Mapping[str, float]) -> Column:
@@ -179,26 +183,31 @@ def score_by_join(
     lexicon_df: DataFrame,
     cfg: Config = DEFAULT,
     max_broadcast_rows: int = MAX_BROADCAST_LEXICON,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(keys..., sentiment_score) through a token ⋈ lexicon join.
 
     ``keys`` must identify a row of ``df``. Every row of ``df`` appears once in
     the output (``split`` yields at least one token, so no row is lost).
 
-    Lexicon within ``max_broadcast_rows`` (counted, not estimated): broadcast
-    hash join, tokens never shuffled; the per-text sum combines map-side.
-    Larger lexicon: tokens are first counted per (text, token) (map-side
-    partial aggregation), so a token repeated in a text crosses the shuffle
-    once; the join on token is a shuffle join whose hot tokens AQE splits.
+    Lexicon within ``max_broadcast_rows`` and ``max_broadcast_bytes`` (measured,
+    not estimated): broadcast hash join, tokens never shuffled; the per-text sum
+    combines map-side. Larger lexicon: tokens are first counted per (text, token)
+    (map-side partial aggregation), so a token repeated in a text crosses the
+    shuffle once; the join is a shuffle join on (token, salt), the salt a hash of
+    the text's keys, so a token that every text has is dealt over SALTS tasks.
     """
     text = _scored_text(F.col(cleaned_col), cfg)
     toks = df.select(*keys, F.explode_outer(F.split(text, TOKEN_SPLIT)).alias("token"))
     lex = lexicon_df.select("token", "valence")
-    if lex.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    own = lex.limit(max_broadcast_rows + 1).agg(F.count("*"), F.sum(F.octet_length("token") + ENTRY_BYTES)).first()
+    if own[0] <= max_broadcast_rows and (own[1] or 0) <= max_broadcast_bytes:
         hits = toks.join(F.broadcast(lex), "token", "left").withColumn("n", F.lit(1))
     else:
         counts = toks.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
-        hits = counts.join(lex, "token", "left")
+        counts = counts.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)))
+        salted = lex.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        hits = counts.join(salted, ["token", "salt"], "left")
     sums = hits.groupBy(*keys).agg(
         F.when(
             F.max(F.col("token").isNotNull()),
@@ -224,6 +233,17 @@ def model_scorer(load_model, return_type: str = "double"):
     return _score
 
 
+def user_scorer(score, cfg: Config = DEFAULT):
+    """A user's scorer under the null policy: "text" shows it the text ``none`` for a NULL,
+    "skip" gives NULL whatever it returns."""
+
+    def run(text: Column) -> Column:
+        own = score(_scored_text(text, cfg)).cast("double")
+        return own if cfg.null_policy == "text" else F.when(text.isNotNull(), own)
+
+    return run
+
+
 # Largest lexicon scored with the literal-map form. Spark looks keys up in a map
 # literal by a linear scan, so per-token cost grows with the lexicon; beyond this
 # size the hash-based forms (table join, or the vectorised scorer) are used.

@@ -69,6 +69,37 @@ def parse_texts(envelope: DataFrame, keep_rejects: bool = False) -> DataFrame:
     )
 
 
+#: Columns of accepted events by kind, and of rejects.
+ACCEPTED = {
+    "price": "ticker string, price double, timestamp timestamp",
+    "text": "ticker string, headline string, source string, timestamp timestamp",
+}
+REJECTED = "topic string, partition int, offset long, raw_value string, reason string"
+
+
+def parse_split(envelope: DataFrame, kind: str) -> DataFrame:
+    """One decoding for both outputs: the message's coordinates and raw text, the event's
+    fields, and ``reason`` (NULL for an event) — see ``accepted`` and ``rejected``."""
+    schema, fields = (PRICE_EVENT, _PRICE_FIELDS) if kind == "price" else (TEXT_EVENT, _TEXT_FIELDS)
+    raw = F.col("value").cast("string")
+    d = envelope.select("topic", "partition", "offset", raw.alias("raw_value"), F.from_json(raw, schema).alias("data"))
+    reason = F.when(F.col("raw_value").isNull(), "null value").when(is_reject(fields), "not an event")
+    return d.withColumn("reason", reason)
+
+
+def accepted(split: DataFrame, kind: str) -> DataFrame:
+    """The events of ``parse_split``, as ``parse_prices`` / ``parse_texts`` give them."""
+    own = {"price": ["ticker", "price"], "text": ["ticker", "headline", "source"]}[kind]
+    return split.where("reason IS NULL").select(
+        *[F.col(f"data.{c}").alias(c) for c in own], parse_event_time(F.col("data.timestamp")).alias("timestamp")
+    )
+
+
+def rejected(split: DataFrame) -> DataFrame:
+    """Where each reject of ``parse_split`` came from, its raw text, and why."""
+    return split.where("reason IS NOT NULL").select("topic", "partition", "offset", "raw_value", "reason")
+
+
 def rejects(envelope: DataFrame, kind: str) -> DataFrame:
     """Envelope rows whose value is not a parseable event (NULL, not JSON, or no
     known field): topic coordinates plus the raw text, for a reject output."""

@@ -4,9 +4,8 @@
 time older than the high-water mark of everything that arrived before, minus
 the watermark delay: the rows a streaming watermark would treat as late.
 The running maximum is computed without a single-task window over the whole
-input: arrival order is cut into fixed-size blocks; a block's running maximum
-is a window over that block only (bounded size); the maxima of earlier blocks
-come from a prefix within groups of blocks plus a prefix over one row per group.
+input: arrival order is cut into blocks of bounded size, whose maxima are cut
+into blocks again, until one block holds all.
 """
 
 from __future__ import annotations
@@ -18,14 +17,25 @@ from ..schemas import PRICE_EVENT, TEXT_EVENT
 from .parse import is_reject, parse_event_time
 
 DEFAULT_BLOCK = 1 << 20  # rows per arrival block (bounds the largest window group)
-DEFAULT_FANOUT = 1 << 10  # blocks per super-block
-
-
-def _prefix_before(df, order_col: str, value_col: str, group_col: str | None):
-    """Running max of ``value_col`` over strictly earlier ``order_col`` rows
-    (within ``group_col`` when given)."""
-    w = Window.orderBy(order_col) if group_col is None else Window.partitionBy(group_col).orderBy(order_col)
-    return F.max(value_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+DEFAULT_FANOUT = 1 << 10  # blocks per group of blocks, on every level
+
+
+def _max_before(rows: DataFrame, at: str, value: str, n: int, size: int, fanout: int) -> DataFrame:
+    """``rows`` (``at``: 0 to n - 1, unique) with ``_before``: the largest ``value`` of all rows
+    with a smaller ``at``. Rows are cut into blocks of ``size``; a block's own prefix is a
+    window over that block, what came before the block is the same question over one row
+    per block, and so on until one block holds all: no window group exceeds ``size`` or
+    ``fanout`` rows."""
+    block, top = f"{at}_blk", f"{value}_max"
+    cut = rows.withColumn(block, F.expr(f"`{at}` div {size}"))
+    in_block = Window.partitionBy(block).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    own = cut.withColumn("_before", F.max(value).over(in_block))
+    if n <= size:
+        return own.drop(block)
+    blocks = cut.groupBy(block).agg(F.max(value).alias(top))
+    upper = _max_before(blocks, block, top, -(-n // size), fanout, fanout)
+    upper = upper.select(block, F.col("_before").alias("_upper"))
+    return own.join(upper, block, "left").withColumn("_before", F.greatest("_before", "_upper")).drop(block, "_upper")
 
 
 def late_rows(
@@ -33,25 +43,15 @@ def late_rows(
     fanout: int = DEFAULT_FANOUT,
 ) -> DataFrame:
     """``df`` plus ``high_water`` (max event time of strictly earlier arrivals)
-    and ``is_late``. ``seq_col`` is a unique arrival order.
-
-    Three levels, each window group bounded: rows within a block (``block``
-    rows), blocks within a super-block (``fanout`` blocks), and one row per
-    super-block in arrival order (one row per block × fanout input rows)."""
-    d = df.withColumn("_blk", F.floor(F.col(seq_col) / F.lit(block)))
-    blocks = d.groupBy("_blk").agg(F.max(ts_col).alias("_blk_max")).withColumn(
-        "_sup", F.floor(F.col("_blk") / F.lit(fanout))
-    )
-    supers = blocks.groupBy("_sup").agg(F.max("_blk_max").alias("_sup_max"))
-    supers = supers.select("_sup", _prefix_before(supers, "_sup", "_sup_max", None).alias("_before_sup"))
-    prefix = blocks.select(
-        "_blk", "_sup", _prefix_before(blocks, "_blk", "_blk_max", "_sup").alias("_before_blk_in_sup")
-    ).join(supers, "_sup", "left")
-    prefix = prefix.select("_blk", F.greatest("_before_sup", "_before_blk_in_sup").alias("_before_blk"))
-    within = Window.partitionBy("_blk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_in_blk", F.max(ts_col).over(within)).join(prefix, "_blk", "left")
-    hw = F.greatest(F.col("_before_blk"), F.col("_in_blk"))
-    return d.select(
+    and ``is_late``. ``seq_col`` is a unique arrival order of whole numbers.
+
+    One aggregate finds the span of the arrival order; the running maximum then takes as
+    many levels as that span needs."""
+    lo, hi = df.agg(F.min(seq_col), F.max(seq_col)).first()
+    n = 0 if lo is None else hi - lo + 1
+    marked = _max_before(df.withColumn("_at", F.col(seq_col) - F.lit(lo or 0)), "_at", ts_col, n, block, fanout)
+    hw = F.col("_before")
+    return marked.select(
         *df.columns,
         hw.alias("high_water"),
         F.coalesce(F.col(ts_col) < hw - F.expr(f"INTERVAL {delay}"), F.lit(False)).alias("is_late"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.sentiment import scorer
+from ..functions.sentiment import scorer, user_scorer
 from ..functions.text import clean_text
 
 WINDOW_COL = "time_window"
@@ -35,15 +35,23 @@ def price_window_metrics(ticks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     )
 
 
-def clean_and_score(headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
+def clean_and_score(headlines: DataFrame, lexicon, cfg: Config = DEFAULT, score=None) -> DataFrame:
     """Adds cleaned_headline and sentiment_score (both per-row projections; the
     scoring form is chosen by lexicon size, see ``functions.sentiment``).
 
+    ``score`` replaces the lexicon by a user's own scorer: a function from the column of
+    lower-cased texts to a double column, built-in expressions or an (iterator) pandas UDF
+    such as ``functions.sentiment.model_scorer`` returns. It sees NULL texts as the
+    lexicon scorers do (``cfg.null_policy``).
+
     The score reads ``lower(headline)``: tokens are runs of a-z, so collapsing
     whitespace cannot change them and the score equals the score of the cleaned
     text; when only the score is used downstream, Catalyst drops the
     whitespace rewrite of every text."""
-    score = scorer(headlines.sparkSession, lexicon, cfg)
+    if score is None:
+        score = scorer(headlines.sparkSession, lexicon, cfg)
+    else:
+        score = user_scorer(score, cfg)
     return headlines.withColumn("cleaned_headline", clean_text("headline")).withColumn(
         "sentiment_score", score(F.lower(F.col("headline")))
     )

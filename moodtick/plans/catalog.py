@@ -8,6 +8,7 @@ summation order differs.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import PRICE_TOPIC, TEXT_TOPIC, Config
 from ..functions import labels as L
 from ..functions import sentiment as S
+from ..functions.rules import Rules, score_rules
 from ..functions.sentiment import TEST_LEXICON
 from ..functions.text import clean_text
 from ..functions.times import instant_from_utc, utc_wall_clock
@@ -24,14 +26,21 @@ from ..operators import dashboard as D
 from ..operators import parse as P
 from ..operators import quality as Q
 from ..operators import windows as Wn
+from ..operators.shape import key_violations
 from ..operators.windows import WINDOW_COL
 from ..plans import pipeline
 from ..schemas import PRICE_EVENT, TEXT_EVENT, TICKER_MAX_LEN
 from ..sinks import lake
+from ..sinks.topic import write_topic
 from ..sources import tables
 from ..sources.envelope import read_envelope
+from ..sources.lexicon import LexiconTable
+from ..sources.replay import read_steps, write_steps
 from ..session import session_conf, stream_width
 from ..streaming import pipeline as SP
+from ..streaming import state
+from ..streaming.score import read_scored, start_scoring
+from ..streaming.split import read_output, start_split
 
 OUT_DIGITS = 6
 # Output rounding is half away from zero after scaling by (1 + 1e-12): values that
@@ -230,6 +239,18 @@ def q_score_lexicon(spark, sf_dir):
     return s.select("doc_id", "ticker", "sentiment_score")
 
 
+#: Words of the test documents as negation, boosters and contrast word of the position rules.
+TEST_RULES = Rules(negations=frozenset({"the", "les"}), boosters={"and": 1, "que": 1, "of": -1}, contrast=frozenset({"was", "une"}))
+
+
+@register("score_rules")
+def q_score_rules(spark, sf_dir):
+    """Every document under the position rules: negations and boosters up to three tokens
+    back, a contrast word, marks."""
+    h = tables.headlines(spark, sf_dir)
+    return h.select("doc_id", score_rules(F.lower("headline"), TEST_LEXICON, TEST_RULES).alias("sentiment_score"))
+
+
 @register("score_lexicon_join")
 def q_score_lexicon_join(spark, sf_dir):
     h = tables.headlines(spark, sf_dir).select("doc_id", clean_text("headline").alias("cleaned_headline"))
@@ -307,6 +328,21 @@ def q_chk_target_key(spark, sf_dir):
     )
 
 
+@register("chk_key_violations")
+def q_chk_key_violations(spark, sf_dir):
+    """The merge's key check on metrics of which some windows have lost a key part or their
+    end, have a ticker that is too long, or stand there twice."""
+    m, hour = metrics_view(spark, sf_dir, HOURLY), F.hour("window_start")
+    broken = m.select(
+        F.when(hour == 1, None).when(hour == 2, F.repeat("ticker", F.lit(3))).otherwise(F.col("ticker")).alias("ticker"),
+        F.when(hour == 3, None).otherwise(F.col("window_start")).alias("window_start"),
+        F.when(hour == 4, None).otherwise(F.col("window_end")).alias("window_end"),
+        *[c for c in m.columns if c not in ("ticker", "window_start", "window_end")],
+    )
+    twice = broken.where(hour == 0)
+    return key_violations(broken.unionByName(twice)).select("ticker", "window_start", "n_rows", "null_end")
+
+
 def _split_batches(spark, sf_dir, cfg: Config):
     """Two overlapping arrivals of the same streams: events before day 20, and
     events from day 15 on. Together they hold every row."""
@@ -372,6 +408,38 @@ def q_src_metrics_read(spark, sf_dir):
     return round_doubles(tbl.read())
 
 
+RANGE = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11, 6))
+
+
+@register("src_metrics_range")
+def q_src_metrics_range(spark, sf_dir):
+    """A range of window starts from the stored table: only the folders that meet it are opened."""
+    tbl = _scratch_table(spark)
+    tbl.merge(metrics_view(spark, sf_dir, HOURLY), 0)
+    return round_doubles(tbl.read_range(*RANGE))
+
+
+@register("dash_latest50_stored")
+def q_dash_latest50_stored(spark, sf_dir):
+    """The newest 50 rows of the stored table, from its newest folders."""
+    tbl = _scratch_table(spark)
+    tbl.merge(metrics_view(spark, sf_dir, HOURLY), 0)
+    return round_doubles(tbl.newest(50))
+
+
+@register("src_topic_files")
+def q_src_topic_files(spark, sf_dir):
+    """Both topics published as files and read through the topic reader, then decoded."""
+    root = _scratch(spark)
+    write_topic(P.encode_price_event(tables.ticks(spark, sf_dir), PRICE_TOPIC), fmt="files", path=f"{root}/topics")
+    write_topic(P.encode_text_event(tables.headlines(spark, sf_dir), TEXT_TOPIC), fmt="files", path=f"{root}/topics")
+    prices = P.parse_prices(read_envelope(spark, PRICE_TOPIC, fmt="files", path=f"{root}/topics", stream=False))
+    texts = P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=f"{root}/topics", stream=False))
+    a = prices.select(F.lit(PRICE_TOPIC).alias("topic"), "ticker", "price", F.lit(None).cast("string").alias("source"), _ntz("timestamp").alias("timestamp"))
+    b = texts.select(F.lit(TEXT_TOPIC).alias("topic"), "ticker", F.lit(None).cast("double").alias("price"), "source", _ntz("timestamp").alias("timestamp"))
+    return a.unionByName(b)
+
+
 # ---------------------------------------------------------------- dashboard
 
 
@@ -429,6 +497,12 @@ def q_dash_recent10(spark, sf_dir):
     return round_doubles(D.recent(metrics_view(spark, sf_dir, HOURLY), HOURLY))
 
 
+@register("dash_recent10_of_latest50")
+def q_dash_recent10_of_latest50(spark, sf_dir):
+    """The last ten windows per ticker of the dashboard's selection, the newest 50 rows."""
+    return round_doubles(D.recent(latest50(spark, sf_dir), HOURLY))
+
+
 @register("dash_latest")
 def q_dash_latest(spark, sf_dir):
     m = metrics_view(spark, sf_dir, HOURLY)
@@ -529,10 +603,38 @@ def q_an_watchlist_compare(spark, sf_dir):
 # ---------------------------------------------------------------- lake layers, quality
 
 
+def _arrivals(spark, sf_dir, root: str):
+    """Both topics as files in two arrivals (before 2024-01-15, and the rest); yields the
+    streams over all files that have arrived."""
+    cut = instant_from_utc(F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00")))
+    n = spark.sparkContext.defaultParallelism
+    for early in (True, False):
+        for name, env in (("prices", price_envelope(spark, sf_dir)), ("texts", text_envelope(spark, sf_dir))):
+            before = F.coalesce(F.col("timestamp") < cut, F.lit(False))
+            env.where(before if early else ~before).repartition(n).write.mode("append").parquet(f"{root}/{name}")
+        yield (read_envelope(spark, PRICE_TOPIC, fmt="files", path=f"{root}/prices"),
+               read_envelope(spark, TEXT_TOPIC, fmt="files", path=f"{root}/texts"))
+
+
+def _lake(spark, sf_dir) -> lake.Lake:
+    root = _scratch(spark)
+    layers = lake.Lake(spark, f"{root}/lake", TEST_LEXICON, HOURLY)
+    with session_conf(spark, stream_width(spark)):
+        for prices, texts in _arrivals(spark, sf_dir, root):
+            layers.advance(prices, texts)
+    return layers
+
+
 @register("lake_layers")
 def q_lake_layers(spark, sf_dir):
-    ls = lake.layers(price_envelope(spark, sf_dir), text_envelope(spark, sf_dir), TEST_LEXICON, HOURLY)
-    return lake.layer_counts(ls)
+    """Rows per layer and date of the stored layers, filled in two increments."""
+    return lake.layer_counts(_lake(spark, sf_dir).read())
+
+
+@register("lake_gold")
+def q_lake_gold(spark, sf_dir):
+    """The gold layer after two increments: all windows, each from all its events."""
+    return round_doubles(_lake(spark, sf_dir).gold.read())
 
 
 @register("dq_report")
@@ -580,10 +682,10 @@ def stage_topics(spark, sf_dir, root: str) -> tuple[str, str]:
     return pdir, tdir
 
 
-def _run_join_stream(spark, sf_dir):
+def _run_join_stream(spark, sf_dir, root: str | None = None):
     from ..sinks.parquet_table import KeyedParquetTable
 
-    root = _scratch(spark)
+    root = root or _scratch(spark)
     pdir, tdir = stage_topics(spark, sf_dir, root)
     prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir)
     texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir)
@@ -627,6 +729,74 @@ def _stream_window_to_files(spark, df, root: str):
     return spark.read.parquet(out)
 
 
+@register("join_price_sentiment_stream_steps")
+def q_join_price_sentiment_stream_steps(spark, sf_dir):
+    """The same stream in several micro-batches: both topics replayed ten days at a time,
+    with state carried and watermarks moved from one to the next."""
+    from ..sinks.parquet_table import KeyedParquetTable
+
+    root = _scratch(spark)
+    decade = F.expr("(dayofmonth(timestamp) - 1) div 10")
+    for env, name in ((price_envelope(spark, sf_dir), "prices"), (text_envelope(spark, sf_dir), "texts")):
+        write_steps(env.withColumn("decade", decade), f"{root}/{name}", key="decade")
+    table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
+    streams = read_steps(spark, f"{root}/prices", PRICE_TOPIC), read_steps(spark, f"{root}/texts", TEXT_TOPIC)
+    with session_conf(spark, stream_width(spark)):
+        q = SP.start(SP.correlation_stream(*streams, TEST_LEXICON, MINUTE), table.foreach_batch(),
+                     f"{root}/checkpoint", name=None, trigger={"availableNow": True}, cfg=MINUTE)
+        q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return round_doubles(table.read())
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """The mixed topic streamed into two outputs: every message is an accepted event or a
+    reject with its raw text and the reason."""
+    root = _scratch(spark)
+    n = spark.sparkContext.defaultParallelism
+    mixed_price_topic(spark, sf_dir).repartition(2 * n).write.parquet(f"{root}/topic")
+    topic = read_envelope(spark, PRICE_TOPIC, fmt="files", path=f"{root}/topic", max_files_per_trigger=n)
+    start_split(topic, "price", f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    good, bad = (read_output(spark, f"{root}/out", x, "price") for x in ("accepted", "rejected"))
+    none = F.lit(None)
+    good = good.select(F.lit("accepted").alias("output"), "ticker", "price", _ntz("timestamp").alias("timestamp"),
+                       none.cast("string").alias("raw_value"), none.cast("string").alias("reason"))
+    bad = bad.select(F.lit("rejected").alias("output"), none.cast("string").alias("ticker"), none.cast("double").alias("price"),
+                     none.cast("timestamp_ntz").alias("timestamp"), "raw_value", "reason")
+    return good.unionByName(bad)
+
+
+#: The first version of the lexicon that the scoring stream finds; the second is TEST_LEXICON.
+FIRST_LEXICON = {"that": 1.5, "can't": -2.0, ":)": 2.0}
+
+
+@register("score_stream_lexicon")
+def q_score_stream_lexicon(spark, sf_dir):
+    """Headlines scored on a stream by a lexicon table of which a second version appears
+    between two arrivals (events before 2024-01-15, and the rest)."""
+    root = _scratch(spark)
+    lexicon = LexiconTable(spark, f"{root}/lexicon")
+    for (_, texts), entries in zip(_arrivals(spark, sf_dir, root), (FIRST_LEXICON, TEST_LEXICON)):
+        lexicon.publish(spark.createDataFrame(list(entries.items()), "token string, valence double"))
+        q = start_scoring(texts, lexicon, f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return read_scored(spark, f"{root}/out").select("ticker", "source", _ntz("timestamp").alias("timestamp"), "sentiment_score", "lexicon_version")
+
+
+@register("str_state_rows")
+def q_str_state_rows(spark, sf_dir):
+    """The windows that the streaming join's aggregates still hold open after the replay,
+    read back from the checkpoint."""
+    root = _scratch(spark)
+    _run_join_stream(spark, sf_dir, root)
+    found = state.open_windows(spark, f"{root}/checkpoint")
+    return found.select("side", "ticker", "window_start", "window_end")
+
+
 @register("stream_price_window")
 def q_stream_price_window(spark, sf_dir):
     root = _scratch(spark)
@@ -647,48 +817,26 @@ def q_stream_sentiment_window(spark, sf_dir):
 @register("stream_late_data")
 def q_stream_late_data(spark, sf_dir):
     """Late data on the real tables: the headline topic is replayed one ticker per
-    micro-batch (one file per ticker, written in ticker order,
-    maxFilesPerTrigger=1), so each ticker's history arrives after the previous
-    ones have pushed the watermark to the end of the month. Rows whose window
+    micro-batch, in ticker order (``sources.replay``: written in one job, any number of
+    keys), so each ticker's history arrives after the previous ones have pushed the watermark to the end of the month. Rows whose window
     end is at or below the late-events watermark (the watermark two batches
     back) are dropped; the rest are aggregated in 1-minute windows and emitted
     once closed. Every row of the table goes through the stream."""
-    import time
-
     root = _scratch(spark)
-    tdir = f"{root}/texts"
-    env = text_envelope(spark, sf_dir).persist()  # encoded once, then written one ticker at a time
-    try:
-        for t in tables.TICKERS:  # sequential writes: file modification order = replay order
-            env.where(F.col("key") == F.lit(t).cast("binary")).coalesce(1).write.mode("append").parquet(tdir)
-            time.sleep(0.02)
-    finally:
-        env.unpersist()
-    texts = P.parse_texts(read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1))
+    write_steps(text_envelope(spark, sf_dir), f"{root}/texts")
+    texts = P.parse_texts(read_steps(spark, f"{root}/texts", TEXT_TOPIC))
     scored = Wn.clean_and_score(texts, TEST_LEXICON, MINUTE)
     return round_doubles(_stream_window_to_files(spark, Wn.sentiment_window_metrics(scored, MINUTE), root))
 
 
 def _run_join_late(spark, sf_dir, cfg: Config):
-    import time
-
     from ..sinks.parquet_table import KeyedParquetTable
 
     root = _scratch(spark)
-    pdir, tdir = f"{root}/prices", f"{root}/texts"
-    # encoded once, then written one ticker at a time
-    penv, tenv = price_envelope(spark, sf_dir).persist(), text_envelope(spark, sf_dir).persist()
-    try:
-        for t in tables.TICKERS:  # sequential writes: file modification order = replay order
-            key = F.lit(t).cast("binary")
-            penv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(pdir)
-            tenv.where(F.col("key") == key).coalesce(1).write.mode("append").parquet(tdir)
-            time.sleep(0.02)
-    finally:
-        penv.unpersist()
-        tenv.unpersist()
-    prices = read_envelope(spark, PRICE_TOPIC, fmt="files", path=pdir, max_files_per_trigger=1)
-    texts = read_envelope(spark, TEXT_TOPIC, fmt="files", path=tdir, max_files_per_trigger=1)
+    write_steps(price_envelope(spark, sf_dir), f"{root}/prices")
+    write_steps(text_envelope(spark, sf_dir), f"{root}/texts")
+    prices = read_steps(spark, f"{root}/prices", PRICE_TOPIC)
+    texts = read_steps(spark, f"{root}/texts", TEXT_TOPIC)
     table = KeyedParquetTable(spark, f"{root}/table", granularity="day")
     keep = {"spark.sql.streaming.multipleWatermarkPolicy": spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy")}
     with session_conf(spark, {**stream_width(spark), **keep}):
@@ -703,8 +851,7 @@ def _run_join_late(spark, sf_dir, cfg: Config):
 @register("join_stream_late_data")
 def q_join_stream_late_data(spark, sf_dir):
     """The stream-stream pipeline with late data on both inputs: both topics are
-    replayed one ticker per micro-batch (one file per ticker and topic, written
-    in ticker order, maxFilesPerTrigger=1). The global watermark is the minimum
+    replayed one ticker per micro-batch, in ticker order. The global watermark is the minimum
     of the two streams' (max event time - delay); rows whose window end is at or
     below the late-events watermark are dropped on each side before the
     aggregates meet in the join. Every row of both tables goes through the stream."""

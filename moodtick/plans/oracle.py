@@ -171,6 +171,31 @@ ORACLE["score_lexicon_join_large"] = with_ctes(
     f"""SELECT c.doc_id, {_RULE_SCORE} AS sentiment_score
 FROM cleaned c LEFT JOIN rule_sums s ON s.doc_id = c.doc_id""", extra=RULE_LEXICON_CTES.strip())
 
+# Position rules: a scored word looks at the three tokens before it; a contrast word splits the text.
+ORACLE["score_rules"] = with_ctes(
+    """SELECT h.doc_id, round(x / sqrt(x * x + 15), 4) AS sentiment_score
+FROM (SELECT doc_id, coalesce(m, 0.0) + sign(coalesce(m, 0.0)) * (
+               least(length(t) - length(replace(t, '!', '')), 4) * 0.292
+               + CASE WHEN length(t) - length(replace(t, '?', '')) <= 1 THEN 0
+                      WHEN length(t) - length(replace(t, '?', '')) <= 3 THEN (length(t) - length(replace(t, '?', ''))) * 0.18
+                      ELSE 0.96 END) AS x
+      FROM rule_text LEFT JOIN (
+        SELECT doc_id, sum((v + sign(v) * (p1 + p2 * 0.95 + p3 * 0.9)) * CASE WHEN negated THEN -0.74 ELSE 1 END
+                           * CASE WHEN turn IS NULL OR i = turn THEN 1 WHEN i < turn THEN 0.5 ELSE 1.5 END) AS m
+        FROM (SELECT *, coalesce(lag(b, 1) OVER w, 0) AS p1, coalesce(lag(b, 2) OVER w, 0) AS p2, coalesce(lag(b, 3) OVER w, 0) AS p3,
+                     coalesce(lag(n, 1) OVER w, false) OR coalesce(lag(n, 2) OVER w, false) OR coalesce(lag(n, 3) OVER w, false) AS negated,
+                     min(i) FILTER (c) OVER (PARTITION BY doc_id) AS turn
+              FROM rule_marked WINDOW w AS (PARTITION BY doc_id ORDER BY i)) r
+        WHERE v <> 0 GROUP BY doc_id) s USING (doc_id)) h""", extra="""rule_text AS (
+  SELECT doc_id, coalesce(lower(headline), 'none') AS t,
+         list_filter(string_split_regex(coalesce(lower(headline), 'none'), '[^a-z]+'), lambda z: z <> '') AS words FROM headlines),
+rule_marked AS (
+  SELECT doc_id, i, coalesce(valence, 0.0) AS v, CASE WHEN coalesce(valence, 0.0) <> 0 THEN 0
+           WHEN k.token IN ('and', 'que') THEN 0.293 WHEN k.token = 'of' THEN -0.293 ELSE 0 END AS b,
+         k.token IN ('the', 'les') AS n, k.token IN ('was', 'une') AS c
+  FROM (SELECT doc_id, unnest(words) AS token, unnest(range(1, len(words) + 1)) AS i FROM rule_text) k
+  LEFT JOIN lexicon ON lexicon.token = k.token)""")
+
 # ---------------------------------------------------------------- windowed aggregates
 
 ORACLE["agg_price_window"] = with_ctes(
@@ -201,9 +226,24 @@ ORACLE["chk_target_key"] = with_ctes(
            HAVING count(*) > 1 OR ticker IS NULL OR window_start IS NULL OR max(length(ticker)) > 10
                OR max(CAST(window_end IS NULL AS INTEGER)) > 0)) AS violations
 FROM metrics""", "hour")
+ORACLE["chk_key_violations"] = with_ctes(
+    """SELECT ticker, window_start, count(*) AS n_rows, max(CAST(window_end IS NULL AS INTEGER)) AS null_end
+FROM (SELECT CASE hour(window_start) WHEN 1 THEN NULL WHEN 2 THEN repeat(ticker, 3) ELSE ticker END AS ticker,
+             CASE WHEN hour(window_start) <> 3 THEN window_start END AS window_start,
+             CASE WHEN hour(window_start) <> 4 THEN window_end END AS window_end
+      FROM (SELECT * FROM metrics UNION ALL SELECT * FROM metrics WHERE hour(window_start) = 0) m) b
+GROUP BY ticker, window_start
+HAVING count(*) > 1 OR ticker IS NULL OR window_start IS NULL OR length(ticker) > 10 OR max(CAST(window_end IS NULL AS INTEGER)) > 0""", "hour")
 ORACLE["snk_upsert_merge"] = with_ctes(METRICS_OUT, "hour")
 ORACLE["snk_upsert_replay"] = with_ctes(METRICS_OUT, "hour")
 ORACLE["src_metrics_read"] = with_ctes(METRICS_OUT, "hour")
+ORACLE["src_metrics_range"] = with_ctes(
+    METRICS_OUT + "\nWHERE window_start >= TIMESTAMP '2024-01-10 00:00:00' AND window_start < TIMESTAMP '2024-01-11 06:00:00'", "hour")
+ORACLE["dash_latest50_stored"] = with_ctes(f"SELECT {ROUNDED_METRICS_COLS} FROM latest50", "hour", extra=LATEST50)
+ORACLE["src_topic_files"] = with_ctes(
+    """SELECT 'stock_prices' AS topic, ticker, round(price, 2) AS price, CAST(NULL AS VARCHAR) AS source, "timestamp" FROM ticks
+UNION ALL
+SELECT 'stock_texts', ticker, CAST(NULL AS DOUBLE), source, "timestamp" FROM headlines""")
 
 # ---------------------------------------------------------------- dashboard
 
@@ -259,6 +299,10 @@ ORACLE["dash_recent10"] = with_ctes(
     """SELECT ticker, window_start, round(avg_price, 6) AS avg_price, round(min_price, 6) AS min_price,
        round(max_price, 6) AS max_price, round(avg_sentiment, 6) AS avg_sentiment, headline_count
 FROM metrics QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY window_start DESC) <= 10""", "hour")
+ORACLE["dash_recent10_of_latest50"] = with_ctes(
+    """SELECT ticker, window_start, round(avg_price, 6) AS avg_price, round(min_price, 6) AS min_price,
+       round(max_price, 6) AS max_price, round(avg_sentiment, 6) AS avg_sentiment, headline_count
+FROM latest50 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY window_start DESC) <= 10""", "hour", extra=LATEST50)
 ORACLE["dash_latest"] = with_ctes(
     """SELECT ticker, max(window_start) AS latest_window,
        round(arg_max(avg_price, window_start), 6) AS latest_price,
@@ -386,6 +430,8 @@ ORACLE["dq_metrics"] = with_ctes(
 FROM metrics""", "hour")
 
 
+ORACLE["lake_gold"] = with_ctes(METRICS_OUT, "hour")
+
 # ---------------------------------------------------------------- tie-stable output rounding
 
 TIE_GUARD = "1.000000000001"
@@ -424,6 +470,28 @@ _CLOSED = """(SELECT least((SELECT max("timestamp") FROM ticks), (SELECT max("ti
 ORACLE["join_price_sentiment_stream"] = guard_round6(with_ctes(
     METRICS_OUT + f"\nWHERE window_end <= {_CLOSED}", "minute"))
 ORACLE["join_price_sentiment_stream_rocksdb"] = ORACLE["join_price_sentiment_stream"]
+ORACLE["join_price_sentiment_stream_steps"] = ORACLE["join_price_sentiment_stream"]
+ORACLE["stream_rejects"] = with_ctes(
+    """SELECT 'accepted' AS output, ticker, round(price, 2) AS price, "timestamp", CAST(NULL AS VARCHAR) AS raw_value,
+       CAST(NULL AS VARCHAR) AS reason FROM ticks
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, raw, CASE WHEN raw IS NULL THEN 'null value' ELSE 'not an event' END
+FROM (SELECT props AS raw FROM events UNION ALL SELECT text FROM documents) r""")
+ORACLE["score_stream_lexicon"] = with_ctes(
+    """SELECT ticker, source, "timestamp",
+       CASE WHEN "timestamp" < TIMESTAMP '2024-01-15 00:00:00' THEN round(m / sqrt(m * m + 15), 4) ELSE sentiment_score END AS sentiment_score,
+       CASE WHEN "timestamp" < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END AS lexicon_version
+FROM scored JOIN (
+  SELECT doc_id, 1.5 * len(list_filter(string_split_regex(coalesce(cleaned_headline, 'none'), '[^a-z]+'), lambda z: z = 'that')) AS m
+  FROM cleaned) f USING (doc_id)""")
+ORACLE["str_state_rows"] = with_ctes(
+    f"""SELECT * FROM (
+  SELECT DISTINCT 'price' AS side, ticker, date_trunc('minute', "timestamp") AS window_start,
+         date_trunc('minute', "timestamp") + INTERVAL 1 minute AS window_end FROM ticks WHERE "timestamp" IS NOT NULL
+  UNION ALL
+  SELECT DISTINCT 'sentiment', ticker, date_trunc('minute', "timestamp"), date_trunc('minute', "timestamp") + INTERVAL 1 minute
+  FROM headlines WHERE "timestamp" IS NOT NULL) w
+WHERE window_end > {_CLOSED}""")
 ORACLE["stream_price_window"] = guard_round6(with_ctes(
     """SELECT * FROM (
   SELECT ticker, date_trunc('minute', "timestamp") AS window_start,

@@ -15,13 +15,14 @@ from ..operators.shape import shape_metrics
 from ..operators.windows import clean_and_score, price_window_metrics, sentiment_window_metrics
 
 
-def correlate(ticks: DataFrame, headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
-    """Joined windowed metrics, window still a struct (stream-safe form)."""
+def correlate(ticks: DataFrame, headlines: DataFrame, lexicon, cfg: Config = DEFAULT, score=None) -> DataFrame:
+    """Joined windowed metrics, window still a struct (stream-safe form). ``score``: a user's
+    scorer in place of the lexicon (see ``clean_and_score``)."""
     prices = price_window_metrics(ticks, cfg)
-    sentiment = sentiment_window_metrics(clean_and_score(headlines, lexicon, cfg), cfg)
+    sentiment = sentiment_window_metrics(clean_and_score(headlines, lexicon, cfg, score), cfg)
     return join_price_sentiment(prices, sentiment)
 
 
-def metrics(ticks: DataFrame, headlines: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
+def metrics(ticks: DataFrame, headlines: DataFrame, lexicon, cfg: Config = DEFAULT, score=None) -> DataFrame:
     """The 9 stored columns (window flattened only here, after the join)."""
-    return shape_metrics(correlate(ticks, headlines, lexicon, cfg))
+    return shape_metrics(correlate(ticks, headlines, lexicon, cfg, score))

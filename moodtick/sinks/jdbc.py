@@ -100,6 +100,8 @@ class JdbcUpsert:
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         from .merge import dedup_batch
 
+        if batch.isEmpty():  # no stage table, no statement
+            return
         cols = [f.name for f in METRICS.fields]
         b = dedup_batch(batch.select(*cols), self.key)
         stage = f"{self.table}_stage_{batch_id}"

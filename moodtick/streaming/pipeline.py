@@ -27,10 +27,12 @@ from ..session import session_conf
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def correlation_stream(price_env: DataFrame, text_env: DataFrame, lexicon, cfg: Config = DEFAULT) -> DataFrame:
+def correlation_stream(price_env: DataFrame, text_env: DataFrame, lexicon, cfg: Config = DEFAULT, score=None) -> DataFrame:
     """The shaped metrics stream (window flattened after the join). Give ``start`` the
-    same ``cfg``: watermark policy and shuffle width are read when a query starts."""
-    return shape_metrics(correlate(parse_prices(price_env), parse_texts(text_env), lexicon, cfg))
+    same ``cfg``: watermark policy and shuffle width are read when a query starts. ``score``:
+    a user's scorer in place of the lexicon. Unparseable messages are left out; a stream
+    that keeps them starts with ``streaming.split``."""
+    return shape_metrics(correlate(parse_prices(price_env), parse_texts(text_env), lexicon, cfg, score))
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -28,10 +30,12 @@ def history(q: StreamingQuery) -> list[dict]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps every progress record of every query (for tests and monitoring)."""
+    """Keeps the newest ``keep`` progress records of all queries, and the number of late rows
+    over all of them (for tests and monitoring)."""
 
-    def __init__(self):
-        self.records: list[dict] = []
+    def __init__(self, keep: int = 1000):
+        self.records: deque[dict] = deque(maxlen=keep)
+        self._late = 0
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
@@ -39,7 +43,9 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):  # noqa: N802
         import json
 
-        self.records.append(json.loads(event.progress.json))
+        record = json.loads(event.progress.json)
+        self.records.append(record)
+        self._late += dropped_by_watermark(record)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -48,4 +54,4 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def late_rows(self) -> int:
-        return sum(dropped_by_watermark(p) for p in self.records)
+        return self._late
