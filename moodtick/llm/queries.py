@@ -72,8 +72,9 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document with its probability, by a forest trained on the
     findings of three quarters of the documents, labelled by how they are assigned."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    learned = secret_scan.candidates(docs.where(bucket("doc_id", 4) != 2), path="source")
-    model = secret_scan.train(secret_scan.by_assignment(learned))
+    own = docs.where(bucket("doc_id", 4) != 2)
+    learned = secret_scan.by_assignment(secret_scan.candidates(own, path="source"))
+    model = secret_scan.train(learned, secret_scan.frequent_words(own))
     return secret_scan.scanned(docs, model, path="source")
 
 

@@ -1,9 +1,11 @@
 """Secret scan: candidates, and a random forest that removes the false ones.
 
-A candidate is a long run of key characters with a digit in it. Its features are its
-length and make-up, how its characters change class, how much of it dictionary words
-cover, the path of its document, and the words beside it. The forest is Spark's,
-trained on labelled findings; everything is DataFrame functions.
+A candidate is a long run of key characters with a digit in it, a run with the prefix of a
+known kind of key, a private key block, or, behind a key word, any quoted or assigned
+value of whatever length and characters. Its features are its length and make-up, how its
+characters change class, how much of it dictionary words cover (the corpus's own frequent
+words, or a table's), the path of its document, and the words beside it. The forest is
+Spark's, trained on labelled findings; everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -16,7 +18,20 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, clean_name, regex_any
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,200}+[0-9])[A-Za-z0-9+/_=-]{16,}"
+_KEY = "A-Za-z0-9+/_=-"
+# Words before a secret, and prefixes of issued keys.
+NAMES = "token|secret|passw|pwd|credential|api.?key|access.?key|private.?key|passphrase|auth|bearer"
+PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza|SG\\.|npm_|hf_|eyJ"
+# A name with a key word in it, then what assigns: at most 60 characters, as Java's look-behind
+# must be bounded; a quote or sign stands right before the value, which is tested first.
+_NAMED = rf"(?i:{NAMES})[A-Za-z0-9_.-]{{0,30}}[\"'`]?\s{{0,4}}(?:[=:]|=>|:=|is)\s{{0,4}}"
+CANDIDATE = "|".join((
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+    rf"(?<=[\"'`])(?<={_NAMED}[\"'`])[^\"'`\n]+(?=[\"'`])",
+    rf"(?<=[=:>s]\s{{0,4}})(?<={_NAMED})[^\s\"'`,;<>]{{4,}}",
+    rf"(?<![{_KEY}])(?:{PREFIXES})[.{_KEY}]{{12,}}+",
+    rf"(?<![{_KEY}])(?=[A-Za-z+/_=-]*+[0-9])[{_KEY}]{{16,}}+",
+))
 BEFORE, AFTER = 40, 20  # characters of context
 TREES, DEPTH, SEED = 20, 6, 42
 LABELLED = 20_000  # distinct findings of each label at most that the forest is fitted on, the first by hash
@@ -24,13 +39,10 @@ LABELLED = 20_000  # distinct findings of each label at most that the forest is
 # What a finding's features are made of.
 FINDING = ("candidate", "before", "after", "path")
 
-# Words that cover what is no key, and signs in paths and neighbours.
-WORDS = (
-    "about", "after", "also", "and", "are", "build", "data", "each", "error", "file", "for", "from", "have", "image", "index",
-    "into", "name", "number", "other", "page", "path", "release", "report", "section", "table", "test", "that", "the", "this",
-    "time", "user", "value", "version", "was", "with", "world", "tion", "ing", "ment",
-)
-KEYWORD = r"(?i)(token|secret|passw|pwd|credential|api.?key|access.?key|private.?key|auth|bearer)"
+VOCABULARY = 300  # frequent words that make the dictionary
+
+# Signs in paths and neighbours.
+KEYWORD = rf"(?i)({NAMES})"
 HARMLESS = r"(?i)(uuid|guid|commit|revision|checksum|digest|sha\d|md5|hash|order|invoice|serial|isbn|example|dummy|sample|placeholder|card|phone)"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|doc)"
 CODE_PATH = r"(?i)\.(env|ya?ml|json|ini|cfg|conf|properties|py|js|ts|java|go|rb|sh)$"
@@ -70,11 +82,21 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     )
 
 
-def features() -> dict[str, Column]:
+def frequent_words(docs: DataFrame, text: str = "text", n: int = VOCABULARY) -> tuple[str, ...]:
+    """The ``n`` most frequent words of three letters or more (ties by word): a dictionary for
+    ``train``. Every text is counted; a word that all texts have is one partial row per task."""
+    words = docs.select(F.explode(F.split(F.lower(text), r"\P{L}+")).alias("word")).where(F.length("word") >= 3)
+    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(n)
+    return tuple(r["word"] for r in top.collect())
+
+
+def features(words: tuple[str, ...] = ()) -> dict[str, Column]:
     c = F.col("candidate")
     n = F.length(c)
     share = lambda chars: (n - F.length(F.regexp_replace(c, chars, ""))) / n
-    classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "b"), "[0-9]", "c"), "[+/_=-]", "d")
+    classes = c
+    for chars, sign in (("[a-z]", "a"), ("[A-Z]", "b"), ("[0-9]", "c"), ("[^abc]", "d")):
+        classes = F.regexp_replace(classes, chars, sign)
     runs = F.length(F.regexp_replace(classes, r"(.)\1+", "$1"))
     to_digit = F.regexp_count(classes, F.lit("[ab]c")) + F.regexp_count(classes, F.lit("c[ab]"))
     yes = lambda x: x.cast("double")
@@ -84,12 +106,16 @@ def features() -> dict[str, Column]:
         "upper": share("[A-Z]"),
         "digit": share("[0-9]"),
         "sign": share("[+/_=-]"),
+        "other": share(r"[^A-Za-z0-9+/_=\s-]"),
+        "space": share(r"\s"),
+        "prefix": yes(c.rlike(f"^(?:{PREFIXES})")),
+        "block": yes(c.startswith("-----BEGIN")),
         "hex": yes(c.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         "distinct": F.size(F.array_distinct(F.split(c, ""))) / n,
         "class_changes": (runs - 1) / n,
         "letter_digit_changes": to_digit / n,
         "case_changes": F.regexp_count(classes, F.lit("ab|ba")) / n,
-        "dictionary": share(f"(?i)({regex_any(WORDS)})"),
+        "dictionary": share(f"(?i)({regex_any(words)})") if words else F.lit(0.0),
         "test_path": yes(F.col("path").rlike(TEST_PATH)),
         "code_path": yes(F.col("path").rlike(CODE_PATH)),
         "keyword_before": yes(F.col("before").rlike(KEYWORD)),
@@ -101,51 +127,74 @@ def features() -> dict[str, Column]:
     }
 
 
-def _featured(found: DataFrame) -> tuple[DataFrame, str]:
-    own = features()
+def _featured(found: DataFrame, words: tuple[str, ...]) -> tuple[DataFrame, str]:
+    own = features(words)
     names = {k: clean_name(found, f"f_{k}") for k in own}
     vector = clean_name(found, "features")
     out = found.withColumns({names[k]: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in own.items()})
     return VectorAssembler(inputCols=list(names.values()), outputCol=vector).transform(out).drop(*names.values()), vector
 
 
-def train(labelled: DataFrame) -> RandomForestClassificationModel | float:
+class Model:
+    """A fitted forest, or a constant probability, and the dictionary it was trained with."""
+
+    def __init__(self, forest: RandomForestClassificationModel | float, words: tuple[str, ...] = ()):
+        self.forest, self.words = forest, words
+
+
+def train(labelled: DataFrame, words: tuple[str, ...] = ()) -> Model:
     """A forest from labelled findings: the columns of ``candidates`` and ``label`` (1: a
-    secret). Findings without a label are not used. Equal findings count as one, weighed
-    by their number; of more than LABELLED of a label, the first by a hash stand for all
+    secret), from a table of reviewed findings or ``by_assignment``. Findings without a
+    label are not used. Equal findings count as one, weighed by their number; of more than LABELLED of a label, the first by a hash stand for all
     of that label. Where all labels of the table are one (or there is none) the answer is
-    a constant: that label, and 1 (nothing is removed) without any."""
+    a constant: that label, and 1 (nothing is removed) without any. ``words``: the
+    dictionary (see ``frequent_words``)."""
     own = labelled.where("label IS NOT NULL").select(*FINDING, (F.col("label") > 0).cast("double").alias("label"))
     own = checkpoint(own.groupBy(*FINDING, "label").agg(F.count("*").cast("double").alias("weight")))
     total = {r.label: r.w for r in own.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
     if len(total) < 2:
-        return next(iter(total), 1.0)
+        return Model(next(iter(total), 1.0), words)
     first = [own.where(F.col("label") == k).orderBy(F.xxhash64(*FINDING), *FINDING).limit(LABELLED) for k in sorted(total)]
     own = checkpoint(first[0].unionAll(first[1]))
     kept = {r.label: r.w for r in own.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
     share = F.when(F.col("label") > 0, total[1.0] / kept[1.0]).otherwise(total[0.0] / kept[0.0])
-    table, vector = _featured(own.withColumn("weight", F.col("weight") * share))
+    table, vector = _featured(own.withColumn("weight", F.col("weight") * share), words)
     forest = RandomForestClassifier(featuresCol=vector, labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    return forest.fit(table.select("label", "weight", vector))
+    return Model(forest.fit(table.select("label", "weight", vector)), words)
 
 
-def scanned(docs: DataFrame, model: RandomForestClassificationModel | float, threshold: float = 0.5, **names) -> DataFrame:
-    """``candidates`` of ``docs`` with ``probability`` and ``secret`` (probability at or above the threshold)."""
-    found = candidates(docs, **names)
-    if isinstance(model, float):
-        out = found.withColumn("probability", F.lit(model))
+def scored(found: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """``candidates`` with ``probability`` and ``secret`` (probability at or above the threshold)."""
+    if isinstance(model.forest, float):
+        out = found.withColumn("probability", F.lit(model.forest))
     else:
-        table, vector = _featured(found)
-        assert model.getFeaturesCol() == vector
-        out = model.transform(table).withColumn("probability", F.round(vector_to_array("probability")[1], 9))
+        table, vector = _featured(found, model.words)
+        assert model.forest.getFeaturesCol() == vector
+        out = model.forest.transform(table).withColumn("probability", F.round(vector_to_array("probability")[1], 9))
         out = out.select(*found.columns, "probability")
     return out.withColumn("secret", F.col("probability") >= threshold)
 
 
+def scanned(docs: DataFrame, model: Model, threshold: float = 0.5, **names) -> DataFrame:
+    """``scored`` candidates of ``docs``."""
+    return scored(candidates(docs, **names), model, threshold)
+
+
+def evaluated(labelled: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """One row: precision and recall on labelled findings that the model has not seen, and how many there were."""
+    own = scored(labelled.where("label IS NOT NULL"), model, threshold)
+    hit = F.count_if(F.col("secret") & (F.col("label") > 0))
+    return own.agg(
+        F.count("*").alias("findings"), F.count_if(F.col("label") > 0).alias("secrets"),
+        (hit / F.nullif(F.count_if("secret"), F.lit(0))).alias("precision"),
+        (hit / F.nullif(F.count_if(F.col("label") > 0), F.lit(0))).alias("recall"),
+    )
+
+
 def by_assignment(found: DataFrame) -> DataFrame:
     """Labels where no reviewed findings exist: 1 for a value in quotes that is assigned to
     a name with a key word, 0 for a candidate of digits alone or beside a harmless word,
     else none."""
-    assigned = F.col("before").rlike(KEYWORD[:-1] + r"[A-Za-z_]*)\s*[=:]\s*[\"'`]$") & F.col("after").rlike(r"^[\"'`]")
+    assigned = F.col("before").rlike(rf"{_NAMED}[\"'`]$") & F.col("after").rlike(r"^[\"'`]")
     digits = F.col("candidate").rlike(r"^[0-9_+/=-]+$") | F.col("before").rlike(HARMLESS)
     return found.withColumn("label", F.when(assigned, 1).when(digits, 0))
