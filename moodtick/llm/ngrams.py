@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket, checkpoint, shared_folder, write_atomically
+from .common import bucket, checkpoint, clean_name, shared_folder, write_atomically
 
 SEED = 0
 TOKENS = 2_000_000  # of a task in memory at a time
@@ -432,11 +432,12 @@ def scored(docs: DataFrame, meta: Meta, text: str = "text") -> DataFrame:
     10^(-score / n_tokens)).
 
     A null or empty text is one end token. Repeated rows are scored one by one; an empty
-    table gives no rows. Columns of ``docs`` must not have the names of the new ones."""
+    table gives no rows. New columns get an underscore in front of a name that ``docs`` has."""
     kept = [c for c in docs.columns if c != text]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     new = {"n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double"}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), *(f"{k} {v}" for k, v in new.items())])
+    names = [*kept, *(clean_name(docs, k) for k in new)]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), *(f"`{k}` {v}" for k, v in zip(names[len(kept) :], new.values()))])
 
     def run(batches):
         model = Model(meta)
@@ -445,7 +446,7 @@ def scored(docs: DataFrame, meta: Meta, text: str = "text") -> DataFrame:
             found["train_tokens"] = np.full(len(own.parts), meta.tokens, np.int64)
             table = pa.Table.from_batches(rows).drop_columns([text]).combine_chunks()
             columns = [table.column(c).combine_chunks() for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[k]) for k in new)], names=[*kept, *new])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[k]) for k in new)], names=names)
 
     own = docs.select(F.col(text).cast("binary").alias(text), *kept)
     return own.mapInArrow(run, schema)

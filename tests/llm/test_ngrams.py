@@ -78,3 +78,6 @@ def test_no_rows(spark, edge, no_rows):
     meta = N.train(edge, shards=2)
     assert N.scored(no_rows.select("doc_id", "text"), meta).count() == 0
     assert N.scored(edge.select("doc_id", "text"), meta).where("n_tokens = n_known").count() == edge.count()
+    clash = N.scored(edge.selectExpr("doc_id", "text", "1 AS score", "'x' AS N_TOKENS"), meta)
+    assert clash.columns == ["doc_id", "score", "N_TOKENS", "_n_tokens", "n_known", "train_tokens", "base_score", "_score"]
+    assert clash.where("score = 1 AND _score <= 0").count() == edge.count()
