@@ -206,7 +206,7 @@ def score_by_join(
     else:
         counts = toks.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
         counts = counts.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)))
-        salted = lex.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        salted = lex.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         hits = counts.join(salted, ["token", "salt"], "left")
     sums = hits.groupBy(*keys).agg(
         F.when(

@@ -165,7 +165,7 @@ def test_join_form_shuffle_path_equals_broadcast_path(spark):
     lf = S.lexicon_frame(spark, lex)
     for cfg in (Config(), Config(null_policy="skip")):
         a = S.score_by_join(h, ["doc_id"], "c", lf, cfg).withColumnRenamed("sentiment_score", "a")
-        b = S.score_by_join(h, ["doc_id"], "c", lf, cfg, max_broadcast_rows=0).withColumnRenamed("sentiment_score", "b")
+        b = S.score_by_join(h, ["doc_id"], "c", lf, cfg, max_broadcast_rows=0 if cfg.null_policy == "skip" else 1000, max_broadcast_bytes=0).withColumnRenamed("sentiment_score", "b")
         j = a.join(b, "doc_id", "full")
         assert j.count() == 202 and j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
         null_row = j.where("doc_id = -1").first()
