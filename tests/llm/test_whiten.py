@@ -2,7 +2,6 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from moodtick.llm import whiten
 from moodtick.llm.common import read
