@@ -60,8 +60,8 @@ class Names:
         word, part = r"\p{Lu}[\p{L}'’-]+", rf"(?:(?:{regex_any(self.particles)}) ){{0,3}}"
         rest = rf"(?: (?:\p{{Lu}}\.|{part}{word}))"
         titles_, names_ = (regex_any({*own, *(n.upper() for n in own)}) for own in (self.titles, names))
-        # a person ends with a word: initials may stand before it
-        person = rf"(?:(?:{titles_})\.? (?:\p{{Lu}}\. )?{part}{word}{rest}{{0,2}}+|(?:{names_}){rest}{{0,2}} {part}{word})"
+        # a person ends with a word: initials may stand before it; most words have no capital and end the test there
+        person = rf"(?=\p{{Lu}})(?:(?:{titles_})\.? (?:\p{{Lu}}\. )?{part}{word}{rest}{{0,2}}+|(?:{names_}){rest}{{0,2}} {part}{word})"
         self.entity = rf"(?<![\p{{L}}\p{{N}}])(?:{MAIL}|{IP6}|{IP}|{NUMBER}|{IBAN}|{person})"
 
     def role(self, word: Column) -> Column:
