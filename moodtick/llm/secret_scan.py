@@ -25,13 +25,17 @@ PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|xox[ab
 # A name with a key word in it, then what assigns: at most 60 characters, as Java's look-behind
 # must be bounded; a quote or sign stands right before the value, which is tested first.
 _NAMED = rf"(?i:{NAMES})[A-Za-z0-9_.-]{{0,30}}[\"'`]?\s{{0,4}}(?:[=:]|=>|:=|is)\s{{0,4}}"
-CANDIDATE = "|".join((
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+_BY_CONTEXT = (
     rf"(?<=[\"'`])(?<={_NAMED}[\"'`])[^\"'`\n]+(?=[\"'`])",
     rf"(?<=[=:>s]\s{{0,4}})(?<={_NAMED})[^\s\"'`,;<>]{{4,}}",
+)
+_BY_MAKE = (
     rf"(?<![{_KEY}])(?:{PREFIXES})[.{_KEY}]{{12,}}+",
     rf"(?<![{_KEY}])(?=[A-Za-z+/_=-]*+[0-9])[{_KEY}]{{16,}}+",
-))
+)
+_BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
+CANDIDATE = "|".join((_BLOCK, *_BY_CONTEXT, *_BY_MAKE))
+PLAIN = "|".join((_BLOCK, *_BY_MAKE))  # the same where no name stands before what assigns; look-behind is dear
 BEFORE, AFTER = 40, 20  # characters of context
 TREES, DEPTH, SEED = 20, 6, 42
 LABELLED = 20_000  # distinct findings of each label at most that the forest is fitted on, the first by hash
@@ -54,11 +58,14 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     Null and empty texts have none; every row's candidates are its own, those of repeated
     rows included. Without a path column the path is empty."""
-    own = docs.where(F.col(text).rlike(CANDIDATE)).select(
+    def either(of) -> Column:
+        return F.when(F.col(text).rlike(_NAMED), of(CANDIDATE)).otherwise(of(PLAIN))
+
+    own = docs.where(either(lambda p: F.col(text).rlike(p))).select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(path).cast("string") if path else F.lit(""), F.lit("")).alias("path"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), 0).alias("found"),
-        F.split(text, CANDIDATE, -1).alias("between"),
+        either(lambda p: F.regexp_extract_all(text, F.lit(p), 0)).alias("found"),
+        either(lambda p: F.split(text, p, -1)).alias("between"),
     )
     # where each stands: the lengths of all that is before it
     lengths = F.zip_with("found", F.slice("between", F.lit(1), F.size("found")), lambda a, b: F.length(a) + F.length(b))
