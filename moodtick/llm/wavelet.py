@@ -16,25 +16,32 @@ import struct
 import zlib
 from array import array
 from dataclasses import dataclass
+from itertools import chain, pairwise
 from operator import attrgetter
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import Memo, chunks, simple_pieces, whole
+from .chunks import _L, Memo, chunks, simple_pieces, whole
 from .common import shared_folder, write_atomically
 
 MAGIC = b"MTWM0001"
 SHARD = 1 << 21  # tokens after which a shard ends with its document
-CHUNKS, PIECES = 400 << 20, 120 << 20  # bytes of chunks and pieces that a worker remembers
+CHUNKS, PIECES = 200 << 20, 120 << 20  # bytes of chunks and pieces that a worker remembers
+SLICE = 6 << 20  # bytes of texts that are encoded together
+RUN = 32  # words that the library's model gets at once
 # Byte-level BPE shows bytes without a printable Latin-1 character as the characters from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BYTES = {chr(c): b for b, c in _SHOWN.items()}
 _BLANK = chr(_SHOWN[32])
 _LATIN = {i: chr(i).encode().decode("latin-1").translate(_SHOWN) for i in range(0x250)}  # a character's bytes as shown
+_MARKED = rf"^[{_L}]+[!-/:-@\[-`{{-~]+$"  # a word and marks
 _ID = attrgetter("id")
 _HEAD = struct.Struct("<8sQQI")  # magic, documents, tokens, planes
 
@@ -44,6 +51,12 @@ def _ones(words: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
 
 
+def _at_ones(values: np.ndarray, plane: np.ndarray) -> np.ndarray:
+    """The values where the plane has ones."""
+    mask = pa.Array.from_buffers(pa.bool_(), len(values), [None, pa.py_buffer(plane)])
+    return pa.array(values).filter(mask).to_numpy()
+
+
 @dataclass
 class Matrix:
     """Planes as 64-bit words (bit i of the plane: bit i % 64 of word i // 64)."""
@@ -64,10 +77,7 @@ class Matrix:
             packed = np.packbits(bit, bitorder="little")
             planes.append(np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)]).view("<u8"))
             if level:
-                dealt, zeros, ones = np.empty_like(now), np.flatnonzero(~bit), np.flatnonzero(bit)
-                now.take(zeros, out=dealt[: len(zeros)], mode="clip")  # faster than masks
-                now.take(ones, out=dealt[len(zeros) :], mode="clip")
-                now = dealt
+                now = np.concatenate([_at_ones(now, ~planes[-1]), _at_ones(now, planes[-1])])
         return cls(len(tokens), planes)
 
     def _bits(self, k: int) -> np.ndarray:
@@ -174,8 +184,16 @@ def open_shard(path: str) -> tuple[list[int | None], np.ndarray, Matrix]:
     )
 
 
+def _crosses(token: str) -> bool:
+    """Whether a token has a blank right after a letter, or after a part of a character."""
+    if _BLANK not in token[1:]:
+        return False
+    text = bytes(_BYTES.get(c, ord(c)) for c in token).decode(errors="surrogateescape")
+    return any(b == " " and (a.isalpha() or "\udc80" <= a <= "\udcff") for a, b in pairwise(text))
+
+
 class Tokens:
-    """Whole texts through the tokenizers library; chunks seen before are remembered.
+    """Whole texts through the tokenizers library, many at once; chunks seen before are remembered.
 
     As the library does it, the string of a special token in a text becomes that token;
     with ``inert`` it is text like any other."""
@@ -190,7 +208,12 @@ class Tokens:
         self.tokenizer.encode_special_tokens = inert
         self.special = [] if inert else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.known = Memo(self._chunk, CHUNKS)
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that start with a blank
+        self.opens[[i for t, i in vocabulary.items() if t[:1] == _BLANK]] = True
+        self.run = 1 if self.model.ignore_merges or any(map(_crosses, self.tokenizer.get_vocab(with_added_tokens=False))) else RUN
+        self.known: dict[str, bytes] = {}
+        self.left = CHUNKS
         self.pieces = Memo(self._piece, PIECES)
 
     def _text(self, text: str) -> bytes:
@@ -200,28 +223,112 @@ class Tokens:
         """The library's model on the characters that stand for a match's bytes (below U+0250)."""
         return array("I", map(_ID, self.model.tokenize(piece.translate(_LATIN)))).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isalpha():  # with the blank before it one match of the split pattern
-            if chunk.isascii():
-                return array("I", map(_ID, self.model.tokenize(_BLANK + chunk))).tobytes()
-            if max(chunk) < "\u0250":
-                return array("I", map(_ID, self.model.tokenize(_BLANK + chunk.translate(_LATIN)))).tobytes()
-        known = simple_pieces(chunk)
-        if not known:
-            return self._text(whole(chunk))
-        # a word is remembered once, whatever stands behind it
-        return b"".join([self.known[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pieces[p] for p in known])
+    def _add(self, new: dict[str, bytes]) -> None:
+        self.left -= 300 * len(new) + 5 * sum(map(len, new))
+        self.known |= new
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words of Latin letters, each with the blank before it: the library's model
+        gets several at once, as no token reaches from a letter over a blank."""
+        shown = [w if w.isascii() else w.translate(_LATIN) for w in words]
+        runs = (self.model.tokenize(_BLANK + _BLANK.join(shown[k : k + self.run])) for k in range(0, len(shown), self.run))
+        ids = np.array(array("I", map(_ID, chain.from_iterable(runs))), "<u4")
+        starts, raw = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4, ids.tobytes()
+        return dict(zip(words, [raw[a:z] for a, z in pairwise(starts.tolist())], strict=True))
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of different chunks, none of them the first of its text."""
+        if self.left < 0:
+            self.known, self.left = {}, CHUNKS
+        known = self.known
+        found = list(map(known.get, chunks))
+        new = [c for c, ids in zip(chunks, found) if ids is None]
+        # letters are one match of the split pattern with the blank before them; a word is
+        # remembered once, whatever stands behind it
+        words = {c for c in new if c.isalpha() and (c.isascii() or max(c) < "\u0250")}
+        parts = {c: simple_pieces(c) for c in new if c not in words}
+        inner = {p[1:] for own in parts.values() if own for p in own if p[0] == " " and p[1:].isalpha()}
+        self._add(self._words([*words, *(w for w in inner if w not in words and w not in known)]))
+        self._add(
+            {
+                c: b"".join([known[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pieces[p] for p in own]) if own else self._text(whole(c))
+                for c, own in parts.items()
+            }
+        )
+        return [known[c] if ids is None else ids for c, ids in zip(chunks, found)]
+
+    def _table(self, chunks: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of different chunks; words with marks behind them, which are a match of
+        their own, in two parts."""
+        if not len(chunks):
+            return pa.array([], pa.large_binary())
+        whole_size, marked = pc.binary_length(chunks), pc.match_substring_regex(chunks, _MARKED)
+        size = pc.if_else(marked, pc.binary_length(pc.utf8_rtrim(chunks, punctuation)), whole_size).to_numpy()
+        # in the same bytes: word, marks, word, marks, ...
+        _, offsets, data = chunks.buffers()
+        starts = np.frombuffer(offsets, np.int64)[chunks.offset : chunks.offset + len(chunks) + 1]
+        cuts = np.append(np.stack([starts[:-1], starts[:-1] + size], axis=1).ravel(), starts[-1])
+        parts = pa.LargeStringArray.from_buffers(2 * len(chunks), pa.py_buffer(cuts), data)
+        word, mark = (parts.take(pa.array(np.arange(k, len(parts), 2))).dictionary_encode() for k in (0, 1))
+        words = pa.array(self._chunks(word.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        marks = pa.array([self.pieces[m] if m else b"" for m in mark.dictionary.to_pylist()], pa.large_binary())
+        return pc.binary_join_element_wise(words.take(word.indices), marks.take(mark.indices), pa.scalar(b"", pa.large_binary()))
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._text(text)
-        first, *rest = chunks(text)
-        return self._text(first) + b"".join(map(self.known.__getitem__, rest))
+        return self.many([text])[0].tobytes()
+
+    def many(self, texts: list[str | None], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with ``end`` after it, and how many
+        each has. Of all chunks but the first of a text, every different one is looked up once."""
+        firsts, rests, others, rows = [], [], [], []
+        for row, text in enumerate(texts):
+            text = text or ""
+            plain, rest = text.replace("\n", " "), None
+            if any(s in text for s in self.special):
+                first = text  # all of it as the library does it
+            elif plain.isprintable() and "  " not in plain:  # the chunks are what stands between blanks
+                first, blank, rest = text.replace("\n", " \n").partition(" ")
+                rest = rest if blank else None
+            else:
+                first, *more = chunks(text)
+                others += more
+                rows += [row] * len(more)
+            firsts.append(self._text(first))
+            rests.append(rest)
+        split = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        every, at = split.flatten(), np.arange(len(texts))
+        row = np.repeat(at, split.value_lengths().fill_null(0))
+        if others:
+            every, row = pa.concat_arrays([every, pa.array(others, pa.large_string())]), np.append(row, rows)
+        size = np.bincount(row, minlength=len(texts))
+        del rests, split  # the texts once more
+        every = every.dictionary_encode()
+        codes, n = every.indices.to_numpy(), len(every.dictionary)
+        if others:
+            codes = codes[np.argsort(row, kind="stable")]
+        # a text is its first chunk, the codes of the others, and the end
+        stops = np.cumsum(size)
+        marks = np.stack([stops - size, stops], axis=1).ravel()
+        codes = np.insert(codes, marks, np.stack([n + at, np.full(len(at), n + len(at))], axis=1).ravel())
+        table = pa.concat_arrays([self._table(every.dictionary), pa.array([*firsts, end], pa.large_binary())])
+        out = table.take(pa.array(codes))
+        _, offsets, ids = out.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[np.append(stops - size + 2 * at, len(codes))] // 4
+        return np.frombuffer(ids, "<u4", bounds[-1]), np.diff(bounds)
 
 
 _TOKENS: dict[tuple[str, bool], Tokens] = {}
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in slices of SLICE bytes of text (column 1), or one row."""
+    ends, at = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0), dtype=np.int64), 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def write_shards(
     docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", end: int = 0, folder: str | None = None, inert: bool = False
 ) -> DataFrame:
@@ -243,28 +350,34 @@ def write_shards(
 
         if (tokenizer, inert) not in _TOKENS:
             _TOKENS[tokenizer, inert] = Tokens(tokenizer, inert)
-        encode, part, shard = _TOKENS[tokenizer, inert].encode, TaskContext.get().partitionId(), 0
+        encode, part, shard = _TOKENS[tokenizer, inert].many, TaskContext.get().partitionId(), 0
         tail = np.array([end], "<u4").tobytes()
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        sizes: list[int] = []
         ids: list[int | None] = []
 
         def flush():
             nonlocal shard
             path = os.path.join(folder, f"{part:06d}-{shard:06d}.wm")
-            sizes = [len(x) // 4 for x in held]
-            write(path, ids, sizes, np.frombuffer(b"".join(held), "<u4"))
+            write(path, ids, sizes, np.concatenate(held))
             rows = [[part], [shard], [path], [len(ids)], [sum(sizes)]]
             shard += 1
-            held.clear()
-            ids.clear()
+            for x in (held, sizes, ids):
+                x.clear()
             return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["part", "shard", "path", "documents", "tokens"])
 
         n = 0
-        for b in batches:
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                held.append(encode(t.as_py() or "") + tail)
-                ids.append(d)
-                n += len(held[-1]) // 4
+        for b in (s for batch in batches for s in _slices(batch)):
+            own, counts = encode(b.column(1).to_pylist(), tail)
+            pa.default_memory_pool().release_unused()
+            ends, docs, at, done = np.cumsum(counts), b.column(0).to_pylist(), 0, 0
+            while at < len(docs):
+                stop = min(len(docs), int(np.searchsorted(ends, done + SHARD - n)) + 1)
+                held.append(own[done : ends[stop - 1]])
+                sizes += counts[at:stop].tolist()
+                ids += docs[at:stop]
+                n += len(held[-1])
+                at, done = stop, int(ends[stop - 1])
                 if n >= SHARD:
                     yield flush()
                     n = 0

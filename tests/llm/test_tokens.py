@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -76,6 +77,59 @@ def test_special_tokens_in_a_text():
     assert 50256 not in np.frombuffer(INERT_FILES.encode(text), "<u4")
 
 
+MIXED = [
+    None, "", " ", "\n", "a", " a", "a ", "and, and. (and) don't, it's. l'été, naïve... ça!\nwas\n", "a  b\tc", "漢字, 漢字 кот, кот",
+    "x <|endoftext|> x", "12, 12 a1, 1a. à b à, à", "\x1c a\x85b\xa0 c", "the " * 500,
+]
+
+
+def library(texts, end):
+    return [[*LIBRARY.encode(t or "", add_special_tokens=False).ids, end] for t in texts]
+
+
+@pytest.mark.parametrize("run", [1, 3, wavelet.RUN])
+def test_texts_together(run):
+    own = wavelet.Tokens(P.path("byte_bpe_50k.json"))
+    assert own.run == wavelet.RUN
+    own.run = run
+    for texts in (MIXED, MIXED[::-1], [], [None], ["漢字 漢字, 漢字"], MIXED[:3]):
+        for limit in (wavelet.CHUNKS, -1):  # what is remembered changes nothing
+            own.left = limit
+            ids, sizes = own.many(texts, np.array([7], "<u4").tobytes())
+            want = library(texts, 7)
+            assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == list(map(len, want))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | TEXTS, max_size=8))
+def test_any_texts_together(texts):
+    ids, sizes = FILES.many(texts)
+    want = [w[:-1] for w in library(texts, 0)]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == list(map(len, want))
+
+
+def test_few_calls_of_the_model():
+    """The model is asked once for many new words, and for a word once, whatever marks stand behind it."""
+    own, asked = wavelet.Tokens(P.path("byte_bpe_50k.json")), []
+    model = own.model
+    own.model = type("Model", (), {"tokenize": lambda _, x: asked.append(x) or model.tokenize(x)})()
+    words = [a + b + c for a in ("th", "st", "é") for b in "aeiouyäö" for c in ("nd", "r", "wh", "ss")]
+    texts = ["I " + " ".join(w + m for w in words) for m in ("", ",", ".", "!?")]
+    ids, _ = own.many(texts)
+    assert ids.tolist() == [i for w in library(texts, 0) for i in w[:-1]]
+    assert len(asked) <= -(-len(words) // wavelet.RUN) + 3
+    own.many(texts)
+    assert len(asked) <= -(-len(words) // wavelet.RUN) + 3
+
+
+def test_tokens_over_a_blank():
+    """Words go to the model one by one if a token reaches from a letter over a blank."""
+    shown = [t.translate(wavelet._LATIN) for t in ("a b", "é b", " a b", " a", "a", "  ", ", a")]
+    assert [wavelet._crosses(t) for t in shown] == [True, True, True, False, False, False, False]
+    nbsp, cut = "Âł" + wavelet._BLANK, "ł" + wavelet._BLANK  # a whole character that is no letter, a part of one
+    assert not wavelet._crosses(nbsp) and wavelet._crosses(cut)
+
+
 def test_memory_is_bounded():
     memo = chunks.Memo(lambda k: k, 10_000)
     for i in range(500):
@@ -147,3 +201,13 @@ def test_digest_of_query_columns(spark):
     for r in queries.op10_bpe(spark, SF).join(read(spark, SF, "documents"), "doc_id").collect():
         want = np.array(ENCODING.encode_ordinary(r.text), "<u4").tobytes()
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(want) // 4, hashlib.sha256(want).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_slices_of_a_batch(size, monkeypatch):
+    monkeypatch.setattr(wavelet, "SLICE", size)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(40), "text": [None if i % 7 == 3 else "é" * (i * i % 90) for i in range(40)]})
+    got = list(wavelet._slices(batch))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches([batch]))
+    assert all(s.num_rows == 1 or sum(len((t or "").encode()) for t in s.column(1).to_pylist()) <= size for s in got)
+    assert list(wavelet._slices(batch.slice(0, 0))) == []
