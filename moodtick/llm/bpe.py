@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .chunks import SAFE_CUT, Memo, chunks, simple_pieces, whole
-from .common import clean_name
+from .common import clean_name, held, small_batches
 
 LEAF = 4  # bytes of a piece that are merged directly
 LEAF_TEXT = 1 << 10  # characters of a text that are split directly
@@ -188,13 +188,7 @@ class BPE:
 
 
 def _encoder(path: str, pattern: str) -> BPE:
-    key = (path, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = BPE(read_ranks(path), pattern)
-    return _ENCODERS[key]
-
-
-_ENCODERS: dict[tuple[str, str], BPE] = {}  # one of each in a worker
+    return held(("bpe", path, pattern), lambda: BPE(read_ranks(path), pattern))
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", decode: bool = True) -> DataFrame:
@@ -221,4 +215,4 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", decode
                     more.append(pa.array(map(bpe.decode, out), pa.binary()))
                 yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, *new])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,9 @@ from ..session import checkpoint_dir
 
 # Words are runs of anything but these six characters (the ASCII white space).
 SPACE = " \t\n\x0b\x0c\r"
+#: Bytes of an Arrow batch between Spark and a worker. Spark's own bound is 10,000 rows, 35 MB
+#: of documents of 3.5 kB: that much, doubled as it grows, for each core and each way.
+BATCH = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +54,36 @@ def write_atomically(path: str, *chunks) -> None:
     os.replace(part, path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are cut at BATCH bytes too, however many rows
+    that is (one row at least); a bound that the session has set is kept. Spark reads the
+    bound when the query runs, so it stays set."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) is None:
+        conf.set(name, str(BATCH))
+    return df
+
+
+#: What this worker remembers: the key of the operator it last worked for, and a value.
+_HELD: list = [None, None]
+
+
+def forget() -> None:
+    """Workers outlive their stage; what they remember for an operator must not."""
+    if _HELD[0] is not None:
+        _HELD[:] = [None, None]
+        gc.collect()  # remembered results may refer to their maker and back
+
+
+def held(key, make: Callable):
+    """``make()``, remembered by this worker from task to task until it works for another
+    operator (another key, or ``forget``)."""
+    if _HELD[0] != key:
+        forget()
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 def clean_name(df: DataFrame, name: str) -> str:
     """``name``, or the name with underscores that ``df`` has no column of (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

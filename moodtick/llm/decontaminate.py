@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import checkpoint, clean_name, shared_folder, write_atomically
+from .common import checkpoint, clean_name, forget, held, shared_folder, small_batches, write_atomically
 
 WINDOW = 10
 #: Words of the items in one automaton (about 1 kB each); a larger benchmark is
@@ -165,18 +165,14 @@ def cut(text: bytes, spans: list[int]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-#: The automaton that this worker has read last: its file, the least run, the automaton.
-_READ: list = [None, None, None]
-
-
 def _read(path: str, least: int) -> Automaton:
-    if _READ[:2] != [path, least]:
-        _READ[:] = [None, None, None]  # one at a time in memory
+    def load():
         with open(path, "rb") as f:
             own = pickle.load(f)
         own.least = least
-        _READ[:] = [path, least, own]
-    return _READ[2]
+        return own
+
+    return held((path, least), load)  # one at a time in memory
 
 
 def automata(benchmark: DataFrame, item_id: str, text: str, window: int) -> list[Callable[[], Automaton]]:
@@ -191,7 +187,12 @@ def automata(benchmark: DataFrame, item_id: str, text: str, window: int) -> list
     shards = -(-n // (2 * MAX_WORDS)) or 1  # a word and what follows it are two bytes at least
     if shards == 1:
         shared = spark.sparkContext.broadcast(Automaton([(r.item, words(bytes(r.text))) for r in items.collect()], window))
-        return [lambda: shared.value]
+
+        def sent() -> Automaton:
+            forget()  # the broadcast itself is Spark's to drop
+            return shared.value
+
+        return [sent]
     folder = shared_folder(spark, "automata")
 
     def build(rows: pa.Table) -> pa.Table:
@@ -243,7 +244,7 @@ def _marked(docs: DataFrame, shared: list, text: str, extra: list[str], remove:
 
         return run
 
-    out = docs
+    out = small_batches(docs)
     for k, load in enumerate(shared):
         out = out.mapInArrow(one(load, k == 0), schema)
         if k + 1 < len(shared):

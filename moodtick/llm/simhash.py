@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import checkpoint, clean_name
+from .common import checkpoint, clean_name, forget, small_batches
 from .components import components
 
 SEED = 42
@@ -57,12 +57,13 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, out
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
             texts = b.column(at).cast(pa.binary())
             fps = pa.array([fingerprint(x.as_py(), shingle) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns, fps], names=[*b.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 @lru_cache(maxsize=100_000)

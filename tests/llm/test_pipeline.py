@@ -1,9 +1,14 @@
 import hashlib
+import os
 import re
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
 
 import corpus_pipeline
+from moodtick.llm import bpe, common, decontaminate, simhash
 from moodtick.llm.common import read
 
 from .test_decontaminate import plain as windows
@@ -58,3 +63,86 @@ def test_empty_documents(spark, no_rows, scratch):
         stage(spark, docs, SF).write.parquet(f"{scratch}/{k}")
         docs = spark.read.parquet(f"{scratch}/{k}")
         assert docs.count() == 0
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture()
+def fresh(spark):
+    """A session without bounds of its own on Arrow batches but Spark's."""
+    own, rows = spark.newSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own.conf.set(rows, "10000")
+    own.conf.unset(BATCH_BYTES)
+    return own
+
+
+def test_arrow_batches_of_the_operators_are_bounded_by_bytes(fresh):
+    """10,000 rows of 5 kB, and one row above the bound, whole."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64()), "bytes": pa.array([b.nbytes], pa.int64())})
+
+    long = "w" * (3 * common.BATCH)
+    docs = fresh.range(10_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    docs = docs.union(fresh.createDataFrame([(10_000, long)], docs.schema).coalesce(1)).coalesce(1)
+    bench = fresh.createDataFrame([("a", " ".join("abcdefghijkl"))], "item_id string, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    for of in (
+        lambda: simhash.with_fingerprints(docs),
+        lambda: decontaminate.matches(docs, bench),
+        lambda: bpe.encoded(docs, path, public_tokenizers.PATTERN),
+    ):
+        fresh.conf.unset(BATCH_BYTES)
+        of()
+        found = docs.mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r.n for r in found) == 10_001
+        *most, last = sorted(r.bytes for r in found)  # a batch ends with the row that reaches the bound
+        assert max(most) < 2 * common.BATCH and last < 2 * common.BATCH + len(long)
+
+
+def test_a_bound_of_the_session_is_kept(fresh):
+    fresh.conf.set(BATCH_BYTES, "12345")
+    simhash.with_fingerprints(fresh.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert fresh.conf.get(BATCH_BYTES) == "12345"
+
+
+def _remembers(spark):
+    """(pid, what the worker remembers) of the workers that were asked."""
+
+    def ask(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"pid": pa.array([os.getpid()], pa.int64()), "key": pa.array([str(common._HELD[0])])})
+
+    return spark.range(1, numPartitions=1).mapInArrow(ask, "pid long, key string").collect()
+
+
+def test_workers_forget_the_words_of_an_operator_at_the_next(fresh):
+    docs = fresh.range(8, numPartitions=1).selectExpr("id AS doc_id", "'some words of a text' AS text")
+    bench = fresh.createDataFrame([("a", " ".join("abcdefghijkl"))], "item_id string, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+    def words():
+        return len(bpe.encoded(docs, path, public_tokenizers.PATTERN).collect())
+
+    for other in (lambda: simhash.with_fingerprints(docs), lambda: decontaminate.matches(docs, bench)):
+        assert words() == 8
+        (before,) = _remembers(fresh)
+        other().collect()
+        (after,) = _remembers(fresh)
+        if before.pid == after.pid and "bpe" in before.key:
+            assert after.key == "None"
+
+
+def test_held_makes_one_thing_at_a_time():
+    made = []
+    try:
+        a = common.held("a", lambda: made.append("a") or made[:])
+        assert common.held("a", lambda: made.append("again")) is a
+        assert common.held("b", lambda: made.append("b") or made[:]) == ["a", "b"]
+        common.forget()
+        assert common._HELD == [None, None]
+        assert common.held("b", lambda: made.append("b") or made[:]) == ["a", "b", "b"]
+    finally:
+        common.forget()
